@@ -18,10 +18,13 @@ ERROR_STATUS = 400
 GAPS_PER_PIECE = 24
 
 
+def _known(users: DataFrame) -> DataFrame:
+    return users.select(F.col("user_id").alias("userid"), "username", "city")
+
+
 def user_clickstream(clicks: DataFrame, users: DataFrame) -> DataFrame:
     """Clicks with user name and city where the user is known."""
-    known = users.select(F.col("user_id").alias("userid"), "username", "city")
-    return clicks.join(known, "userid", "left").select(
+    return clicks.join(_known(users), "userid", "left").select(
         "userid", "username", "ip", "city", "request", "status", "bytes", "ts"
     )
 
@@ -84,8 +87,18 @@ def enriched_error_codes_count(clicks, codes, size="30 seconds", more_than=1, wa
 
 
 def user_ip_activity(clicks, users, size="60 seconds", more_than=1, watermark=None) -> DataFrame:
-    enriched = user_clickstream(_late(clicks, watermark), users)
-    return windowed_count(enriched, ["username", "ip", "city"], "count", size, more_than=more_than)
+    """Clicks per user name, address, city and window.
+
+    On a batch table clicks are counted per user id first, so the user table meets counts, not
+    clicks; user ids that share a name are added up afterwards.
+    """
+    keys = ["username", "ip", "city"]
+    if clicks.isStreaming:
+        enriched = user_clickstream(_late(clicks, watermark), users)
+        return windowed_count(enriched, keys, "count", size, more_than=more_than)
+    counted = windowed_count(clicks, ["userid", "ip"], "_clicks", size)
+    named = counted.join(_known(users), "userid").groupBy(*keys, "EVENT_TS").agg(F.sum("_clicks").alias("count"))
+    return drop_null_keys(named.where(F.col("count") > more_than), keys).select(*keys, "EVENT_TS", "count")
 
 
 # Sessions ---------------------------------------------------------------------------------------
@@ -97,58 +110,65 @@ def _gap_seconds(gap: str) -> float:
     return float(number) * factor[unit.rstrip("s")]
 
 
-def sessions(df: DataFrame, keys: Sequence[str], gap: str, watermark: str | None = None) -> DataFrame:
-    """Sessions of each key, closed by ``gap`` of inactivity, with event count and summed bytes.
+def _single_events(df: DataFrame) -> DataFrame:
+    """Every click as a session of one event."""
+    one = {"events": F.lit(1).cast("bigint"), "first_ts": F.col("ts"), "last_ts": F.col("ts")}
+    return df.withColumns(one)
 
-    Events exactly one gap apart share a session. On a batch table the work is done twice: sessions
-    inside pieces of the time line first, so one key's events are spread over many tasks, then the
-    few pieces of each key are merged, a piece reaching from its first event to one gap after its
-    last. A streaming table keeps its sessions as state, per key.
-    """
-    rows = drop_null_keys(_late(df, watermark), keys)
+
+def _closed(rows: DataFrame, keys: Sequence[str], window: Column) -> DataFrame:
     measures = [
-        F.count(F.lit(1)).alias("events"),
+        F.sum("events").alias("events"),
         F.sum("bytes").alias("bytes"),
-        F.min("ts").alias("first_ts"),
-        F.max("ts").alias("last_ts"),
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
     ]
-    if df.isStreaming:
-        closed = rows.groupBy(*keys, F.session_window("ts", gap).alias("_w")).agg(*measures)
-        return closed.select(*keys, "events", "bytes", "first_ts", "last_ts")
-
-    seconds = _gap_seconds(gap)
-    piece = F.floor(F.unix_micros("ts") / F.lit(int(seconds * GAPS_PER_PIECE * 1_000_000)))
-    pieces = (
-        rows.withColumn("_piece", piece)
-        .groupBy(*keys, "_piece", F.session_window("ts", gap).alias("_w"))
-        .agg(*measures)
-        .select(*keys, "events", "bytes", "first_ts", "last_ts")
-    )
-    reach: Column = F.expr(
-        "make_interval(0, 0, 0, 0, 0, 0, "
-        f"cast((unix_micros(last_ts) - unix_micros(first_ts)) / 1000000 + {seconds} as decimal(18, 6)))"
-    )
-    return (
-        pieces.groupBy(*keys, F.session_window("first_ts", reach).alias("_w"))
-        .agg(
-            F.sum("events").alias("events"),
-            F.sum("bytes").alias("bytes"),
-            F.min("first_ts").alias("first_ts"),
-            F.max("last_ts").alias("last_ts"),
-        )
-        .drop("_w")
+    return rows.groupBy(*keys, window.alias("_w")).agg(*measures).drop("_w")
+
+
+def session_pieces(clicks: DataFrame, keys: Sequence[str], gap: str) -> DataFrame:
+    """Sessions within pieces of the time line, so one key's clicks are spread over many tasks."""
+    length = int(_gap_seconds(gap) * GAPS_PER_PIECE * 1_000_000)
+    cut = drop_null_keys(clicks, keys).withColumn("_piece", F.floor(F.unix_micros("ts") / F.lit(length)))
+    return _closed(_single_events(cut), [*keys, "_piece"], F.session_window("ts", gap)).drop("_piece")
+
+
+def merge_sessions(pieces: DataFrame, keys: Sequence[str], gap: str) -> DataFrame:
+    """Join pieces at most one gap apart; a piece reaches from its first event to a gap after its last.
+
+    A key has at most one piece per gap of its time line here, however many clicks it has.
+    """
+    reach = F.expr(
+        "make_interval(0, 0, 0, 0, 0, 0, cast((unix_micros(last_ts) - unix_micros(first_ts)) / 1000000 "
+        f"+ {_gap_seconds(gap)} as decimal(18, 6)))"
     )
+    return _closed(drop_null_keys(pieces, keys), keys, F.session_window("first_ts", reach))
+
+
+def user_sessions(clicks, users, keys: Sequence[str], gap: str, watermark: str | None = None) -> DataFrame:
+    """Sessions per user name (and further click columns), closed by ``gap`` of inactivity.
+
+    Events exactly one gap apart share a session. On a batch table sessions are built per user id
+    and piece of time before the user table is joined, then merged per name. A streaming table
+    keeps its sessions as state, per key.
+    """
+    if clicks.isStreaming:
+        rows = drop_null_keys(user_clickstream(_late(clicks, watermark), users), keys)
+        return _closed(_single_events(rows), keys, F.session_window("ts", gap))
+    own = ["userid", *[k for k in keys if k != "username"]]
+    pieces = session_pieces(clicks, own, gap).join(_known(users), "userid")
+    return merge_sessions(pieces, keys, gap)
 
 
 def click_user_sessions(clicks, users, gap="30 seconds", watermark=None) -> DataFrame:
     """Events of each user's sessions."""
-    closed = sessions(user_clickstream(_late(clicks, watermark), users), ["username"], gap)
+    closed = user_sessions(clicks, users, ["username"], gap, watermark)
     return closed.select("username", F.unix_millis("last_ts").alias("EVENT_TS"), "events")
 
 
 def user_session_kbytes(clicks, users, gap="30 seconds", more_than=0.0, watermark=None) -> DataFrame:
     """Kilobytes of each user's and address's sessions above a threshold."""
-    closed = sessions(user_clickstream(_late(clicks, watermark), users), ["username", "ip"], gap)
+    closed = user_sessions(clicks, users, ["username", "ip"], gap, watermark)
     kbytes = (F.col("bytes") / F.lit(1024.0)).alias("kbytes")
     return closed.select("username", "ip", F.unix_millis("last_ts").alias("EVENT_TS"), kbytes).where(
         F.col("kbytes") > more_than

@@ -103,15 +103,22 @@ def obs_count_hotel(
 
 
 def distinct_periods(weather: DataFrame, visits: DataFrame) -> DataFrame:
-    """Distinct year-months and months of the weather and distinct check-in months."""
-    kind = lambda name: F.lit(name).alias("kind")
-    no_year = F.lit(None).cast("int").alias("year")
-    year_months = weather.select(kind("year_month"), "year", "month").distinct()
-    months = weather.select(kind("month"), no_year, "month").distinct()
-    check_ins = visits.select(
-        kind("check_in_month"), no_year, F.month(day("srch_ci")).alias("month")
-    ).distinct()
-    return year_months.unionByName(months).unionByName(check_ins)
+    """Distinct year-months and months of the weather and distinct check-in months.
+
+    Each weather row states both periods, so the table is read once.
+    """
+
+    def period(kind: str, year: Column, month: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), year.cast("int").alias("year"), month.alias("month"))
+
+    no_year = F.lit(None)
+    both = F.array(
+        period("year_month", F.col("year"), F.col("month")), period("month", no_year, F.col("month"))
+    )
+    check_in = period("check_in_month", no_year, F.month(day("srch_ci")))
+    return (
+        weather.select(F.inline(both)).distinct().unionByName(visits.select(check_in.alias("p")).select("p.*").distinct())
+    )
 
 
 # Visits -----------------------------------------------------------------------------------------

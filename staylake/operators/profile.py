@@ -22,26 +22,27 @@ def long_features(df: DataFrame, label: str, features: str) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, group: Sequence[str], value: str, quantiles: dict[str, float], pieces: int = 200
+    df: DataFrame, group: Sequence[str], value: str, quantiles: dict[str, float], margin: float = 0.001
 ) -> DataFrame:
     """Interpolated quantiles of each group without sorting a whole group in one task.
 
-    Equal values are counted first. Approximate quantiles cut every group into ``pieces`` ranges;
-    the rows of each range are counted, which tells the ranges that hold the wanted ranks. Only
-    those ranges are then ordered, each in a task of its own. The approximation decides where the
-    cuts lie, not the result.
+    Equal values are counted first. Approximate quantiles a ``margin`` below and above each wanted
+    one cut every group into ranges; the rows of each range are counted, which tells the ranges
+    that hold the wanted ranks. Only those narrow ranges are then ordered, each in a task of its
+    own. The approximation decides where the cuts lie, not the result.
     """
     keys = list(group)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    steps = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
+    around = {min(1.0, max(0.0, q + side)) for q in quantiles.values() for side in (-margin, margin)}
+    steps = F.array(*[F.lit(q) for q in sorted(around)])
     cuts = df.groupBy(*keys).agg(
-        F.percentile_approx(value, steps, pieces * 10).alias("_cuts"), F.count(value).alias("_total")
+        F.percentile_approx(value, steps, max(10_000, int(10 / margin))).alias("_cuts"), F.count(value).alias("_total")
     )
     placed = counts.join(cuts, keys).withColumn(
         "_piece", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
     )
     sizes = placed.groupBy(*keys, "_piece", "_total").agg(F.sum("_n").alias("_size"))
-    # One row per group and piece, so a group's window holds at most ``pieces`` rows.
+    # One row per group and piece, so a group's window holds a handful of rows.
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
 

@@ -8,6 +8,8 @@ month it touches. Repeated stays are counted before any join.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +24,14 @@ from staylake.functions.stay import (
 )
 
 
-def hotel_daily(weather: DataFrame) -> DataFrame:
-    """One row per hotel and day with the exact mean temperature."""
+def hotel_daily(weather: DataFrame, attributes: Sequence[str] = ("address",)) -> DataFrame:
+    """One row per hotel and day with the exact mean temperature and the named hotel attributes."""
     exact = F.sum(F.col("avg_tmpr_c").cast("decimal(20,5)")).cast("double")
-    return weather.groupBy(
-        "id", "address", "city", "country", "geoHash", "wthr_date", "year", "month"
-    ).agg((exact / F.count("avg_tmpr_c")).alias("avg_tmpr_c"))
+    daily = weather.groupBy("id", "wthr_date", *attributes).agg(
+        (exact / F.count("avg_tmpr_c")).alias("avg_tmpr_c")
+    )
+    observed = day("wthr_date")
+    return daily.withColumns({"year": F.year(observed), "month": F.month(observed)})
 
 
 def stay_length(visits: DataFrame) -> DataFrame:

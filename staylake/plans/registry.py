@@ -63,6 +63,10 @@ def _daily(spark, sf):
     return stays.hotel_daily(views.hotel_weather(spark, sf))
 
 
+def _daily_full(spark, sf):
+    return stays.hotel_daily(views.hotel_weather(spark, sf), ["address", "city", "country", "geoHash"])
+
+
 # Sources and sinks ------------------------------------------------------------------------------
 
 HOTEL_SCHEMA = (
@@ -313,11 +317,11 @@ def join_unmatched(spark, sf):
     return places.join_unmatched(_hotel_cells(spark, sf), hot)
 
 
-_named("visit_weather_full", lambda s, d: stays.visit_weather_full(views.visit(s, d), _daily(s, d)))
+_named("visit_weather_full", lambda s, d: stays.visit_weather_full(views.visit(s, d), _daily_full(s, d)))
 _named("visit_weather_sizes", lambda s, d: stays.visit_weather_sizes(views.visit(s, d), views.hotel_weather(s, d)))
 _named("visit_hotel_left", lambda s, d: marts.visit_hotel_left(views.visit(s, d), _silver_weather(s, d)))
 _named("topn_by_selfjoin", lambda s, d: marts.topn_with_ties_dropped(_daily(s, d)))
-_named("stay_weather_range", lambda s, d: stays.stay_weather_range(views.visit(s, d), _daily(s, d)))
+_named("stay_weather_range", lambda s, d: stays.stay_weather_range(views.visit(s, d), _daily_full(s, d)))
 _named("stay_edges", lambda s, d: stays.stay_edges(views.visit(s, d), _daily(s, d)))
 
 # Marts ------------------------------------------------------------------------------------------
@@ -353,8 +357,14 @@ _named("stay_trend_spec", lambda s, d: stays.stay_trend_as_stated(_V(s, d), _dai
 _named("category_hotels", lambda s, d: marts.category_hotels(_V(s, d), stay.CATEGORIES_AS_STATED))
 _named("city_day_exact", lambda s, d: marts.city_day(_silver(s, d)))
 _named("top10_cities", lambda s, d: marts.top10_cities(marts.city_day(_silver(s, d))))
-_named("city_series", lambda s, d: marts.city_series(marts.city_day(_silver(s, d))))
-_named("city_series_first", lambda s, d: marts.city_series(marts.city_day(_silver(s, d)), ranks=[1]))
+
+
+def _gold_table(spark, sf):
+    return writers.materialise(marts.city_day(_silver(spark, sf)), scratch_dir(spark, "gold"))
+
+
+_named("city_series", lambda s, d: marts.city_series(_gold_table(s, d)))
+_named("city_series_first", lambda s, d: marts.city_series(_gold_table(s, d), ranks=[1]))
 
 # Clickstream ------------------------------------------------------------------------------------
 # name: (view of clicks, users and codes; keys of the result, or None for row-by-row views)
@@ -428,7 +438,15 @@ def stay_category_stream(spark, sf):
 
 
 def _rollup(view: str, metric, out: str, by=(), bucket=BUCKET_MS) -> Query:
-    return lambda s, d: rollups.time_rollup(_click_query(view)(s, d), metric(), out, by, bucket)
+    """A panel over a clickstream view; one that ranks terms reads the view more than once."""
+
+    def run(spark, sf):
+        rows = _click_query(view)(spark, sf)
+        if by:
+            rows = writers.materialise(rows, scratch_dir(spark, view))
+        return rollups.time_rollup(rows, metric(), out, by, bucket)
+
+    return run
 
 
 _named("roll_alert_status", _rollup("errors_per_min_alert", lambda: F.max("errors"), "max_errors", ["status"]))

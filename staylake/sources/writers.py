@@ -21,6 +21,12 @@ def write_mart(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
     writer.save(path)
 
 
+def materialise(df: DataFrame, path: str) -> DataFrame:
+    """Write a table that several later steps read, and read it back."""
+    write_mart(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_null_records(df: DataFrame, value_columns: Sequence[str]) -> DataFrame:
     """Leave out records whose value columns are all NULL, as a sink that ignores them does."""
     return df.dropna(how="all", subset=list(value_columns))
