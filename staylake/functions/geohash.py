@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # The public geohash alphabet, five bits per character.
 GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
+# The digits Spark's ``conv`` writes to base 32.
+BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
 # A cell set of at most this many geohashes may be broadcast (about 40 MB at 40 bytes a cell).
 MAX_BROADCAST_CELLS = 32**4
@@ -19,6 +21,14 @@ def _grid_index(value: Column, low: float, span: float, bits: int) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(steps - 1), step)).cast("bigint")
 
 
+def _spread_bits(index: Column) -> Column:
+    """Put a zero between the bits: the binary digits, read to base four.
+
+    Each operand appears once, which keeps the generated code small enough to be compiled.
+    """
+    return F.conv(F.bin(index), 4, 10).cast("bigint")
+
+
 def geohash(lat: Column, lng: Column, precision: int = 4) -> Column:
     """Geohash of a point, or NULL for a missing or out-of-range coordinate.
 
@@ -28,21 +38,13 @@ def geohash(lat: Column, lng: Column, precision: int = 4) -> Column:
     if not 1 <= precision <= 12:
         raise ValueError(f"precision must be 1 to 12, got {precision}")
     total = 5 * precision
-    lng_bits, lat_bits = (total + 1) // 2, total // 2
-    x = _grid_index(lng, -180.0, 360.0, lng_bits)
-    y = _grid_index(lat, -90.0, 180.0, lat_bits)
-
-    def bit(position: int) -> Column:
-        axis, bits = (x, lng_bits) if position % 2 == 0 else (y, lat_bits)
-        return F.shiftright(axis, bits - 1 - position // 2).bitwiseAND(F.lit(1))
-
-    letters = []
-    for first in range(0, total, 5):
-        digit = F.lit(0).cast("bigint")
-        for offset in range(5):
-            digit = digit.bitwiseOR(F.shiftleft(bit(first + offset), 4 - offset))
-        letters.append(F.substring(F.lit(GEOHASH_ALPHABET), digit.cast("int") + 1, 1))
-    return F.when(lat.between(-90.0, 90.0) & lng.between(-180.0, 180.0), F.concat(*letters))
+    x = _spread_bits(_grid_index(lng, -180.0, 360.0, (total + 1) // 2))
+    y = _spread_bits(_grid_index(lat, -90.0, 180.0, total // 2))
+    # The last bit belongs to latitude for an even number of bits, to longitude for an odd one.
+    code = x * 2 + y if total % 2 == 0 else x + y * 2
+    digits = F.lpad(F.conv(code.cast("string"), 10, 32), precision, "0")
+    cell = F.translate(digits, BASE32_DIGITS, GEOHASH_ALPHABET)
+    return F.when(lat.between(-90.0, 90.0) & lng.between(-180.0, 180.0), cell)
 
 
 def add_geohash(

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: stay dates are ISO days.
-DAY_FORMAT = "yyyy-MM-dd"
+# Fixed value: stay dates are ISO days, two digits each for month and day.
+ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
 
 # Stay categories by number of nights, (first, last, label).
 CATEGORIES_AS_CODED = (
@@ -27,7 +27,7 @@ ERRONEOUS = "Erroneous data"
 def day(column: str | Column) -> Column:
     """ISO text to date; anything else, such as 30 February, becomes NULL."""
     column = F.col(column) if isinstance(column, str) else column
-    return F.try_to_date(column, DAY_FORMAT)
+    return F.when(column.rlike(ISO_DAY), column.try_cast("date"))
 
 
 def nights(check_in: str, check_out: str) -> Column:

@@ -19,8 +19,12 @@ TRAIN_PERCENT = 75
 
 
 def train_test_split(df: DataFrame, key: str, train_percent: int = TRAIN_PERCENT, seed: int = SEED) -> DataFrame:
-    """Append ``is_train``, decided by a hash of the key: the same however the table is partitioned."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
+    """Append ``is_train``, decided by a hash of seed and key.
+
+    A row falls on the same side however the table is partitioned and in any other engine.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
     return df.withColumn("is_train", bucket < train_percent)
 
 

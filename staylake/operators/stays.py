@@ -74,54 +74,58 @@ def _round5(value: Column) -> Column:
     return F.round(value, 5).cast("double")
 
 
-def _counted(visits: DataFrame, counter: str) -> DataFrame:
-    return visits.groupBy("hotel_id", "srch_ci", "srch_co").agg(F.count(F.lit(1)).alias(counter))
+def _stays(visits: DataFrame, as_coded: bool) -> DataFrame:
+    """Distinct extended stays as dates, with the number of visits that share each.
+
+    Only readable dates pass the length rules, so a date stands for exactly one text.
+    """
+    dated = extended_stays(visits, as_coded).select(
+        "hotel_id", day("srch_ci").alias("_ci"), day("srch_co").alias("_co")
+    )
+    return dated.groupBy("hotel_id", "_ci", "_co").agg(F.count(F.lit(1)).alias("visits"))
+
+
+def _text(date: str, name: str) -> Column:
+    return F.col(date).cast("string").alias(name)
 
 
 def _days_inside(stays: DataFrame, daily: DataFrame, *columns: str) -> DataFrame:
     """Each stay with the weather rows from its first to its last day."""
-    ci, co = day("srch_ci"), day("srch_co")
-    by_month = stays.withColumn("_month", F.explode(month_starts(ci, co)))
+    by_month = stays.withColumn("_month", F.explode(month_starts(F.col("_ci"), F.col("_co"))))
     rows = _by_day(daily, *columns).withColumn("_month", F.trunc("_day", "MM"))
-    return by_month.join(rows, ["hotel_id", "_month"]).where(F.col("_day").between(ci, co))
+    return by_month.join(rows, ["hotel_id", "_month"]).where(F.col("_day").between(F.col("_ci"), F.col("_co")))
 
 
 def stay_weather_range(visits: DataFrame, daily: DataFrame) -> DataFrame:
     """Distinct weather days inside the stays that pass the coded length rule."""
-    stays = extended_stays(visits, as_coded=True).select("hotel_id", "srch_ci", "srch_co").distinct()
     columns = ["address", "avg_tmpr_c", "wthr_date", "city", "country", "geoHash", "year", "month"]
-    return (
-        _days_inside(stays, daily, *columns)
-        .select("hotel_id", "srch_ci", "srch_co", *columns)
+    return _days_inside(_stays(visits, as_coded=True), daily, *columns).select(
+        "hotel_id", _text("_ci", "srch_ci"), _text("_co", "srch_co"), *columns
     )
 
 
 def _edge_days(ci: Column, co: Column) -> Column:
     """First and last day; for a reversed stay every day between them, as the coded clause gives."""
     reversed_days = F.sequence(F.least(ci, co), F.greatest(ci, co), F.expr("interval 1 day"))
-    return (
-        F.when(ci.isNull() | co.isNull(), F.array().cast("array<date>"))
-        .when(co < ci, reversed_days)
-        .otherwise(F.array_distinct(F.array(ci, co)))
-    )
+    return F.when(co < ci, reversed_days).otherwise(F.array_distinct(F.array(ci, co)))
 
 
 def stay_edges(visits: DataFrame, daily: DataFrame) -> DataFrame:
     """Weather of the first and last day as two columns, with the number of equal stays."""
-    ci, co = day("srch_ci"), day("srch_co")
-    stays = _counted(extended_stays(visits, as_coded=True), "visits")
+    ci, co, temperature = F.col("_ci"), F.col("_co"), F.col("avg_tmpr_c")
     return (
-        stays.withColumn("_day", F.explode(_edge_days(ci, co)))
+        _stays(visits, as_coded=True)
+        .withColumn("_day", F.explode(_edge_days(ci, co)))
         .join(_by_day(daily, "address", "avg_tmpr_c", "wthr_date"), ["hotel_id", "_day"])
         .select(
             "hotel_id",
             "address",
             "avg_tmpr_c",
             "wthr_date",
-            "srch_ci",
-            "srch_co",
-            F.when(F.col("_day") == ci, F.col("avg_tmpr_c")).alias("avg_tmpr_c_ci"),
-            F.when(F.col("_day") == co, F.col("avg_tmpr_c")).alias("avg_tmpr_c_co"),
+            _text("_ci", "srch_ci"),
+            _text("_co", "srch_co"),
+            F.when(F.col("_day") == ci, temperature).alias("avg_tmpr_c_ci"),
+            F.when(F.col("_day") == co, temperature).alias("avg_tmpr_c_co"),
             "visits",
         )
     )
@@ -134,30 +138,28 @@ def stay_trend_as_coded(visits: DataFrame, daily: DataFrame) -> DataFrame:
     Both sides are counted per distinct row and ``copies`` holds the product of the counts: the
     table says how often a row occurs instead of repeating it.
     """
-    stays = _counted(extended_stays(visits, as_coded=True), "_stays")
-    rows = _by_day(daily, "address", "avg_tmpr_c", "wthr_date")
+    stays = _stays(visits, as_coded=True)
+    rows = _by_day(daily, "address", "avg_tmpr_c")
     last = (
-        stays.withColumn("_day", day("srch_co"))
+        stays.withColumn("_day", F.col("_co"))
         .join(rows, ["hotel_id", "_day"])
-        .groupBy("address", "avg_tmpr_c", "wthr_date", "srch_ci", "srch_co")
-        .agg(F.sum("_stays").alias("_last"))
-        .withColumn("avg_tmpr_c_co", F.col("avg_tmpr_c"))
+        .groupBy("address", "_ci", "_co", F.col("avg_tmpr_c").alias("avg_tmpr_c_co"))
+        .agg(F.sum("visits").alias("_last"))
     )
     first = (
-        stays.groupBy("hotel_id", "srch_ci")
-        .agg(F.sum("_stays").alias("_stays"))
-        .withColumn("_day", day("srch_ci"))
-        .join(rows.drop("wthr_date"), ["hotel_id", "_day"])
-        .groupBy("address", "srch_ci", F.col("avg_tmpr_c").alias("avg_tmpr_c_ci"))
-        .agg(F.sum("_stays").alias("_first"))
+        stays.groupBy("hotel_id", F.col("_ci").alias("_day"))
+        .agg(F.sum("visits").alias("visits"))
+        .join(rows, ["hotel_id", "_day"])
+        .groupBy("address", F.col("_day").alias("_ci"), F.col("avg_tmpr_c").alias("avg_tmpr_c_ci"))
+        .agg(F.sum("visits").alias("_first"))
     )
     t_co, t_ci = _exact(F.col("avg_tmpr_c_co")), _exact(F.col("avg_tmpr_c_ci"))
-    return last.join(first, ["srch_ci", "address"]).select(
+    return last.join(first, ["_ci", "address"]).select(
         "address",
-        "avg_tmpr_c",
-        "wthr_date",
-        "srch_ci",
-        "srch_co",
+        F.col("avg_tmpr_c_co").alias("avg_tmpr_c"),
+        _text("_co", "wthr_date"),
+        _text("_ci", "srch_ci"),
+        _text("_co", "srch_co"),
         "avg_tmpr_c_co",
         "avg_tmpr_c_ci",
         _round5(F.abs(t_co - t_ci)).alias("weather_trend"),
@@ -168,18 +170,19 @@ def stay_trend_as_coded(visits: DataFrame, daily: DataFrame) -> DataFrame:
 
 def stay_trend_as_stated(visits: DataFrame, daily: DataFrame) -> DataFrame:
     """Signed change from the first to the last observed day and the mean over the whole stay."""
-    stays = _counted(extended_stays(visits, as_coded=False), "visits")
     temperature = _exact(F.col("avg_tmpr_c"))
     total = F.sum(temperature).cast("double")
     change = F.max_by(temperature, "_day") - F.min_by(temperature, "_day")
     return (
-        _days_inside(stays, daily, "address", "avg_tmpr_c")
-        .groupBy("hotel_id", "address", "srch_ci", "srch_co", "visits")
+        _days_inside(_stays(visits, as_coded=False), daily, "address", "avg_tmpr_c")
+        .groupBy("hotel_id", "address", "_ci", "_co", "visits")
         .agg(
             _round5(change).alias("weather_trend"),
             (total / F.count("avg_tmpr_c")).alias("avg_tmpr_c_stay"),
             F.count(F.lit(1)).alias("days_observed"),
         )
+        .withColumnsRenamed({"_ci": "srch_ci", "_co": "srch_co"})
+        .withColumns({c: F.col(c).cast("string") for c in ("srch_ci", "srch_co")})
     )
 
 

@@ -33,7 +33,6 @@ _DAY = """l_extendedprice / 1000 AS avg_tmpr_c, l_extendedprice / 1000 * 9 / 5 +
     CAST(month(l_shipdate) AS INT) AS month, CAST(day(l_shipdate) AS INT) AS day"""
 # Five places, halves away from zero as Spark rounds; exact because it happens on decimals.
 _HALF_UP = "CAST(round(CAST({} AS DECIMAL(18,8)), 5) AS DOUBLE)".format
-_T = "CAST({} AS DECIMAL(18,8))".format
 _CODES = ", ".join(f"({code}, '{text}')" for code, text in STATUS_CODES)
 _EXACT_MEAN = "CAST(sum(CAST(avg_tmpr_c AS DECIMAL(20,5))) AS DOUBLE) / count(avg_tmpr_c)"
 
@@ -581,6 +580,8 @@ ORACLES: dict[str, str] = {
     # Clickstream, as tables and as streams
     **{name: _sql(body, *reads) for name, (body, reads) in _CLICKS.items()},
     **{f"{name}_stream": _sql(body, *reads) for name, (body, reads) in _CLICKS.items()},
+    # Approximate distinct counts; a city has few hotels a day, where the sketch is exact.
+    "medallion_city_day": _sql("SELECT * FROM gold", "gold"),
     # Rollups
     "roll_alert_status": _rollup(
         _CLICKS["errors_per_min_alert"][0], "max(errors)", "max_errors", ["status"], ("click",)
@@ -600,6 +601,8 @@ ORACLES: dict[str, str] = {
         _CLICKS["user_session_kbytes"][0], "max(kbytes)", "max_kbytes", ["username", "ip"], ("user_click",)
     ),
     # Tabular models
+    "train_test_split": """SELECT vec_id, CAST('0x' || substr(md5('123:' || vec_id), 1, 8) AS BIGINT) % 100 < 75
+    AS is_train FROM embeddings""",
     "label_histogram": "SELECT label, count(*) AS rows FROM embeddings GROUP BY label",
     "box_stats_by_label": """SELECT label, feature, round(min(value), 6) AS min,
     round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS median,

@@ -159,21 +159,22 @@ def _visit_schema(spark, sf):
     return views.visit(spark, sf).drop("orig_destination_distance").schema
 
 
-def _some_cut(spark, sf):
-    """The messages, cut off in the middle for stays without a check-out."""
+def _stored_messages(spark, sf):
+    """Messages as a table of their own, cut off in the middle for stays without a check-out."""
     cut = F.col("value").contains('"srch_co":null')
     half = F.substring("value", F.lit(1), F.floor(F.length("value") / 2).cast("int"))
-    return _messages(spark, sf).select(F.when(cut, half).otherwise(F.col("value")).alias("value"))
+    stored = _messages(spark, sf).select(F.when(cut, half).otherwise(F.col("value")).alias("value"))
+    return writers.materialise(stored, scratch_dir(spark, "messages"))
 
 
 @query
 def json_decode_rows(spark, sf):
-    return messages.decode_rows(_some_cut(spark, sf), _visit_schema(spark, sf))
+    return messages.decode_rows(_stored_messages(spark, sf), _visit_schema(spark, sf))
 
 
 @query
 def json_reject_rows(spark, sf):
-    return messages.rejected_rows(_some_cut(spark, sf), _visit_schema(spark, sf))
+    return messages.rejected_rows(_stored_messages(spark, sf), _visit_schema(spark, sf))
 
 
 def _event_stream(session, spark, sf, **caps):

@@ -85,7 +85,7 @@ def _weather_day() -> list[Column]:
     return [
         (F.col("l_extendedprice") / 1000).alias("avg_tmpr_c"),
         (F.col("l_extendedprice") / 1000 * 9 / 5 + 32).alias("avg_tmpr_f"),
-        F.date_format(shipped, "yyyy-MM-dd").alias("wthr_date"),
+        shipped.cast("date").cast("string").alias("wthr_date"),
         F.year(shipped).alias("year"),
         F.month(shipped).alias("month"),
         F.dayofmonth(shipped).alias("day"),
@@ -143,11 +143,11 @@ def visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stays of -2 to 47 nights, some of 407; a check-in or check-out may be missing."""
     nights = F.col("l_quantity").cast("int") - 3 + F.when(F.col("l_quantity") == 50, 360).otherwise(0)
     begin = F.date_add(F.col("l_shipdate").cast("date"), F.col("l_linenumber") - 1)
-    quantity, iso = F.col("l_quantity").cast("int"), "yyyy-MM-dd"
+    quantity = F.col("l_quantity").cast("int")
     as_int = lambda column: column.cast("int")
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("id"),
-        F.concat(F.date_format(begin, iso), F.lit(" 12:30:00")).alias("date_time"),
+        F.concat(begin.cast("string"), F.lit(" 12:30:00")).alias("date_time"),
         F.col("l_linenumber").alias("site_name"),
         as_int(F.col("l_suppkey") % 6).alias("posa_continent"),
         as_int(F.col("l_partkey") % 200).alias("user_location_country"),
@@ -158,8 +158,8 @@ def visit(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_int(F.col("l_returnflag") == "R").alias("is_mobile"),
         as_int(F.col("l_linestatus") == "O").alias("is_package"),
         F.col("l_linenumber").alias("channel"),
-        F.when(F.col("l_discount") != 0, F.date_format(begin, iso)).alias("srch_ci"),
-        F.when(F.col("l_tax") != 0, F.date_format(F.date_add(begin, nights), iso)).alias("srch_co"),
+        F.when(F.col("l_discount") != 0, begin.cast("string")).alias("srch_ci"),
+        F.when(F.col("l_tax") != 0, F.date_add(begin, nights).cast("string")).alias("srch_co"),
         F.col("l_linenumber").alias("srch_adults_cnt"),
         (quantity % 3).alias("srch_children_cnt"),
         (quantity % 2 + 1).alias("srch_rm_cnt"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -15,19 +15,24 @@ def encode_rows(df: DataFrame) -> DataFrame:
 
 
 def _parsed(messages: DataFrame, schema: StructType, value: str) -> DataFrame:
+    """Messages with their fields; ``inline`` parses each message once for all fields and checks."""
     checked = StructType([*schema.fields, StructField(_BAD, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    return messages.withColumn("_row", F.from_json(value, checked, options))
+    row = F.from_json(value, checked, options)
+    names = [f"_field{i}" for i in range(len(schema.fields))]
+    return messages.select(F.col(value).alias("_value"), F.inline(F.array(row))).toDF("_value", *names, _BAD)
+
+
+def _readable() -> Column:
+    return (F.coalesce(F.trim("_value"), F.lit("")) != "") & F.col(_BAD).isNull()
 
 
 def decode_rows(messages: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
     """Typed columns of the readable messages."""
-    parsed = _parsed(messages, schema, value)
-    readable = parsed.where(F.col(f"_row.{_BAD}").isNull() & F.col("_row").isNotNull())
-    return readable.select(*[F.col(f"_row.`{f.name}`").alias(f.name) for f in schema.fields])
+    fields = [F.col(f"_field{i}").alias(f.name) for i, f in enumerate(schema.fields)]
+    return _parsed(messages, schema, value).where(_readable()).select(*fields)
 
 
 def rejected_rows(messages: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
     """Messages that are missing or do not fit the schema, as they came."""
-    parsed = _parsed(messages, schema, value)
-    return parsed.where(F.col("_row").isNull() | F.col(f"_row.{_BAD}").isNotNull()).select(value)
+    return _parsed(messages, schema, value).where(~_readable()).select(F.col("_value").alias(value))
