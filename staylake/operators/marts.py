@@ -234,6 +234,13 @@ def visits_ci_co_month(visits: DataFrame, month: int = 10, k: int = 10) -> DataF
     ).limit(k)
 
 
+def joined_visitors_of_month(visits: DataFrame, weather: DataFrame, month: int = 8, k: int = 10) -> DataFrame:
+    """Hotel names by joined rows of the stays that touch one month."""
+    touching = joined_visitors(visits, weather).where(_touches(month))
+    out = touching.groupBy("address").agg(F.sum("visitors").alias("visitors"))
+    return out.orderBy(F.desc("visitors"), "address").limit(k)
+
+
 def visits_two_months(visits: DataFrame, weather: DataFrame, first: int = 8, last: int = 9, k: int = 10) -> DataFrame:
     """Stays that begin in one given month and end in another, by joined rows per hotel name."""
     visits = visits.where((F.month(day("srch_ci")) == first) & (F.month(day("srch_co")) == last))

@@ -6,7 +6,6 @@ import math
 import random
 
 import pandas as pd
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -101,7 +100,7 @@ def tuned_sweep(train: DataFrame, label: str, trials: int = 8, parallelism: int
     return ranked, search.bestModel
 
 
-def batch_score(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
+def batch_score(model, df: DataFrame, key: str) -> DataFrame:
     """One probability per row of a new table."""
     return model.transform(df).select(
         key, vector_to_array("probability")[1].alias("prediction")

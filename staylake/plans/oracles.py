@@ -500,6 +500,11 @@ ORACLES: dict[str, str] = {
         "joined",
     ),
     "joined_visitors": _sql(_JOINED, "joined"),
+    "joined_visitors_one_month": _sql(
+        """SELECT address, count(address) AS visitors FROM joined WHERE month_ci = 8 OR month_co = 8
+    GROUP BY address ORDER BY visitors DESC, address LIMIT 10""",
+        "joined",
+    ),
     "guests_per_stay": _sql(
         f"""SELECT month_ci, month_co, address, visitors FROM ({_GUESTS}) WHERE month_ci = 8 OR month_co = 8
     ORDER BY visitors DESC, month_ci NULLS FIRST, month_co NULLS FIRST, address, srch_adults_cnt LIMIT 10""",

@@ -348,6 +348,7 @@ _named("union_top10_guests", lambda s, d: marts.union_top10_guests(_V(s, d), _W(
 _named("visits_ci_co_month", lambda s, d: marts.visits_ci_co_month(_V(s, d)))
 _named("visits_two_months", lambda s, d: marts.visits_two_months(_V(s, d), _W(s, d)))
 _named("joined_visitors", lambda s, d: marts.joined_visitors(_V(s, d), _W(s, d)))
+_named("joined_visitors_one_month", lambda s, d: marts.joined_visitors_of_month(_V(s, d), _W(s, d)))
 _named("guests_per_stay", lambda s, d: marts.guests_per_stay(_V(s, d), _W(s, d)))
 _named("visits_by_exact_stay", lambda s, d: marts.visits_by_exact_stay(_V(s, d)))
 _named("visits_by_exact_stay_named", lambda s, d: marts.visits_by_exact_stay_named(_V(s, d), _silver_weather(s, d)))

@@ -1,8 +1,14 @@
-"""Run registered queries beside their check SQL and compare the rows."""
+"""Run registered queries beside their check SQL and compare the rows.
+
+    python tests/check.py FOLDER [QUERY ...]
+
+CHECK_CONF adds session settings, such as "spark.sql.autoBroadcastJoinThreshold=-1".
+"""
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -52,7 +58,13 @@ def main(sf: str, names: list[str]) -> int:
     from __spark_entry__ import oracle_sql, queries
     from staylake.session import build_session
 
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
+    settings = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "8g",
+        "spark.ui.showConsoleProgress": "false",
+        **dict(pair.split("=", 1) for pair in os.environ.get("CHECK_CONF", "").split(";") if pair),
+    }
+    spark = build_session(master="local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, bad = duck(sf), oracle_sql(), 0
     for name, run in queries().items():
@@ -63,7 +75,7 @@ def main(sf: str, names: list[str]) -> int:
             got = run(spark, sf).toArrow()
             spent = time.time() - start
             start = time.time()
-            found = differences(got, con.execute(oracles[name]).to_arrow_table()) if name in oracles else ["no SQL"]
+            found = differences(got, con.sql(oracles[name]).to_arrow_table()) if name in oracles else ["no SQL"]
             sql_spent = time.time() - start
         except Exception as error:  # noqa: BLE001
             found, spent, got, sql_spent = [f"{type(error).__name__}: {str(error)[:600]}"], time.time() - start, None, 0
