@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 # Fixed value: status codes above this one are errors.
 ERROR_STATUS = 400
 
+# Tasks among which a streaming join divides one user's clicks.
+STREAM_SALTS = 8
+
 # A hot user's events are cut into pieces of this many session gaps before sessions are closed.
 GAPS_PER_PIECE = 24
 
@@ -22,9 +25,20 @@ def _known(users: DataFrame) -> DataFrame:
     return users.select(F.col("user_id").alias("userid"), "username", "city")
 
 
-def user_clickstream(clicks: DataFrame, users: DataFrame) -> DataFrame:
-    """Clicks with user name and city where the user is known."""
-    return clicks.join(_known(users), "userid", "left").select(
+def user_clickstream(clicks: DataFrame, users: DataFrame, salts: int | None = None) -> DataFrame:
+    """Clicks with user name and city where the user is known.
+
+    ``salts`` spreads each user's clicks over that many tasks and repeats the user table as often.
+    AQE splits a hot user of a batch table by itself; a stream has no AQE, so it is salted unless
+    told otherwise.
+    """
+    salts = salts or (STREAM_SALTS if clicks.isStreaming else 1)
+    known, on = _known(users), ["userid"]
+    if salts > 1:
+        known = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        clicks = clicks.withColumn("_salt", F.pmod(F.hash("ts", "ip", "request"), F.lit(salts)))
+        on = ["userid", "_salt"]
+    return clicks.join(known, on, "left").select(
         "userid", "username", "ip", "city", "request", "status", "bytes", "ts"
     )
 

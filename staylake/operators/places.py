@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from staylake.functions.cleaning import is_missing
 from staylake.functions.geohash import distinct_cells
+from staylake.functions.temperature import exact_mean
 
 
 def repair_coords(
@@ -46,9 +47,8 @@ def join_on_cell(hotels: DataFrame, weather: DataFrame, how: str = "inner", cell
 
 def daily_cell_weather(weather: DataFrame, cell: str = "Geohash") -> DataFrame:
     """One row per cell and day: exact mean temperature and number of measurements."""
-    exact = F.sum(F.col("avg_tmpr_c").cast("decimal(20,5)")).cast("double")
     return weather.groupBy(cell, "wthr_date").agg(
-        (exact / F.count("avg_tmpr_c")).alias("mean_tmpr_c"), F.count(F.lit(1)).alias("measurements")
+        exact_mean("avg_tmpr_c", 5).alias("mean_tmpr_c"), F.count(F.lit(1)).alias("measurements")
     )
 
 

@@ -22,13 +22,13 @@ from staylake.functions.stay import (
     nights,
     stay_category,
 )
+from staylake.functions.temperature import exact_mean
 
 
 def hotel_daily(weather: DataFrame, attributes: Sequence[str] = ("address",)) -> DataFrame:
     """One row per hotel and day with the exact mean temperature and the named hotel attributes."""
-    exact = F.sum(F.col("avg_tmpr_c").cast("decimal(20,5)")).cast("double")
     daily = weather.groupBy("id", "wthr_date", *attributes).agg(
-        (exact / F.count("avg_tmpr_c")).alias("avg_tmpr_c")
+        exact_mean("avg_tmpr_c", 5).alias("avg_tmpr_c")
     )
     observed = day("wthr_date")
     return daily.withColumns({"year": F.year(observed), "month": F.month(observed)})
@@ -66,7 +66,7 @@ def _by_day(daily: DataFrame, *columns: str) -> DataFrame:
 
 
 def _exact(column: Column) -> Column:
-    """Temperature as a decimal, so that sums and half-way roundings carry no binary noise."""
+    """Temperature as a decimal, so that half-way roundings carry no binary noise."""
     return column.cast("decimal(18,8)")
 
 
@@ -171,14 +171,13 @@ def stay_trend_as_coded(visits: DataFrame, daily: DataFrame) -> DataFrame:
 def stay_trend_as_stated(visits: DataFrame, daily: DataFrame) -> DataFrame:
     """Signed change from the first to the last observed day and the mean over the whole stay."""
     temperature = _exact(F.col("avg_tmpr_c"))
-    total = F.sum(temperature).cast("double")
     change = F.max_by(temperature, "_day") - F.min_by(temperature, "_day")
     return (
         _days_inside(_stays(visits, as_coded=False), daily, "address", "avg_tmpr_c")
         .groupBy("hotel_id", "address", "_ci", "_co", "visits")
         .agg(
             _round5(change).alias("weather_trend"),
-            (total / F.count("avg_tmpr_c")).alias("avg_tmpr_c_stay"),
+            exact_mean("avg_tmpr_c", 8).alias("avg_tmpr_c_stay"),
             F.count(F.lit(1)).alias("days_observed"),
         )
         .withColumnsRenamed({"_ci": "srch_ci", "_co": "srch_co"})

@@ -111,3 +111,13 @@ def test_event_time_is_utc_in_any_session_zone(spark, sf):
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert other[0] == other[1] == first[0]
     assert dt.datetime.fromtimestamp(first[0] / 1000, dt.UTC).year == 2024
+
+
+def test_salted_join_changes_no_row(spark):
+    rows = [(1, i * 1000, f"r{i % 7}", 200, f"10.0.0.{i % 5}", i) for i in range(200)]
+    rows += [(2, 5, "a", 200, "x", 1), (2, 5, "a", 200, "x", 1), (9, 5, "a", 200, "x", 1), (None, 5, None, 200, None, 1)]
+    table = click_table(spark, rows)
+    people = user_table(spark, [(1, "ann", "c"), (2, "bob", "d"), (3, "cy", "e")])
+    plain, salted = clicks.user_clickstream(table, people), clicks.user_clickstream(table, people, salts=6)
+    assert salted.count() == len(rows)
+    assert plain.exceptAll(salted).count() == 0

@@ -172,3 +172,10 @@ def test_product_sizes_without_the_product(spark):
     table = visits(spark, *[("2017-08-01", "2017-08-02")] * 4)
     got = {(r.year, r.month, r.day): r.rows for r in stays.visit_weather_sizes(table, weather).collect()}
     assert got == {(2017, 8, 1): 8, (2017, 8, 2): 4}
+
+
+def test_daily_mean_is_exact_and_skips_missing(spark):
+    rows = [("1", "2017-08-01", t) for t in (0.1, 0.2, 0.3, None)] + [("1", "2017-08-02", None)]
+    df = spark.createDataFrame([(*r, "h") for r in rows], "id string, wthr_date string, avg_tmpr_c double, address string")
+    got = {r.wthr_date: r.avg_tmpr_c for r in stays.hotel_daily(df).collect()}
+    assert got == {"2017-08-01": 0.6 / 3, "2017-08-02": None}
