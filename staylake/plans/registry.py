@@ -46,6 +46,16 @@ def _hotel_cells(spark, sf):
     return add_geohash(_repaired(spark, sf), "Latitude", "Longitude")
 
 
+def _hotel_table(spark, sf):
+    """The same as a stored table: the planner knows its size when it meets the weather."""
+    return writers.materialise(_hotel_cells(spark, sf), scratch_dir(spark, "hotels"))
+
+
+def _users(spark, sf):
+    """Web users as a stored table, for the same reason."""
+    return writers.materialise(views.web_users(spark, sf), scratch_dir(spark, "users"))
+
+
 def _weather_cells(spark, sf):
     return add_geohash(views.station_obs(spark, sf), "lat", "lng")
 
@@ -211,7 +221,7 @@ def _weather_stream(session, spark, sf):
     schema = views.table(spark, sf, "lineitem").schema
     path = readers.as_stream_path(f"{sf}/lineitem.parquet")
     stream = readers.stream_table(session, path, "parquet", schema)
-    return views.hotel_weather_stream(stream, session, sf)
+    return views.hotel_weather(session, sf, raw_coords=True, lineitem=stream)
 
 
 @query
@@ -228,7 +238,7 @@ def stream_complete_sink(spark, sf):
 
 @query
 def sink_drop_null_records(spark, sf):
-    joined = clicks.user_clickstream(views.click(spark, sf), views.web_users(spark, sf))
+    joined = clicks.user_clickstream(views.click(spark, sf), _users(spark, sf))
     return writers.drop_null_records(joined.drop("ts"), ["username", "city"])
 
 
@@ -305,17 +315,17 @@ _named("extended_stay_filter_spec", lambda s, d: stays.extended_stays(views.visi
 
 # Joins ------------------------------------------------------------------------------------------
 
-_named("semi_prefilter", lambda s, d: places.semi_prefilter(_weather_cells(s, d), _hotel_cells(s, d)))
-_named("join_geohash_inner", lambda s, d: places.join_on_cell(_hotel_cells(s, d), _weather_cells(s, d)))
-_named("join_geohash_left", lambda s, d: places.join_on_cell(_hotel_cells(s, d), _weather_cells(s, d), "left"))
-_named("join_geohash_daily", lambda s, d: places.join_cell_daily(_hotel_cells(s, d), _weather_cells(s, d)))
+_named("semi_prefilter", lambda s, d: places.semi_prefilter(_weather_cells(s, d), _hotel_table(s, d)))
+_named("join_geohash_inner", lambda s, d: places.join_on_cell(_hotel_table(s, d), _weather_cells(s, d)))
+_named("join_geohash_left", lambda s, d: places.join_on_cell(_hotel_table(s, d), _weather_cells(s, d), "left"))
+_named("join_geohash_daily", lambda s, d: places.join_cell_daily(_hotel_table(s, d), _weather_cells(s, d)))
 
 
 @query
 def join_unmatched(spark, sf):
     """Hotels whose cell has no weather at or above 100 degrees."""
     hot = _weather_cells(spark, sf).where(F.col("avg_tmpr_c") >= 100)
-    return places.join_unmatched(_hotel_cells(spark, sf), hot)
+    return places.join_unmatched(_hotel_table(spark, sf), hot)
 
 
 _named("visit_weather_full", lambda s, d: stays.visit_weather_full(views.visit(s, d), _daily_full(s, d)))
@@ -372,11 +382,11 @@ _named("city_series_first", lambda s, d: marts.city_series(_gold_table(s, d), ra
 # name: (view of clicks, users and codes; keys of the result, or None for row-by-row views)
 
 CLICK_VIEWS = {
-    "user_clickstream": (lambda c, u, k: clicks.user_clickstream(c, u).drop("ts"), None),
+    "user_clickstream": (lambda c, u, k: clicks.user_clickstream(c, u()).drop("ts"), None),
     "enriched_error_codes": (lambda c, u, k: clicks.enriched_error_codes(c, k).drop("ts"), None),
     "events_per_min": (lambda c, u, k: clicks.events_per_min(c, MINUTE), ["userid", "EVENT_TS"]),
     "pages_per_min": (lambda c, u, k: clicks.pages_per_min(c, MINUTE, HOP_5), ["userid", "EVENT_TS"]),
-    "click_user_sessions": (lambda c, u, k: clicks.click_user_sessions(c, u, GAP), ()),
+    "click_user_sessions": (lambda c, u, k: clicks.click_user_sessions(c, u(), GAP), ()),
     "errors_per_min_alert": (lambda c, u, k: clicks.errors_per_min_alert(c, MINUTE, HOP_20), ["status", "EVENT_TS"]),
     "errors_per_min": (lambda c, u, k: clicks.errors_per_min(c, MINUTE, HOP_5), ["status", "EVENT_TS"]),
     "enriched_error_codes_count": (
@@ -384,16 +394,16 @@ CLICK_VIEWS = {
         ["code", "definition", "EVENT_TS"],
     ),
     "user_ip_activity": (
-        lambda c, u, k: clicks.user_ip_activity(c, u, MINUTE),
+        lambda c, u, k: clicks.user_ip_activity(c, u(), MINUTE),
         ["username", "ip", "city", "EVENT_TS"],
     ),
-    "user_session_kbytes": (lambda c, u, k: clicks.user_session_kbytes(c, u, GAP, more_than=100.0), ()),
+    "user_session_kbytes": (lambda c, u, k: clicks.user_session_kbytes(c, u(), GAP, more_than=100.0), ()),
 }
 
 
 def _click_query(name: str) -> Query:
     view, _ = CLICK_VIEWS[name]
-    return lambda s, d: view(views.click(s, d), views.web_users(s, d), views.codes(s))
+    return lambda s, d: view(views.click(s, d), lambda: _users(s, d), views.codes(s))
 
 
 def _click_stream_query(name: str) -> Query:
@@ -402,7 +412,7 @@ def _click_stream_query(name: str) -> Query:
     def run(spark, sf):
         def build(session):
             stream = _click_stream(session, spark, sf)
-            return view(stream, views.web_users(session, sf), views.codes(session))
+            return view(stream, lambda: _users(session, sf), views.codes(session))
 
         mode = "append" if keys is None else "update" if keys else "complete"
         return rp.replay(spark, build, name, mode, keys or ())

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylake.functions.geohash import geohash
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -35,24 +37,34 @@ def _text(hundredths: Column) -> Column:
     return _degrees(hundredths).cast("decimal(9,2)").cast("string")
 
 
-def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = table(spark, sf_dir, "supplier")
+def _with_places(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    """Add nation and region, one stored table after the other.
+
+    The planner knows the size of a stored table, not that of a join; joined in a chain, each can be
+    broadcast next to ``df``, whatever the size of ``df``.
+    """
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    return (
-        supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
-        .join(region, nation["n_regionkey"] == region["r_regionkey"])
-        .select(
-            "s_suppkey",
-            F.col("s_suppkey").cast("string").alias("id"),
-            F.col("s_name").alias("name"),
-            F.concat(F.lit("No. "), F.col("s_suppkey").cast("string")).alias("address"),
-            F.col("n_name").alias("city"),
-            F.col("r_name").alias("country"),
-        )
+    return df.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
     )
 
 
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_places(spark, sf_dir, table(spark, sf_dir, "supplier")).select("s_suppkey", *_place())
+
+
+def _place() -> list[Column]:
+    key = F.col("s_suppkey").cast("string")
+    return [
+        key.alias("id"),
+        F.col("s_name").alias("name"),
+        F.concat(F.lit("No. "), key).alias("address"),
+        F.col("n_name").alias("city"),
+        F.col("r_name").alias("country"),
+    ]
+
+
 def hotel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw hotels, all text; some coordinates are NULL and some say NA."""
     key = F.col("s_suppkey")
@@ -102,43 +114,36 @@ def station_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hotel_weather(spark: SparkSession, sf_dir: str, raw_coords: bool = False) -> DataFrame:
+def hotel_weather(
+    spark: SparkSession, sf_dir: str, raw_coords: bool = False, lineitem: DataFrame | None = None
+) -> DataFrame:
     """Observations with their hotel's attributes; ``address`` holds the hotel's name.
 
-    ``raw_coords`` leaves the coordinates as in the raw hotel list, missing ones NULL.
+    ``raw_coords`` leaves the coordinates as in the raw hotel list, missing ones NULL. ``lineitem``
+    may be a stream of the table.
     """
+    lineitem = table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
     key = F.col("s_suppkey")
     lat, lng = _degrees(_lat100(key)), _degrees(_lng100(key))
+    cell = geohash(lat, lng, 4).alias("geoHash")
     if raw_coords:
         lat = F.when(~(key % 5).isin(1, 2), lat)
         lng = F.when(~(key % 5).isin(1, 2, 3), lng)
-    return weather_of(table(spark, sf_dir, "lineitem"), _places(spark, sf_dir), lat, lng)
-
-
-def weather_of(lineitem: DataFrame, places: DataFrame, lat: Column, lng: Column) -> DataFrame:
-    from staylake.functions.geohash import geohash
-
-    key = F.col("s_suppkey")
-    return lineitem.join(places, F.col("l_suppkey") == key).select(
-        F.col("name").alias("address"),
-        F.col("city"),
-        F.col("country"),
-        geohash(_degrees(_lat100(key)), _degrees(_lng100(key)), 4).alias("geoHash"),
-        F.col("id"),
-        F.col("address").alias("name"),
+    seen = lineitem.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == key)
+    place_id, name, address, city, country = _place()
+    return _with_places(spark, sf_dir, seen).select(
+        name.alias("address"),
+        city,
+        country,
+        cell,
+        place_id,
+        address.alias("name"),
         lat.alias("latitude"),
         lng.alias("longitude"),
         *_weather_day(),
     )
 
 
-def hotel_weather_stream(stream: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    lat = F.when(~(key % 5).isin(1, 2), _degrees(_lat100(key)))
-    lng = F.when(~(key % 5).isin(1, 2, 3), _degrees(_lng100(key)))
-    return weather_of(stream, _places(spark, sf_dir), lat, lng)
-
-
 def visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stays of -2 to 47 nights, some of 407; a check-in or check-out may be missing."""
     nights = F.col("l_quantity").cast("int") - 3 + F.when(F.col("l_quantity") == 50, 360).otherwise(0)
