@@ -7,7 +7,7 @@ import pytest
 
 from __spark_entry__ import queries
 from staylake.operators import clicks, marts, places, stays
-from staylake.plans import registry, views
+from staylake.plans import views
 
 QUERIES = queries()
 # These run something while they are built, or fit a model.
@@ -53,8 +53,15 @@ def test_scan_reads_only_what_is_needed(spark, sf):
     assert scan.split("ReadSchema: ")[1] == "struct<l_suppkey:bigint,l_extendedprice:double,l_shipdate:timestamp_ntz>"
 
 
+def test_small_tables_are_broadcast_beside_the_large_one(spark, sf):
+    """The planner must not take the observations, or a join of unknown size, for the small side."""
+    text = plan(marts.temp_range_month(views.hotel_weather(spark, sf)))
+    assert text.count("BroadcastHashJoin") == text.count("BuildRight") == 3
+    assert text.count("Exchange hashpartitioning") == 1
+
+
 def test_filters_reach_the_scan(spark, sf):
-    text = plan(registry.QUERIES["sink_drop_null_records"](spark, sf), "formatted")
+    text = plan(views.web_users(spark, sf), "formatted")
     assert "GreaterThanOrEqual(c_acctbal,0.0)" in text
 
 
