@@ -18,6 +18,8 @@ from staylake.llm import arrays
 from staylake.llm.pretokens import Splitter, distinct_slices
 
 CACHE = 500_000
+LONG = 60
+NO_PAIR = 1 << 40
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -29,6 +31,24 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: again and again the leftmost pair of lowest rank becomes one symbol."""
     if (whole := ranks.get(word)) is not None:
         return [whole]
+    if len(word) > LONG:
+        return _merge_long(word, ranks)
+    at = list(range(len(word) + 1))
+    pairs = [ranks.get(word[i : i + 2], NO_PAIR) for i in range(len(word) - 1)]
+    while (lowest := min(pairs)) < NO_PAIR:
+        i = pairs.index(lowest)
+        del at[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = ranks.get(word[at[i] : at[i + 2]], NO_PAIR)
+        if i:
+            pairs[i - 1] = ranks.get(word[at[i - 1] : at[i + 1]], NO_PAIR)
+        if not pairs:
+            break
+    return [ranks[word[a:b]] for a, b in zip(at, at[1:])]
+
+
+def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same with a queue, for words whose pairs are too many to look through in each step."""
     n = len(word)
     right = list(range(1, n + 1))  # where the symbol that begins here ends; 0: no symbol begins here
     left = list(range(-1, n))

@@ -75,12 +75,14 @@ class Splitter:
             self.kinds[point] = LETTER if group == "L" else NUMBER if group == "N" else OTHER
         kinds = self.kinds[points]
         n = len(points)
-        one, two = np.zeros(n, dtype=np.uint32), np.zeros(n, dtype=np.uint32)
-        one[:-1] = np.where(first[1:], 0, points[1:])
-        two[:-1] = np.where(first[1:], 0, one[1:])
-        quote = points == ord("'")
-        short = quote & np.isin(one, [ord(c) for c in "stmd"])
-        long = quote & ((np.isin(one, [ord("r"), ord("v")]) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l"))))
+        quote = np.flatnonzero(points == ord("'"))  # few: their next characters are looked at one by one
+        quote = quote[quote + 1 < n]
+        quote = quote[~first[quote + 1]]
+        one = points[quote + 1]
+        short = quote[np.isin(one, [ord(c) for c in "stmd"])]
+        two = np.where(quote + 2 < n, points[np.minimum(quote + 2, n - 1)], 0)
+        two[first[np.minimum(quote + 2, n - 1)]] = 0
+        long = quote[(np.isin(one, [ord(c) for c in "rv"]) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))]
         last = kinds == BLANK
         last[:-1] &= (kinds[1:] != BLANK) & ~first[1:]
         if n:

@@ -84,9 +84,8 @@ class Merges:
             fresh = np.zeros(len(symbols), dtype=bool)
             fresh[place] = True
             symbols, pair, fresh = symbols[stay], pair[stay], fresh[stay]
-            at = np.flatnonzero(fresh)
-            at = np.union1d(at, at[at > 0] - 1)
-            at = at[at < len(symbols) - 1]
+            fresh[:-1] |= fresh[1:]
+            at = np.flatnonzero(fresh[:-1])
             pair[at] = self.ranks(symbols[at], symbols[at + 1])
         return left
 
