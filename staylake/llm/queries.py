@@ -48,3 +48,26 @@ def op10_token_counts(spark, sf):
 
     counted = token_count.count_tokens(documents(spark, sf), vocabulary("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@query
+def op6_decontaminate(spark, sf):
+    from staylake.llm import decontaminate
+
+    found = decontaminate.find_passages(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op1_ngram_jaccard(spark, sf):
+    from staylake.llm import ngram_join
+
+    return ngram_join.similar_groups(documents(spark, sf), n=3, percent=90)
