@@ -71,3 +71,11 @@ def op1_ngram_jaccard(spark, sf):
     from staylake.llm import ngram_join
 
     return ngram_join.similar_groups(documents(spark, sf), n=3, percent=90)
+
+
+@query
+def op4_suffix_dedup(spark, sf):
+    from staylake.llm import suffix_dedup
+
+    rows = suffix_dedup.remove_repeats(documents(spark, sf), length=100)
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

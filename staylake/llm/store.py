@@ -17,7 +17,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """Size of what ``df`` reads, as the planner states it; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def partitions_for(df: DataFrame, each: int) -> int:
