@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from staylake.llm import arrays
 from staylake.llm.pretokens import Splitter, distinct_slices
 
-CACHE = 500_000
+CACHE = 150_000
 LONG = 60
 NO_PAIR = 1 << 40
 
@@ -97,10 +97,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 for a, b in zip(begin[first].tolist(), end[first].tolist()):
                     ids = cache.get(word := raw[a:b])
                     if ids is None:
-                        ids = cache[word] = np.array(merge(word, ranks), dtype=np.uint32)
+                        ids = cache[word] = np.array(merge(word, ranks), dtype=np.uint32).tobytes()
                     found.append(ids)
-                lengths = np.array([len(x) for x in found], dtype=np.int64)
-                flat = np.concatenate(found) if found else np.zeros(0, dtype=np.uint32)
+                lengths = np.array([len(x) // 4 for x in found], dtype=np.int64)
+                flat = np.frombuffer(b"".join(found), dtype=np.uint32)
                 row, place = arrays.ragged(lengths[which])
                 ids = flat[(np.cumsum(lengths) - lengths)[which][row] + place]
                 tokens = np.concatenate([[0], np.cumsum(lengths[which])])[np.searchsorted(begin, offsets)]

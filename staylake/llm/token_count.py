@@ -17,7 +17,7 @@ from staylake.llm import arrays
 from staylake.llm.pretokens import Splitter, distinct_slices
 
 NO_PAIR = np.int64(1 << 40)
-CACHE = 1_000_000
+CACHE = 300_000
 
 
 def byte_symbols() -> list[str]:
