@@ -79,3 +79,38 @@ def op4_suffix_dedup(spark, sf):
 
     rows = suffix_dedup.remove_repeats(documents(spark, sf), length=100)
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op5_quality_rules(spark, sf):
+    from staylake.llm import rules
+
+    rows = rules.ledger(documents(spark, sf))
+    return rows.select(
+        "doc_id",
+        *rules.MEASURES,
+        "failed",
+        (rules.enforced("base") != 0).alias("base_failed"),
+        (rules.enforced("v1") == 0).alias("kept"),
+    )
+
+
+ORACLES["op5_quality_rules"] = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l
+  FROM documents),
+u AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM t),
+g AS (SELECT doc_id, i, a, lead(a) OVER d AS b, lead(a, 2) OVER d AS c FROM u WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM g
+  WHERE c IS NOT NULL) WHERE n > 1),
+c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM r) GROUP BY doc_id),
+m AS (SELECT t.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
+    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+  FROM t LEFT JOIN c USING (doc_id)),
+f AS (SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (5 * n_symbols > n_words)::INT
+    + 8 * (10 * n_dup_lines > 3 * n_lines)::INT + 16 * (word_chars < 3 * n_words)::INT
+    + 32 * (word_chars > 10 * n_words)::INT)::BIGINT AS failed FROM m)
+SELECT *, failed & 3 <> 0 AS base_failed, failed & 7 = 0 AS kept FROM f
+"""
