@@ -114,3 +114,19 @@ f AS (SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)
     + 32 * (word_chars > 10 * n_words)::INT)::BIGINT AS failed FROM m)
 SELECT *, failed & 3 <> 0 AS base_failed, failed & 7 = 0 AS kept FROM f
 """
+
+
+@query
+def op8_secret_scan(spark, sf):
+    from staylake.llm import secrets
+
+    findings, _ = secrets.scan(documents(spark, sf))
+    return secrets.report(findings)
+
+
+@query
+def op3_pii(spark, sf):
+    from staylake.llm import pii
+
+    docs = documents(spark, sf)
+    return pii.report(pii.find(docs, pii.fit(docs)))
