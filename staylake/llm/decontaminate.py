@@ -188,7 +188,7 @@ class Index:
 OUT = "n_words bigint, n_hit bigint, items array<{item}>, hits array<int>"
 
 
-def _report(rows, words, first, window, start, length, items, item_type, id_col):
+def _report(rows, words, first, window, start, length, items, item_type, id_col, keep):
     """A row for each text: its words, how many are hit, the items, and the runs of hit words."""
     edge = np.zeros(len(words) + 1, dtype=np.int64)
     np.add.at(edge, start, 1)
@@ -204,12 +204,13 @@ def _report(rows, words, first, window, start, length, items, item_type, id_col)
         runs[text] = np.flatnonzero(np.diff(inside)).tolist()
     cells = [
         rows.column(0),
+        *rows.columns[len(rows.columns) - len(keep) :],
         pa.array(np.diff(first)),
         pa.array(n_hit),
         pa.array([sorted(x) for x in found], pa.list_(item_type)),
         pa.array(runs, pa.list_(pa.int32())),
     ]
-    return pa.RecordBatch.from_arrays(cells, names=[id_col, "n_words", "n_hit", "items", "hits"])
+    return pa.RecordBatch.from_arrays(cells, names=[id_col, *keep, "n_words", "n_hit", "items", "hits"])
 
 
 def find_passages(
@@ -221,23 +222,25 @@ def find_passages(
     item_col: str = "item_id",
     item_text: str = "text",
     broadcast_bytes: int = BROADCAST_BYTES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """``id_col``, ``n_words``, ``n_hit``, ``items`` (ids of items with a window in the text), ``hits``.
 
-    ``hits`` holds begin and end of each run of hit words. A null or empty text has no words and no hit,
-    an empty benchmark hits nothing, an item without words has no window. Rows with equal ids are
-    judged each for itself only on the broadcast way; the shuffled way needs unique ids.
+    The columns in ``keep`` are passed through. ``hits`` holds begin and end of each run of hit words. A null or empty text has no words and no hit,
+    an empty benchmark hits nothing, an item without words has no window; items may repeat. On the broadcast
+    way every row is judged for itself; the shuffled way needs ids, and different ones for different texts.
     """
     table = stored(windows(items, width, item_col, item_text), "windows")
     size = table.select(F.sum(F.octet_length("window") + 8 * F.size("items") + 64)).first()[0] or 0
     small = size <= broadcast_bytes
     chosen = stored(prefixes(docs, table, text_col, small), "prefixes")
     kind, item = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType
-    schema = f"`{id_col}` {kind}, " + OUT.format(item=item.simpleString())
-    return (_in_place if small else _shuffled)(docs, chosen, schema, item, id_col, text_col)
+    kept = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    schema = f"`{id_col}` {kind}, {kept}" + OUT.format(item=item.simpleString())
+    return (_in_place if small else _shuffled)(docs, chosen, schema, item, id_col, text_col, keep)
 
 
-def _in_place(docs, chosen, schema, item, id_col, text_col):
+def _in_place(docs, chosen, schema, item, id_col, text_col, keep):
     from pyspark.sql.pandas.types import to_arrow_type
 
     index = docs.sparkSession.sparkContext.broadcast(vars(Index(chosen.toPandas())))
@@ -249,12 +252,12 @@ def _in_place(docs, chosen, schema, item, id_col, text_col):
             for rows, data, offsets in arrays.pieces(batch, text_col):
                 words, first = _words(data, offsets, hashes)
                 window, start = table.occurrences(words, first)
-                yield _report(rows, words, first, window, start, table.length[window], table.items, item, id_col)
+                yield _report(rows, words, first, window, start, table.length[window], table.items, item, id_col, keep)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col, *keep).mapInArrow(run, schema)
 
 
-def _shuffled(docs, chosen, schema, item, id_col, text_col):
+def _shuffled(docs, chosen, schema, item, id_col, text_col, keep):
     """Documents get the places where a prefix met them as a list, which is as long as the text at most
     allows; a document without one gets none."""
     from pyspark.sql.pandas.types import to_arrow_type
@@ -279,6 +282,7 @@ def _shuffled(docs, chosen, schema, item, id_col, text_col):
                             length.append(len(wanted))
                             found.append(x["items"])
                     start, length = np.array(start, dtype=np.int64), np.array(length, dtype=np.int64)
-                    yield _report(rows, words, first, np.arange(len(start)), start, length, found, item, id_col)
+                    yield _report(rows, words, first, np.arange(len(start)), start, length, found, item, id_col, keep)
 
-    return docs.select(id_col, text_col).join(met, id_col, "left").mapInArrow(run, schema)
+    rows = docs.select(id_col, text_col, *keep).join(met, id_col, "left").select(id_col, text_col, "met", *keep)
+    return rows.mapInArrow(run, schema)

@@ -155,7 +155,8 @@ def _links(table: pa.Table, percent: int) -> pa.Table:
     Within the pair, members that are linked, directly or through others, get one partner: the smallest id
     among them.
     """
-    ids = table.column("id").to_numpy()
+    ids, first = np.unique(table.column("id").to_numpy(), return_index=True)
+    table = table.take(pa.array(first))
     copies = table.column("copies").to_numpy()
     side = table.column("side").to_numpy()
     sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("features").to_pylist()]
@@ -198,13 +199,15 @@ def similar_groups(
 
     ``component_id`` is the smallest id that can be reached by links, the document's own included;
     ``n_links`` counts linked documents, copies each for itself. A null text or one without words has an
-    empty set: no links. Ids are different integers; other columns are left out.
+    empty set: no links. Ids are integers and differ where texts do; a repeated row counts as a copy, rows
+    without an id are left out of all groups. Other columns are left out.
     """
     spark = docs.sparkSession
     profile = stored(_profiles(docs, n, percent, id_col, text_col), "profiles")
-    full = profile.where("n_shingles > 0")
+    full = profile.where("n_shingles > 0 and id is not null")
     classes = full.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    members = stored(full.select("id", "key").join(classes, "key").select("id", "rep", "copies"), "members")
+    members = full.select("id", "key").join(classes, "key").groupBy("id").agg(F.min(F.struct("rep", "copies")).alias("c"))
+    members = stored(members.select("id", "c.*"), "members")
     reps = members.where("id = rep").select("id", "copies")
 
     signs = full.join(reps.select("id"), "id", "left_semi").select("id", F.explode("signs").alias("sign"))

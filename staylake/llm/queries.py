@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylake.llm import bpe, decontaminate, ngram_join, pii, preference, rules, secrets, suffix_dedup, token_count, urls
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -30,8 +32,6 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op7_byte_bpe(spark, sf):
-    from staylake.llm import bpe
-
     path = vocabulary("byte_bpe_multi_50k.tiktoken")
     rows = bpe.decode(bpe.encode(documents(spark, sf), path), path)
     return rows.select(
@@ -44,16 +44,12 @@ def op7_byte_bpe(spark, sf):
 
 @query
 def op10_token_counts(spark, sf):
-    from staylake.llm import token_count
-
     counted = token_count.count_tokens(documents(spark, sf), vocabulary("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
 @query
 def op6_decontaminate(spark, sf):
-    from staylake.llm import decontaminate
-
     found = decontaminate.find_passages(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
     names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
     return found.select(
@@ -68,23 +64,17 @@ def op6_decontaminate(spark, sf):
 
 @query
 def op1_ngram_jaccard(spark, sf):
-    from staylake.llm import ngram_join
-
     return ngram_join.similar_groups(documents(spark, sf), n=3, percent=90)
 
 
 @query
 def op4_suffix_dedup(spark, sf):
-    from staylake.llm import suffix_dedup
-
     rows = suffix_dedup.remove_repeats(documents(spark, sf), length=100)
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @query
 def op5_quality_rules(spark, sf):
-    from staylake.llm import rules
-
     rows = rules.ledger(documents(spark, sf))
     return rows.select(
         "doc_id",
@@ -118,15 +108,46 @@ SELECT *, failed & 3 <> 0 AS base_failed, failed & 7 = 0 AS kept FROM f
 
 @query
 def op8_secret_scan(spark, sf):
-    from staylake.llm import secrets
-
     findings, _ = secrets.scan(documents(spark, sf))
     return secrets.report(findings)
 
 
 @query
 def op3_pii(spark, sf):
-    from staylake.llm import pii
-
     docs = documents(spark, sf)
     return pii.report(pii.find(docs, pii.fit(docs)))
+
+
+@query
+def op9_url_filter(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    return urls.judged(pages, urls.fit(urls.labelled_urls(spark))).drop("score")
+
+
+@query
+def op2_chat_preferences(spark, sf):
+    return preference.preferences(spark.read.parquet(f"{sf}/conversations.parquet"))
+
+
+ORACLES["op2_chat_preferences"] = """
+WITH c AS (SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+p AS (SELECT *, min(conv_id) OVER (PARTITION BY t[1].role, t[1].text) AS first FROM c),
+j AS (SELECT b.first AS chosen_id, b.conv_id AS rejected_id, a.t AS a, b.t AS b
+  FROM p b JOIN c a ON a.conv_id = b.first WHERE b.conv_id <> b.first
+  UNION ALL SELECT a.conv_id, b.conv_id, a.t, list_append(a.t[:-2], b.t[-1])
+  FROM c a JOIN c b ON b.conv_id = a.conv_id + 1 WHERE a.t[-1].role = 'assistant' AND b.t[-1].role = 'assistant'),
+k AS (SELECT *, coalesce(list_position(list_transform(range(1, greatest(len(a), len(b)) + 1),
+    lambda i: coalesce(a[i].role = b[i].role AND a[i].text = b[i].text, false)), false) - 1, len(a))::BIGINT AS n_common FROM j),
+x AS (SELECT *, a[n_common + 1:] AS ra, b[n_common + 1:] AS rb FROM k)
+SELECT chosen_id, rejected_id, n_common,
+  coalesce(array_to_string(list_transform(a[:n_common], lambda m: '<|' || m.role || '|>' || chr(10) || m.text || '<|end|>' || chr(10)), ''), '') AS prompt,
+  coalesce(array_to_string(list_transform(ra, lambda m: '<|' || m.role || '|>' || chr(10) || m.text || '<|end|>' || chr(10)), ''), '') AS chosen,
+  coalesce(array_to_string(list_transform(rb, lambda m: '<|' || m.role || '|>' || chr(10) || m.text || '<|end|>' || chr(10)), ''), '') AS rejected,
+  coalesce(array_to_string(list_transform(ra, lambda m: '0:' || (length(m.role) + 5) || ',' || (m.role = 'assistant')::INT
+    || ':' || length(m.text) || ',0:8'), ','), '') AS chosen_mask,
+  coalesce(array_to_string(list_transform(rb, lambda m: '0:' || (length(m.role) + 5) || ',' || (m.role = 'assistant')::INT
+    || ':' || length(m.text) || ',0:8'), ','), '') AS rejected_mask
+FROM x
+"""

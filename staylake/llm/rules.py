@@ -65,9 +65,10 @@ def _repeat_words(grams: str) -> Column:
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and the measurements of every document; a null or empty text measures 0 throughout.
+    """``id_col`` and the measurements of every row; a null or empty text measures 0 throughout.
 
-    Runs of three words are compared by 64-bit hashes.
+    Rows are judged each for itself, also if they repeat or have no id; other columns are left out. Runs of
+    three words are compared by 64-bit hashes.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     without = lambda c, chars: F.translate(c, chars, "")
@@ -97,10 +98,15 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The measurements with ``failed``: bit i is set if rule i of ``RULES`` failed."""
+    """The measurements with ``failed``: bit i is set if rule i of ``RULES`` failed.
+
+    The partition's number in the expression keeps a later filter on the bits from being pushed below the
+    measurements, where each rule would measure anew.
+    """
     rows = measured(docs, id_col, text_col)
     bits = [F.when(F.expr(rule), F.lit(1 << i)).otherwise(F.lit(0)) for i, rule in enumerate(RULES.values())]
-    return rows.withColumn("failed", reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long"))
+    failed = reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long")
+    return rows.withColumn("failed", F.when(F.spark_partition_id() >= 0, failed))
 
 
 def enforced(version: str) -> Column:
@@ -108,6 +114,12 @@ def enforced(version: str) -> Column:
     return F.col("failed").bitwiseAND(F.lit(policy_mask(version)))
 
 
+def passing(docs: DataFrame, version: str, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that the policy keeps. Rows stay where they are."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    return ledger(whole, "row", "text").where(enforced(version) == 0).select("row.*")
+
+
 def ablations(rows: DataFrame, version: str) -> DataFrame:
     """For each rule of a policy: ``n_failed``, and ``n_only``, the documents that it alone rejects.
 

@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylake.llm.spans import ordered, spans, written
+from staylake.llm.spans import ordered, redacted, spans, written
 from staylake.llm.store import stored
 
-LEDGER = "blob string, version int, found array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
+SPANS = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
+LEDGER = f"blob string, version int, found {SPANS}"
 
 ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
@@ -39,26 +40,28 @@ RULES = {
 KINDS = [kind for rules in RULES.values() for kind in rules]
 
 
+def blob(text_col: str) -> Column:
+    return F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256).alias("blob")
+
+
 def scan(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text"):
     """``(findings, ledger)``: findings have ``id_col``, ``blob`` and ``found`` (spans of all versions).
 
-    The new ledger holds the old rows and those of this run. A null text is an empty one; equal texts, also
-    under one id, share a blob; other columns are left out.
+    The new ledger holds the old rows and those of this run. A null text is an empty one; equal texts share
+    a blob; rows may repeat and may have no id; other columns are left out.
     """
     spark = docs.sparkSession
     content = F.coalesce(F.col(text_col), F.lit(""))
     if ledger is None:
         ledger = spark.range(0).select(F.from_json(F.lit("{}"), LEDGER).alias("x")).select("x.*")
     ledger = ledger.select("blob", "version", "found")
-    paths = docs.select(F.col(id_col), F.sha2(content.cast("binary"), 256).alias("blob"))
+    paths = docs.select(F.col(id_col), blob(text_col))
     heads = paths.groupBy("blob").agg(F.min(id_col).alias("id"))
     pairs = heads.withColumn("version", F.explode(F.array(*map(F.lit, RULES))))
     unseen = pairs.join(ledger.select("blob", "version"), ["blob", "version"], "left_anti")
     todo = unseen.groupBy("blob", "id").agg(F.collect_set("version").alias("versions"))
-    texts = docs.select(F.col(id_col).alias("id"), content.alias("text"))
-    texts = texts.join(todo.select("id", "blob", "versions"), "id").where(
-        F.sha2(F.col("text").cast("binary"), 256) == F.col("blob")
-    )
+    texts = docs.select(F.col(id_col).alias("path"), content.alias("text"), blob(text_col).alias("own"))
+    texts = texts.join(todo, F.col("path").eqNullSafe(F.col("id")) & (F.col("own") == F.col("blob")))
     rank = {kind: i for i, kind in enumerate(KINDS)}
     scanned = texts.select(
         "blob", "versions", *[rule(F.col("text")).alias(kind) for rules in RULES.values() for kind, rule in rules.items()]
@@ -72,9 +75,31 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id
     rows = scanned.select("blob", F.explode(F.filter(each, lambda x: F.array_contains("versions", x["version"]))).alias("x"))
     rows = rows.select("blob", "x.version", "x.found").dropDuplicates(["blob", "version"])
     done = stored(ledger.unionByName(rows), "secret-ledger")
-    hits = done.where(F.size("found") > 0).groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("found"))
-    none = F.array().cast(LEDGER.split("found ")[1])
-    return paths.join(hits, "blob", "left").select(id_col, "blob", F.coalesce("found", none).alias("found")), done
+    found = paths.join(hits(done), "blob", "left")
+    return found.select(id_col, "blob", F.coalesce("found", F.array().cast(SPANS)).alias("found")), done
+
+
+def hits(ledger: DataFrame) -> DataFrame:
+    """``blob`` and ``found``, the spans of all versions in order, of blobs with any."""
+    rows = ledger.where(F.size("found") > 0).groupBy("blob")
+    return rows.agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("found"))
+
+
+def redact(docs: DataFrame, ledger: DataFrame, text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """All columns of ``docs``, the ledger's spans in the text written as their kinds.
+
+    ``size_col``, if there is one, becomes the length of a text that changed. Rows without a finding,
+    repeated ones and nulls stay as they are.
+    """
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), blob(text_col))
+    rows = whole.join(hits(ledger), "blob", "left").select(
+        "row", F.when(F.col("found").isNotNull(), redacted(F.col("row")[text_col], F.col("found"))).alias("clean")
+    )
+    new = {text_col: F.coalesce("clean", F.col("row")[text_col])}
+    if size_col in docs.columns:
+        length = F.length("clean").cast(docs.schema[size_col].dataType)
+        new[size_col] = F.coalesce(length, F.col("row")[size_col])
+    return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def _ranked(kinds: dict[str, Column], rank: dict[str, int]) -> Column:
