@@ -10,9 +10,6 @@ GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 # The digits Spark's ``conv`` writes to base 32.
 BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
-# A cell set of at most this many geohashes may be broadcast (about 40 MB at 40 bytes a cell).
-MAX_BROADCAST_CELLS = 32**4
-
 
 def _grid_index(value: Column, low: float, span: float, bits: int) -> Column:
     """Index of the grid step that holds ``value``; the upper end belongs to the last step."""
@@ -55,7 +52,6 @@ def add_geohash(
     return df.withColumn(out, geohash(as_double(lat), as_double(lng), precision))
 
 
-def distinct_cells(df: DataFrame, column: str = "Geohash", precision: int = 4) -> DataFrame:
-    """The cells in use, marked for broadcast where the alphabet itself bounds their number."""
-    cells = df.select(column).where(F.col(column).isNotNull()).distinct()
-    return F.broadcast(cells) if 32**precision <= MAX_BROADCAST_CELLS else cells
+def distinct_cells(df: DataFrame, column: str = "Geohash") -> DataFrame:
+    """The cells in use. Whether they are broadcast is up to the planner, which measures them."""
+    return df.select(column).where(F.col(column).isNotNull()).distinct()

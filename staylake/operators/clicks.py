@@ -14,17 +14,20 @@ from pyspark.sql import functions as F
 # Fixed value: status codes above this one are errors.
 ERROR_STATUS = 400
 
-# Tasks among which a streaming join divides one user's clicks.
-STREAM_SALTS = 8
-
-# A hot user's events are cut into pieces of this many session gaps before sessions are closed.
-GAPS_PER_PIECE = 24
-
 
 def _known(users: DataFrame) -> DataFrame:
     return users.select(F.col("user_id").alias("userid"), "username", "city")
 
 
+def stream_salts(users: DataFrame) -> int:
+    """Tasks among which a streaming join divides one user's clicks: all tasks of a state, or one where
+    the planner knows the users to be small enough to be broadcast."""
+    conf = users.sparkSession.conf
+    limit = int(users.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    size = int(str(users._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return 1 if size <= limit else int(conf.get("spark.sql.shuffle.partitions"))
+
+
 def user_clickstream(clicks: DataFrame, users: DataFrame, salts: int | None = None) -> DataFrame:
     """Clicks with user name and city where the user is known.
 
@@ -32,7 +35,7 @@ def user_clickstream(clicks: DataFrame, users: DataFrame, salts: int | None = No
     AQE splits a hot user of a batch table by itself; a stream has no AQE, so it is salted unless
     told otherwise.
     """
-    salts = salts or (STREAM_SALTS if clicks.isStreaming else 1)
+    salts = salts or (stream_salts(users) if clicks.isStreaming else 1)
     known, on = _known(users), ["userid"]
     if salts > 1:
         known = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -141,10 +144,19 @@ def _closed(rows: DataFrame, keys: Sequence[str], window: Column) -> DataFrame:
 
 
 def session_pieces(clicks: DataFrame, keys: Sequence[str], gap: str) -> DataFrame:
-    """Sessions within pieces of the time line, so one key's clicks are spread over many tasks."""
-    length = int(_gap_seconds(gap) * GAPS_PER_PIECE * 1_000_000)
+    """Clicks of each key and stretch of one gap as one piece.
+
+    Two clicks of a stretch are less than a gap apart, so they share a session. The aggregate is an
+    ordinary one: every task merges its clicks before the exchange, also those of a hot user.
+    """
+    length = int(_gap_seconds(gap) * 1_000_000)
     cut = drop_null_keys(clicks, keys).withColumn("_piece", F.floor(F.unix_micros("ts") / F.lit(length)))
-    return _closed(_single_events(cut), [*keys, "_piece"], F.session_window("ts", gap)).drop("_piece")
+    return cut.groupBy(*keys, "_piece").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum("bytes").alias("bytes"),
+        F.min("ts").alias("first_ts"),
+        F.max("ts").alias("last_ts"),
+    ).drop("_piece")
 
 
 def merge_sessions(pieces: DataFrame, keys: Sequence[str], gap: str) -> DataFrame:
@@ -162,8 +174,8 @@ def merge_sessions(pieces: DataFrame, keys: Sequence[str], gap: str) -> DataFram
 def user_sessions(clicks, users, keys: Sequence[str], gap: str, watermark: str | None = None) -> DataFrame:
     """Sessions per user name (and further click columns), closed by ``gap`` of inactivity.
 
-    Events exactly one gap apart share a session. On a batch table sessions are built per user id
-    and piece of time before the user table is joined, then merged per name. A streaming table
+    Events exactly one gap apart share a session. On a batch table clicks are merged per user id and
+    stretch of one gap before the user table is joined, and the pieces merged to sessions per name. A streaming table
     keeps its sessions as state, per key.
     """
     if clicks.isStreaming:

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from staylake.functions.temperature import exact_mean
 from staylake.functions.stay import day, month_starts, months_apart, nights, stay_category
 
 MONTHS = (8, 9, 10)
@@ -97,15 +98,14 @@ def obs_count_hotel(
     if month is not None:
         weather = weather.where(F.col("month") == month)
     out = weather.groupBy(*by, "address").agg(F.count("address").alias("visitors"))
-    if limit:
-        out = out.orderBy(F.desc("visitors"), *by, "address").limit(limit)
-    return out
+    out = out.orderBy(F.desc("visitors"), *by, "address")
+    return out.limit(limit) if limit else out
 
 
 def distinct_periods(weather: DataFrame, visits: DataFrame) -> DataFrame:
-    """Distinct year-months and months of the weather and distinct check-in months.
+    """Distinct year-months and months of the weather, and check-in months of visits to its hotels.
 
-    Each weather row states both periods, so the table is read once.
+    Each weather row states both periods, so they come from one pass.
     """
 
     def period(kind: str, year: Column, month: Column) -> Column:
@@ -116,9 +116,10 @@ def distinct_periods(weather: DataFrame, visits: DataFrame) -> DataFrame:
         period("year_month", F.col("year"), F.col("month")), period("month", no_year, F.col("month"))
     )
     check_in = period("check_in_month", no_year, F.month(day("srch_ci")))
-    return (
-        weather.select(F.inline(both)).distinct().unionByName(visits.select(check_in.alias("p")).select("p.*").distinct())
-    )
+    months = visits.select("hotel_id", check_in.alias("p")).distinct()
+    known = weather.select(F.col("id").try_cast("bigint").alias("hotel_id")).distinct()
+    months = months.join(known, "hotel_id", "left_semi").select("p.*").distinct()
+    return weather.select(F.inline(both)).distinct().unionByName(months)
 
 
 # Visits -----------------------------------------------------------------------------------------
@@ -305,20 +306,17 @@ def stay_months_as_stated(stays: DataFrame) -> DataFrame:
 def top10_busy_as_coded(visits: DataFrame, weather: DataFrame, k: int = 10) -> DataFrame:
     """Busiest exact stays per year and month, equal counts of a hotel collapsed.
 
-    Visits are counted per stay before they are spread over months, then multiplied by the weather
-    rows of the hotel, which is what grouping the joined rows gives.
+    Visits are counted per stay before they are spread over months, equal counts collapse, and what is
+    left is multiplied by the weather rows of the hotel, which is what grouping the joined rows gives: a
+    hotel and name has one such number, so nothing collapses after the join that did not before.
     """
+    months = stay_months_as_coded(exact_stays(visits)).select(
+        "hotel_id", F.year("dtMonth").alias("year"), F.month("dtMonth").alias("month"), "visits"
+    )
     counted = (
-        stay_months_as_coded(exact_stays(visits))
+        months.distinct()
         .join(_weather_rows(weather), "hotel_id")
-        .select(
-            F.year("dtMonth").alias("year"),
-            F.month("dtMonth").alias("month"),
-            "hotel_id",
-            "address",
-            (F.col("visits") * F.col("_weather")).alias("visits"),
-        )
-        .distinct()
+        .select("year", "month", "hotel_id", "address", (F.col("visits") * F.col("_weather")).alias("visits"))
     )
     order = [F.desc("visits"), F.asc("hotel_id"), F.asc("address")]
     return top_per_group(counted, ["year", "month"], order, k)
@@ -359,7 +357,7 @@ def city_day(silver: DataFrame, exact: bool = True) -> DataFrame:
     distinct = F.count_distinct("id") if exact else F.approx_count_distinct("id")
     return silver.groupBy("city", "wthr_date").agg(
         distinct.alias("distinct_hotels"),
-        F.round(F.avg("avg_tmpr_c"), 1).alias("avg_t"),
+        F.round(exact_mean("avg_tmpr_c"), 1).alias("avg_t"),
         F.round(F.max("avg_tmpr_c"), 1).alias("max_t"),
         F.round(F.min("avg_tmpr_c"), 1).alias("min_t"),
     )

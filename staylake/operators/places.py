@@ -1,8 +1,7 @@
 """Hotels, weather points and the geohash cells that connect them.
 
-No join here names a side to broadcast unless its size is bounded by construction: the planner
-compares the sides with ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where AQE
-splits a hot cell.
+No join here names a side to broadcast: the planner compares the sides with
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where AQE splits a hot cell.
 """
 
 from __future__ import annotations
@@ -20,11 +19,18 @@ def repair_coords(
 ) -> DataFrame:
     """Fill only the missing coordinate(s) of each hotel from the gazetteer.
 
-    The gazetteer is reduced to one row per key first, so a repeated entry adds no hotel rows.
+    The gazetteer is reduced to one row per key first, so a repeated entry adds no hotel rows: the
+    southernmost, then westernmost point whole, never the latitude of one entry with the longitude of
+    another.
     """
-    known = gazetteer.groupBy(*keys).agg(
-        F.min("lat").cast("string").alias("_lat"), F.min("lng").cast("string").alias("_lng")
+    point = F.struct(
+        F.col("lat").try_cast("double").alias("y"),
+        F.col("lng").try_cast("double").alias("x"),
+        F.col("lat").cast("string").alias("lat"),
+        F.col("lng").cast("string").alias("lng"),
     )
+    known = gazetteer.groupBy(*keys).agg(F.min(point).alias("_p"))
+    known = known.select(*keys, F.col("_p.lat").alias("_lat"), F.col("_p.lng").alias("_lng"))
     return (
         hotels.join(known, list(keys), "left")
         .withColumn(lat, F.when(is_missing(lat), F.col("_lat")).otherwise(F.col(lat)))
@@ -33,35 +39,51 @@ def repair_coords(
     )
 
 
-def semi_prefilter(weather: DataFrame, hotels: DataFrame, cell: str = "Geohash", precision: int = 4) -> DataFrame:
+def semi_prefilter(weather: DataFrame, hotels: DataFrame, cell: str = "Geohash") -> DataFrame:
     """Weather rows whose cell holds at least one hotel."""
-    return weather.join(distinct_cells(hotels, cell, precision), cell, "left_semi")
+    return weather.join(distinct_cells(hotels, cell), cell, "left_semi")
 
 
 def join_on_cell(hotels: DataFrame, weather: DataFrame, how: str = "inner", cell: str = "Geohash") -> DataFrame:
-    """Hotels with every weather row of their cell; ``left`` keeps hotels without weather."""
+    """Hotels with every weather row of their cell; ``left`` keeps hotels without weather.
+
+    All pairs of a cell are asked for, so a cell's rows grow as a product; ``join_cell_daily`` is the form
+    for dense cells. The left join is the inner one and the hotels whose cell has no weather: an outer
+    join could neither broadcast its hotels nor have a hot cell of its weather split.
+    """
     if how not in ("inner", "left"):
         raise ValueError(f"join mode must be inner or left, got {how}")
-    return hotels.join(weather, cell, how)
+    joined = hotels.join(weather, cell)
+    if how == "inner":
+        return joined
+    lone = hotels.join(distinct_cells(weather, cell), cell, "left_anti")
+    return joined.unionByName(_without_weather(lone, hotels, weather, cell))
+
+
+def _without_weather(lone: DataFrame, hotels: DataFrame, weather: DataFrame, cell: str) -> DataFrame:
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in weather.schema if f.name != cell]
+    return lone.select(cell, *[c for c in hotels.columns if c != cell], *empty)
 
 
 def daily_cell_weather(weather: DataFrame, cell: str = "Geohash") -> DataFrame:
     """One row per cell and day: exact mean temperature and number of measurements."""
     return weather.groupBy(cell, "wthr_date").agg(
-        exact_mean("avg_tmpr_c", 5).alias("mean_tmpr_c"), F.count(F.lit(1)).alias("measurements")
+        exact_mean("avg_tmpr_c").alias("mean_tmpr_c"), F.count(F.lit(1)).alias("measurements")
     )
 
 
 def join_cell_daily(hotels: DataFrame, weather: DataFrame, cell: str = "Geohash") -> DataFrame:
-    """Left join to the daily reduction, so a hotel has one row per day."""
-    return hotels.join(daily_cell_weather(weather, cell), cell, "left")
+    """Left join to the daily reduction, so a hotel has one row per day.
+
+    Weather of cells without a hotel is left out before it is aggregated.
+    """
+    return hotels.join(daily_cell_weather(semi_prefilter(weather, hotels, cell), cell), cell, "left")
 
 
-def join_unmatched(hotels: DataFrame, weather: DataFrame, cell: str = "Geohash", precision: int = 4) -> DataFrame:
+def join_unmatched(hotels: DataFrame, weather: DataFrame, cell: str = "Geohash") -> DataFrame:
     """Distinct rows of the left join that the inner join lacks.
 
     These are the hotels without weather, so the two joins and their difference are not built.
     """
-    lone = hotels.dropDuplicates().join(distinct_cells(weather, cell, precision), cell, "left_anti")
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in weather.schema if f.name != cell]
-    return lone.select(cell, *[c for c in hotels.columns if c != cell], *empty)
+    lone = hotels.dropDuplicates().join(distinct_cells(weather, cell), cell, "left_anti")
+    return _without_weather(lone, hotels, weather, cell)

@@ -25,13 +25,15 @@ from staylake.functions.stay import (
 from staylake.functions.temperature import exact_mean
 
 
-def hotel_daily(weather: DataFrame, attributes: Sequence[str] = ("address",)) -> DataFrame:
-    """One row per hotel and day with the exact mean temperature and the named hotel attributes."""
-    daily = weather.groupBy("id", "wthr_date", *attributes).agg(
-        exact_mean("avg_tmpr_c", 5).alias("avg_tmpr_c")
-    )
+def hotel_daily(
+    weather: DataFrame, attributes: Sequence[str] = ("address",), measures: Sequence[str] = ("avg_tmpr_c",)
+) -> DataFrame:
+    """One row per hotel and day with the means of the measures and the named hotel attributes."""
+    means = [exact_mean(c).alias(c) for c in measures]
+    daily = weather.groupBy("id", "wthr_date", *attributes).agg(*means)
     observed = day("wthr_date")
-    return daily.withColumns({"year": F.year(observed), "month": F.month(observed)})
+    parts = {"year": F.year(observed), "month": F.month(observed), "day": F.dayofmonth(observed)}
+    return daily.withColumns(parts)
 
 
 def stay_length(visits: DataFrame) -> DataFrame:
@@ -67,7 +69,7 @@ def _by_day(daily: DataFrame, *columns: str) -> DataFrame:
 
 def _exact(column: Column) -> Column:
     """Temperature as a decimal, so that half-way roundings carry no binary noise."""
-    return column.cast("decimal(18,8)")
+    return column.cast("decimal(28,12)")
 
 
 def _round5(value: Column) -> Column:
@@ -177,7 +179,7 @@ def stay_trend_as_stated(visits: DataFrame, daily: DataFrame) -> DataFrame:
         .groupBy("hotel_id", "address", "_ci", "_co", "visits")
         .agg(
             _round5(change).alias("weather_trend"),
-            exact_mean("avg_tmpr_c", 8).alias("avg_tmpr_c_stay"),
+            exact_mean("avg_tmpr_c", None).alias("avg_tmpr_c_stay"),
             F.count(F.lit(1)).alias("days_observed"),
         )
         .withColumnsRenamed({"_ci": "srch_ci", "_co": "srch_co"})
@@ -186,10 +188,11 @@ def stay_trend_as_stated(visits: DataFrame, daily: DataFrame) -> DataFrame:
 
 
 def visit_weather_full(visits: DataFrame, daily: DataFrame) -> DataFrame:
-    """Every column of both tables for the weather of the check-in day, ready to be partitioned.
+    """Every column of the visits with the daily weather of the check-in day, ready to be partitioned.
 
-    A join on the hotel alone pairs all visits of a hotel with all its weather rows;
-    ``visit_weather_sizes`` tells how large that table would be.
+    The visit's own id gives way to ``hotel_id``, which is the weather's id too. A join on the hotel alone
+    pairs all visits of a hotel with all its weather rows; ``visit_weather_sizes`` tells how large that
+    table would be.
     """
     weather = daily.withColumn("hotel_id", F.col("id").try_cast("bigint")).drop("id")
     keyed = visits.drop("id").withColumn("_day", day("srch_ci"))

@@ -7,7 +7,7 @@ event falls in) rather than the way the jobs work, so that it checks them.
 from __future__ import annotations
 
 from staylake.functions.geohash import GEOHASH_ALPHABET
-from staylake.plans.views import STATUS_CODES
+from staylake.plans.views import STATUS_CODES, UNKNOWN
 
 
 def _geohash4(lat: str, lng: str) -> str:
@@ -32,9 +32,10 @@ _DAY = """l_extendedprice / 1000 AS avg_tmpr_c, l_extendedprice / 1000 * 9 / 5 +
     strftime(l_shipdate, '%Y-%m-%d') AS wthr_date, CAST(year(l_shipdate) AS INT) AS year,
     CAST(month(l_shipdate) AS INT) AS month, CAST(day(l_shipdate) AS INT) AS day"""
 # Five places, halves away from zero as Spark rounds; exact because it happens on decimals.
-_HALF_UP = "CAST(round(CAST({} AS DECIMAL(18,8)), 5) AS DOUBLE)".format
+_HALF_UP = "CAST(round(CAST({} AS DECIMAL(28,12)), 5) AS DOUBLE)".format
 _CODES = ", ".join(f"({code}, '{text}')" for code, text in STATUS_CODES)
-_EXACT_MEAN = "CAST(sum(CAST(avg_tmpr_c AS DECIMAL(20,5))) AS DOUBLE) / count(avg_tmpr_c)"
+# A plain mean; only the result is rounded, to places well above the noise of doubles.
+_MEAN = "round(avg({}), 10)".format
 
 # View name -> (views it reads, SQL).
 _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -81,8 +82,8 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "daily": (
         ("hotel_weather",),
-        f"""SELECT id, address, city, country, "geoHash", wthr_date, year, month, {_EXACT_MEAN} AS avg_tmpr_c
-    FROM hotel_weather GROUP BY ALL""",
+        f"""SELECT id, name, address, city, country, "geoHash", latitude, longitude, wthr_date, year, month, day,
+    {_MEAN('avg_tmpr_c')} AS avg_tmpr_c, {_MEAN('avg_tmpr_f')} AS avg_tmpr_f FROM hotel_weather GROUP BY ALL""",
     ),
     "begun": (
         (),
@@ -91,18 +92,18 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "visit": (
         ("begun",),
-        """SELECT l_orderkey AS id, strftime(b, '%Y-%m-%d') || ' 12:30:00' AS date_time,
+        f"""SELECT l_orderkey AS id, strftime(b, '%Y-%m-%d') || ' 12:30:00' AS date_time,
     l_linenumber AS site_name, CAST(l_suppkey % 6 AS INT) AS posa_continent,
     CAST(l_partkey % 200 AS INT) AS user_location_country, CAST(l_partkey % 50 AS INT) AS user_location_region,
     CAST(l_partkey % 1000 AS INT) AS user_location_city,
-    CASE WHEN l_discount <> 0.1 THEN l_extendedprice END AS orig_destination_distance,
+    CASE WHEN l_discount <> 0.1 THEN CAST(l_extendedprice AS DECIMAL(12,2)) END AS orig_destination_distance,
     CAST(l_partkey AS INT) AS user_id, CAST(l_returnflag = 'R' AS INT) AS is_mobile,
     CAST(l_linestatus = 'O' AS INT) AS is_package, l_linenumber AS channel,
     CASE WHEN l_discount <> 0 THEN strftime(b, '%Y-%m-%d') END AS srch_ci,
     CASE WHEN l_tax <> 0 THEN strftime(b + n, '%Y-%m-%d') END AS srch_co,
     l_linenumber AS srch_adults_cnt, q % 3 AS srch_children_cnt, q % 2 + 1 AS srch_rm_cnt,
-    CAST(l_suppkey AS INT) AS srch_destination_id, q % 9 AS srch_destination_type_id, l_suppkey AS hotel_id
-    FROM begun""",
+    CAST(l_suppkey AS INT) AS srch_destination_id, q % 9 AS srch_destination_type_id,
+    l_suppkey + CASE WHEN l_partkey % 40 = 0 THEN {UNKNOWN} ELSE 0 END AS hotel_id FROM begun""",
     ),
     "stay": (
         ("visit",),
@@ -123,7 +124,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "click": (
         (),
-        """SELECT epoch_us(ts) // 1000 AS _time, ts, user_id AS userid,
+        f"""SELECT epoch_us(ts) // 1000 AS _time, ts, user_id + CASE WHEN event_id % 20 = 0 THEN {UNKNOWN} ELSE 0 END AS userid,
     '10.0.' || (user_id // 256) || '.' || (user_id % 256) AS ip,
     event_type || CASE WHEN event_type IN ('click', 'view') THEN '.html' ELSE '' END AS request,
     CASE WHEN event_type <> 'error' THEN 200 ELSE CAST(json_extract(props, '$.k') AS INT) % 6 + 400 END AS status,
@@ -132,7 +133,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "web_user": (
         (),
         """SELECT c_custkey AS user_id, c_name AS username, n_name AS city FROM customer
-    JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0""",
+    JOIN nation ON c_nationkey = n_nationkey""",
     ),
     "code": ((), f"SELECT * FROM (VALUES {_CODES}) t(code, definition)"),
     "user_click": (
@@ -143,7 +144,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "code_click": (("click", "code"), "SELECT code, definition, ts FROM click LEFT JOIN code ON status = code"),
     "gold": (
         ("silver",),
-        """SELECT city, wthr_date, count(DISTINCT id) AS distinct_hotels, round(avg(avg_tmpr_c), 1) AS avg_t,
+        """SELECT city, wthr_date, count(DISTINCT id) AS distinct_hotels, round(round(avg(avg_tmpr_c), 10), 1) AS avg_t,
     round(max(avg_tmpr_c), 1) AS max_t, round(min(avg_tmpr_c), 1) AS min_t FROM silver GROUP BY city, wthr_date""",
     ),
     "city_rank": (
@@ -209,23 +210,25 @@ _NIGHTS = "(SELECT *, coalesce(nights, 0) AS n FROM stay)"
 _EDGE = "abs(day(co_d) - day(ci_d)) >= 7"
 _MONTHS = "unnest([8, 9, 10])"
 _STAY = "id, hotel_id, srch_ci, srch_co"
-_VISIT_JSON = ", ".join(
-    f"'{c}', {c}"
-    for c in (
-        "id date_time site_name posa_continent user_location_country user_location_region user_location_city "
-        "user_id is_mobile is_package channel srch_ci srch_co srch_adults_cnt srch_children_cnt srch_rm_cnt "
-        "srch_destination_id srch_destination_type_id hotel_id"
-    ).split()
+_BEFORE_DISTANCE = """id date_time site_name posa_continent user_location_country user_location_region
+    user_location_city""".split()
+_AFTER_DISTANCE = """user_id is_mobile is_package channel srch_ci srch_co srch_adults_cnt srch_children_cnt srch_rm_cnt
+    srch_destination_id srch_destination_type_id hotel_id""".split()
+_OBJECT = lambda names: "CAST(json_object(" + ", ".join(f"'{c}', {c}" for c in names) + ") AS VARCHAR)"
+# The decimal with all its places, which json_object leaves out.
+_DISTANCE = "coalesce(CAST(orig_destination_distance AS VARCHAR), 'null')"
+_MESSAGE = (
+    f"rtrim({_OBJECT(_BEFORE_DISTANCE)}, '}}') || ',\"orig_destination_distance\":' || {_DISTANCE}"
+    f" || ',' || ltrim({_OBJECT(_AFTER_DISTANCE)}, '{{')"
 )
-_MESSAGE = f"CAST(json_object({_VISIT_JSON}) AS VARCHAR)"
 _VISITS = "SELECT month_ci, month_co, hotel_id, count(hotel_id) AS visitors FROM stay GROUP BY ALL"
 _JOINED = "SELECT month_ci, month_co, address, count(address) AS visitors FROM joined GROUP BY ALL"
 _GUESTS = """SELECT DISTINCT month_ci, month_co, address, srch_adults_cnt, srch_children_cnt,
     srch_adults_cnt + srch_children_cnt AS visitors FROM joined WHERE srch_adults_cnt > 0 OR srch_children_cnt > 0"""
 _LISTED = "(SELECT m.*, l.month FROM ({}) m JOIN (SELECT unnest([8, 9, 10]) AS month) l ON month_ci = l.month OR month_co = l.month)".format
 _RANGE = "SELECT month AS month, round(max(avg_tmpr_c) - min(avg_tmpr_c), 5) AS tmpr_diff_cmax, address FROM hotel_weather GROUP BY month, address"
-_NAMED = """(SELECT s.srch_ci, s.srch_co, s.month_ci, s.month_co, s.hotel_id, w.name AS address,
-    count(s.hotel_id) AS visits FROM stay s LEFT JOIN silver w ON s.hotel_id = CAST(w.id AS BIGINT) GROUP BY ALL)"""
+_NAMED = """(SELECT s.srch_ci, s.srch_co, s.month_ci, s.month_co, s.hotel_id, w.address,
+    count(s.hotel_id) AS visits FROM stay s LEFT JOIN hotel_weather w ON s.hotel_id = CAST(w.id AS BIGINT) GROUP BY ALL)"""
 _EVERY_MONTH = """(SELECT *, CAST(ci_d + to_months(CAST(k AS INT)) AS DATE) AS m FROM (SELECT *,
     unnest(generate_series(0, greatest(CAST(round(apart) AS BIGINT), 0))) AS k FROM months_apart WHERE apart IS NOT NULL))"""
 _TOUCHED = """(SELECT *, CAST(unnest(generate_series(date_trunc('month', ci_d), date_trunc('month', co_d),
@@ -283,10 +286,24 @@ _CLICKS = {
     ),
 }
 
+_BUSY = _sql(
+    _ranked(
+        f"""(SELECT DISTINCT CAST(year(m) AS INT) AS year, CAST(month(m) AS INT) AS month, hotel_id, address, visits
+FROM (SELECT srch_ci, srch_co, m, hotel_id, w.address, count(hotel_id) AS visits FROM {_EVERY_MONTH} e
+JOIN hotel_weather w ON e.hotel_id = CAST(w.id AS BIGINT) GROUP BY ALL))""",
+        "year, month",
+        "visits DESC, hotel_id, address",
+        "year, month, hotel_id, address, visits",
+    ),
+    "months_apart",
+    "hotel_weather",
+)
+
 ORACLES: dict[str, str] = {
     # Sources and sinks
     "src_csv_schema": _sql("SELECT * FROM hotel", "hotel"),
-    "src_union_files": _sql("SELECT year, month, count(*) AS cm FROM hotel_weather GROUP BY ALL", "hotel_weather"),
+    "src_union_files": """SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate, CAST(month(l_shipdate) AS INT) AS month
+    FROM lineitem""",
     "src_union_schemas": """SELECT c_name AS name, c_acctbal AS balance, c_mktsegment AS segment FROM customer
     UNION ALL SELECT s_name, s_acctbal, NULL FROM supplier""",
     "src_parquet_parts": _sql("SELECT * FROM hotel_weather", "hotel_weather"),
@@ -299,7 +316,7 @@ ORACLES: dict[str, str] = {
     "ctas_mart": _sql("SELECT * FROM gold", "gold"),
     "json_encode_rows": _sql(f"SELECT {_MESSAGE} AS value FROM visit", "visit"),
     "json_decode_rows": _sql(
-        "SELECT * EXCLUDE (orig_destination_distance) FROM visit WHERE srch_co IS NOT NULL", "visit"
+        "SELECT * FROM visit WHERE srch_co IS NOT NULL", "visit"
     ),
     "json_reject_rows": _sql(
         f"SELECT substr(m, 1, CAST(length(m) // 2 AS INT)) AS value FROM (SELECT {_MESSAGE} AS m FROM visit WHERE srch_co IS NULL)",
@@ -349,9 +366,9 @@ ORACLES: dict[str, str] = {
     "distinct_rows": _sql(
         """SELECT DISTINCT 'year_month' AS kind, year, month FROM hotel_weather
     UNION ALL SELECT DISTINCT 'month', CAST(NULL AS INT), month FROM hotel_weather
-    UNION ALL SELECT DISTINCT 'check_in_month', CAST(NULL AS INT), month_ci FROM stay""",
+    UNION ALL SELECT DISTINCT 'check_in_month', CAST(NULL AS INT), month_ci FROM joined""",
         "hotel_weather",
-        "stay",
+        "joined",
     ),
     # Stays
     "stay_length": _sql(
@@ -382,14 +399,14 @@ ORACLES: dict[str, str] = {
         'SELECT * FROM hotel_cell LEFT JOIN weather_cell USING ("Geohash")', "weather_cell", "hotel_cell"
     ),
     "join_geohash_daily": _sql(
-        f"""SELECT * FROM hotel_cell LEFT JOIN (SELECT "Geohash", wthr_date, {_EXACT_MEAN} AS mean_tmpr_c,
+        f"""SELECT * FROM hotel_cell LEFT JOIN (SELECT "Geohash", wthr_date, {_MEAN('avg_tmpr_c')} AS mean_tmpr_c,
     count(*) AS measurements FROM weather_cell GROUP BY ALL) USING ("Geohash")""",
         "weather_cell",
         "hotel_cell",
     ),
     "join_unmatched": _sql(
-        """SELECT * FROM hotel_cell LEFT JOIN (SELECT * FROM weather_cell WHERE avg_tmpr_c >= 100) USING ("Geohash")
-    EXCEPT SELECT * FROM hotel_cell JOIN (SELECT * FROM weather_cell WHERE avg_tmpr_c >= 100) USING ("Geohash")""",
+        """SELECT * FROM hotel_cell LEFT JOIN weather_cell USING ("Geohash")
+    EXCEPT SELECT * FROM hotel_cell JOIN weather_cell USING ("Geohash")""",
         "weather_cell",
         "hotel_cell",
     ),
@@ -406,7 +423,7 @@ ORACLES: dict[str, str] = {
         "hotel_weather",
     ),
     "visit_hotel_left": _sql(
-        f"SELECT srch_ci, srch_co, month_ci, month_co, hotel_id, address, visits FROM {_NAMED}", "stay", "silver"
+        f"SELECT srch_ci, srch_co, month_ci, month_co, hotel_id, address, visits FROM {_NAMED}", "stay", "hotel_weather"
     ),
     "topn_by_selfjoin": _sql(
         """SELECT t1.address, t1.month, t1.avg_tmpr_c, t1.wthr_date FROM daily t1 JOIN daily t2
@@ -529,20 +546,9 @@ ORACLES: dict[str, str] = {
             "AND srch_ci IS NOT NULL",
         ),
         "stay",
-        "silver",
-    ),
-    "top10_busy_ref": _sql(
-        _ranked(
-            f"""(SELECT DISTINCT CAST(year(m) AS INT) AS year, CAST(month(m) AS INT) AS month, hotel_id, address, visits
-    FROM (SELECT srch_ci, srch_co, m, hotel_id, w.address, count(hotel_id) AS visits FROM {_EVERY_MONTH} e
-    JOIN hotel_weather w ON e.hotel_id = CAST(w.id AS BIGINT) GROUP BY ALL))""",
-            "year, month",
-            "visits DESC, hotel_id, address",
-            "year, month, hotel_id, address, visits",
-        ),
-        "months_apart",
         "hotel_weather",
     ),
+    "top10_busy_ref": _BUSY,
     "top10_busy_spec": _sql(
         _ranked(
             f"""(SELECT CAST(year(m) AS INT) AS year, CAST(month(m) AS INT) AS month, hotel_id, count(*) AS visits
@@ -566,13 +572,14 @@ ORACLES: dict[str, str] = {
     "stay_trend_spec": _sql(
         f"""SELECT hotel_id, address, srch_ci, srch_co, visits,
     {_HALF_UP('arg_max(avg_tmpr_c, d) - arg_min(avg_tmpr_c, d)')} AS weather_trend,
-    CAST(sum(CAST(avg_tmpr_c AS DECIMAL(20,8))) AS DOUBLE) / count(avg_tmpr_c) AS avg_tmpr_c_stay,
+    CAST(sum(CAST(avg_tmpr_c AS DECIMAL(28,12))) AS DOUBLE) / count(avg_tmpr_c) AS avg_tmpr_c_stay,
     count(*) AS days_observed FROM (SELECT hotel_id, srch_ci, srch_co, ci_d, co_d, count(*) AS visits FROM stay
     WHERE nights > 7 GROUP BY ALL) JOIN hotel_day ON hotel_id = hid AND d BETWEEN ci_d AND co_d
     GROUP BY hotel_id, address, srch_ci, srch_co, visits""",
         "stay",
         "hotel_day",
     ),
+    "sink_partitioned_busy": _BUSY,
     "category_hotels": _sql(
         f"""SELECT {_STATED} AS category, count(*) AS hotels, count(DISTINCT hotel_id) AS distinct_hotels
     FROM {_NIGHTS} GROUP BY 1""",

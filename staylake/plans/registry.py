@@ -64,17 +64,13 @@ def _silver(spark, sf):
     return medal.silver_projection(views.hotel_weather(spark, sf, raw_coords=True))
 
 
-def _silver_weather(spark, sf):
-    """Silver rows with the hotel's name where the marts look for it."""
-    return _silver(spark, sf).drop("address").withColumnRenamed("name", "address")
-
-
 def _daily(spark, sf):
     return stays.hotel_daily(views.hotel_weather(spark, sf))
 
 
 def _daily_full(spark, sf):
-    return stays.hotel_daily(views.hotel_weather(spark, sf), ["address", "city", "country", "geoHash"])
+    attributes = ["name", "address", "city", "country", "geoHash", "latitude", "longitude"]
+    return stays.hotel_daily(views.hotel_weather(spark, sf), attributes, ["avg_tmpr_c", "avg_tmpr_f"])
 
 
 # Sources and sinks ------------------------------------------------------------------------------
@@ -93,10 +89,12 @@ def src_csv_schema(spark, sf):
 
 @query
 def src_union_files(spark, sf):
+    """The observations as one folder a month, read back as one table."""
     path = scratch_dir(spark, "weather-files")
-    summary = marts.year_month_count(views.hotel_weather(spark, sf))
-    writers.write_mart(summary.withColumn("part", F.col("year")), path, ["part"])
-    return readers.read_many(spark, [path], "parquet", "year int, month int, cm bigint")
+    rows = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    rows = rows.withColumn("month", F.month("l_shipdate"))
+    writers.write_mart(rows.withColumn("part", F.col("month")), path, ["part"])
+    return readers.read_many(spark, [path], "parquet", rows.schema)
 
 
 @query
@@ -132,6 +130,14 @@ def sink_partitioned(spark, sf):
     return readers.read_table(spark, path, "parquet", "address string, tmpr_diff_cmax double, month int")
 
 
+@query
+def sink_partitioned_busy(spark, sf):
+    path = scratch_dir(spark, "busy-mart")
+    mart = marts.top10_busy_as_coded(views.visit(spark, sf), views.hotel_weather(spark, sf))
+    writers.write_mart(mart, path, ["year", "month"])
+    return spark.read.schema(mart.schema).parquet(path)
+
+
 def _table_name(stem: str) -> str:
     import uuid
 
@@ -157,7 +163,7 @@ def ctas_mart(spark, sf):
 
 
 def _messages(spark, sf):
-    return messages.encode_rows(views.visit(spark, sf).drop("orig_destination_distance"))
+    return messages.encode_rows(views.visit(spark, sf))
 
 
 @query
@@ -166,7 +172,7 @@ def json_encode_rows(spark, sf):
 
 
 def _visit_schema(spark, sf):
-    return views.visit(spark, sf).drop("orig_destination_distance").schema
+    return views.visit(spark, sf).schema
 
 
 def _stored_messages(spark, sf):
@@ -321,16 +327,17 @@ _named("join_geohash_left", lambda s, d: places.join_on_cell(_hotel_table(s, d),
 _named("join_geohash_daily", lambda s, d: places.join_cell_daily(_hotel_table(s, d), _weather_cells(s, d)))
 
 
+_named("join_unmatched", lambda s, d: places.join_unmatched(_hotel_table(s, d), _weather_cells(s, d)))
 @query
-def join_unmatched(spark, sf):
-    """Hotels whose cell has no weather at or above 100 degrees."""
-    hot = _weather_cells(spark, sf).where(F.col("avg_tmpr_c") >= 100)
-    return places.join_unmatched(_hotel_table(spark, sf), hot)
+def visit_weather_full(spark, sf):
+    path = scratch_dir(spark, "visit-weather")
+    rows = stays.visit_weather_full(views.visit(spark, sf), _daily_full(spark, sf))
+    writers.write_mart(rows, path, ["year", "month", "day"])
+    return spark.read.schema(rows.schema).parquet(path)
 
 
-_named("visit_weather_full", lambda s, d: stays.visit_weather_full(views.visit(s, d), _daily_full(s, d)))
 _named("visit_weather_sizes", lambda s, d: stays.visit_weather_sizes(views.visit(s, d), views.hotel_weather(s, d)))
-_named("visit_hotel_left", lambda s, d: marts.visit_hotel_left(views.visit(s, d), _silver_weather(s, d)))
+_named("visit_hotel_left", lambda s, d: marts.visit_hotel_left(views.visit(s, d), views.hotel_weather(s, d)))
 _named("topn_by_selfjoin", lambda s, d: marts.topn_with_ties_dropped(_daily(s, d)))
 _named("stay_weather_range", lambda s, d: stays.stay_weather_range(views.visit(s, d), _daily_full(s, d)))
 _named("stay_edges", lambda s, d: stays.stay_edges(views.visit(s, d), _daily(s, d)))
@@ -361,7 +368,7 @@ _named("joined_visitors", lambda s, d: marts.joined_visitors(_V(s, d), _W(s, d))
 _named("joined_visitors_one_month", lambda s, d: marts.joined_visitors_of_month(_V(s, d), _W(s, d)))
 _named("guests_per_stay", lambda s, d: marts.guests_per_stay(_V(s, d), _W(s, d)))
 _named("visits_by_exact_stay", lambda s, d: marts.visits_by_exact_stay(_V(s, d)))
-_named("visits_by_exact_stay_named", lambda s, d: marts.visits_by_exact_stay_named(_V(s, d), _silver_weather(s, d)))
+_named("visits_by_exact_stay_named", lambda s, d: marts.visits_by_exact_stay_named(_V(s, d), views.hotel_weather(s, d)))
 _named("top10_busy_ref", lambda s, d: marts.top10_busy_as_coded(_V(s, d), _W(s, d)))
 _named("top10_busy_spec", lambda s, d: marts.top10_busy_as_stated(_V(s, d)))
 _named("stay_trend_ref", lambda s, d: stays.stay_trend_as_coded(_V(s, d), _daily(s, d)))

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from staylake.functions.geohash import geohash
 
 
+# Keys from here on belong to no hotel and no user.
+UNKNOWN = 10**12
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -145,7 +149,7 @@ def hotel_weather(
 
 
 def visit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stays of -2 to 47 nights, some of 407; a check-in or check-out may be missing."""
+    """Stays of -2 to 47 nights, some of 407; a check-in or check-out may be missing, a hotel unknown."""
     nights = F.col("l_quantity").cast("int") - 3 + F.when(F.col("l_quantity") == 50, 360).otherwise(0)
     begin = F.date_add(F.col("l_shipdate").cast("date"), F.col("l_linenumber") - 1)
     quantity = F.col("l_quantity").cast("int")
@@ -158,7 +162,7 @@ def visit(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_int(F.col("l_partkey") % 200).alias("user_location_country"),
         as_int(F.col("l_partkey") % 50).alias("user_location_region"),
         as_int(F.col("l_partkey") % 1000).alias("user_location_city"),
-        F.when(F.col("l_discount") != 0.1, F.col("l_extendedprice")).alias("orig_destination_distance"),
+        F.when(F.col("l_discount") != 0.1, F.col("l_extendedprice").cast("decimal(12,2)")).alias("orig_destination_distance"),
         as_int(F.col("l_partkey")).alias("user_id"),
         as_int(F.col("l_returnflag") == "R").alias("is_mobile"),
         as_int(F.col("l_linestatus") == "O").alias("is_package"),
@@ -170,7 +174,7 @@ def visit(spark: SparkSession, sf_dir: str) -> DataFrame:
         (quantity % 2 + 1).alias("srch_rm_cnt"),
         as_int(F.col("l_suppkey")).alias("srch_destination_id"),
         (quantity % 9).alias("srch_destination_type_id"),
-        F.col("l_suppkey").alias("hotel_id"),
+        (F.col("l_suppkey") + F.when(F.col("l_partkey") % 40 == 0, UNKNOWN).otherwise(0)).alias("hotel_id"),
     )
 
 
@@ -180,13 +184,14 @@ _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 def clicks_of(events: DataFrame) -> DataFrame:
     user = F.col("user_id")
+    known = F.col("event_id") % 20 != 0
     number = F.from_json("props", "k int")["k"]
     micros = F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, ts)")
     page = F.col("event_type").isin("click", "view")
     return events.select(
         F.floor(micros / 1000).alias("_time"),
         F.timestamp_micros(micros).alias("ts"),
-        user.alias("userid"),
+        (user + F.when(known, 0).otherwise(UNKNOWN)).alias("userid"),
         F.concat(F.lit("10.0."), F.floor(user / 256).cast("string"), F.lit("."), (user % 256).cast("string")).alias("ip"),
         F.concat("event_type", F.when(page, ".html").otherwise("")).alias("request"),
         F.when(F.col("event_type") != "error", 200).otherwise(number % 6 + 400).alias("status"),
@@ -199,11 +204,10 @@ def click(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def web_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in credit; the others stay unknown to the clickstream."""
+    """All customers; some clicks come from users beyond them."""
     nation = table(spark, sf_dir, "nation")
     return (
         table(spark, sf_dir, "customer")
-        .where(F.col("c_acctbal") >= 0)
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("c_custkey").alias("user_id"),

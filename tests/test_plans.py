@@ -5,11 +5,10 @@ import io
 
 import pytest
 
-from __spark_entry__ import queries
 from staylake.operators import clicks, marts, places, stays
 from staylake.plans import views
+from staylake.plans.registry import QUERIES
 
-QUERIES = queries()
 # These run something while they are built, or fit a model.
 EAGER = {n for n in QUERIES if n.endswith("_stream") or n.startswith(("src_", "sink_partitioned", "stream_", "roll_"))} | {
     "copy_one_day_per_cycle", "ctas_mart", "catalog_table", "json_decode_rows", "json_reject_rows", "city_series",

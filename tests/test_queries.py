@@ -3,10 +3,10 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from staylake.plans.oracles import ORACLES
+from staylake.plans.registry import QUERIES
 from tests.check import differences, duck
 
-ORACLES = oracle_sql()
-QUERIES = queries()
 # Fitted models have no SQL; tests/test_models.py checks them.
 MODELS = {"rf_baseline", "feature_importance", "tuned_sweep", "batch_score", "score_udf"}
 
@@ -19,6 +19,7 @@ def con(sf):
 def test_every_query_but_the_models_has_sql():
     assert set(QUERIES) - set(ORACLES) == MODELS
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLES])
