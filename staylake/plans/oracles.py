@@ -286,6 +286,9 @@ _CLICKS = {
     ),
 }
 
+# The stated model of the scoring queries: 64 weights and an intercept.
+_SCORES = """SELECT vec_id, round(1 / (1 + exp(-(0.25::DOUBLE + list_sum(list_transform(range(64),
+    lambda i: CAST(embedding[i + 1] AS DOUBLE) * ((i * 37) % 11 - 5) / 10))))), 6) AS prediction FROM embeddings"""
 _BUSY = _sql(
     _ranked(
         f"""(SELECT DISTINCT CAST(year(m) AS INT) AS year, CAST(month(m) AS INT) AS month, hotel_id, address, visits
@@ -615,6 +618,15 @@ ORACLES: dict[str, str] = {
     # Tabular models
     "train_test_split": """SELECT vec_id, CAST('0x' || substr(md5('123:' || vec_id), 1, 8) AS BIGINT) % 100 < 75
     AS is_train FROM embeddings""",
+    "rf_baseline": """SELECT 10::BIGINT AS trees, count(*) FILTER (is_train) AS train_rows,
+    count(*) FILTER (NOT is_train) AS test_rows, true AS better_than_chance FROM (SELECT
+    CAST('0x' || substr(md5('123:' || vec_id), 1, 8) AS BIGINT) % 100 < 75 AS is_train FROM embeddings)""",
+    "feature_importance": """SELECT 'f' || unnest(range(max(len(embedding)))) AS feature, true AS is_share,
+    1.0::DOUBLE AS total FROM embeddings""",
+    "tuned_sweep": """SELECT CAST(unnest(range(1, 7)) AS INT) AS place, true AS is_auc, true AS in_range
+    FROM (SELECT 1 FROM embeddings LIMIT 1)""",
+    "batch_score": _SCORES,
+    "score_udf": _SCORES,
     "label_histogram": "SELECT label, count(*) AS rows FROM embeddings GROUP BY label",
     "box_stats_by_label": """SELECT label, feature, round(min(value), 6) AS min,
     round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS median,

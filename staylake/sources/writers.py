@@ -33,6 +33,10 @@ def drop_null_records(df: DataFrame, value_columns: Sequence[str]) -> DataFrame:
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """A database, at ``location`` if the caller names one; an existing one keeps its place.
+
+    Tables name their own location, so they do not depend on it.
+    """
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
@@ -54,7 +58,9 @@ def create_table_as(spark: SparkSession, table: str, path: str, query: str, fmt:
 def copy_next_day(source: DataFrame, target: str, day: str) -> str | None:
     """Copy the earliest day that the target lacks; returns it, or None when all are there.
 
-    The day's partition is overwritten, so a cycle that was cut off is simply run again.
+    A day counts as copied once its marker is written, after the commit of its rows: a cycle that was cut
+    off leaves no marker, and the next one overwrites the day's partition. A source that is stored by day
+    answers both scans from its folders.
     """
     spark = source.sparkSession
     days = source.select(day).where(F.col(day).isNotNull()).distinct()
@@ -65,15 +71,22 @@ def copy_next_day(source: DataFrame, target: str, day: str) -> str | None:
     if next_day is None:
         return None
     write_mart(source.where(F.col(day) == next_day), target, [day])
+    marker = spark.range(1).select(F.lit(next_day).alias(day))
+    marker.write.mode("overwrite").parquet(f"{_markers(target)}/copied={next_day}")
     return next_day
 
 
+def _markers(target: str) -> str:
+    """Markers lie beside the table, so that readers of the table do not see them."""
+    return f"{target.rstrip('/')}-copied"
+
+
 def copied_days(spark: SparkSession, target: str, day: str) -> DataFrame | None:
-    """Days present in the target, or None before the first cycle."""
+    """Days whose copy was completed, or None before the first cycle."""
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.schema(f"{day} string").parquet(target).select(day).distinct()
+        return spark.read.schema(f"{day} string").parquet(_markers(target)).select(day).distinct()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None

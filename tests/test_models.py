@@ -31,19 +31,31 @@ def test_split_is_stable_and_near_its_share(spark, wine):
 
 
 def test_forest_finds_the_signal(spark, parts):
-    assert models.rf_baseline(*parts, "high").first().auc > 0.89
-    top = models.feature_importance(models.fit_forest(parts[0], "high"), ["a", "b", "noise"], spark).collect()
+    row = models.rf_baseline(*parts, "high").first()
+    assert row.auc > 0.89 and row.trees == 10 and row.train_rows + row.test_rows == 800
+    top = models.feature_importance(models.fit_forest(parts[0], "high"), spark, ["a", "b", "noise"]).collect()
     assert [r.feature for r in top] == ["a", "b", "noise"]
     assert sum(r.importance for r in top) == pytest.approx(1.0)
 
 
 def test_sweep_ranks_its_trials(parts):
-    ranked, best = models.tuned_sweep(parts[0], "high", trials=3, rounds=3)
+    ranked, best = models.tuned_sweep(parts[0], "high", trials=3, rounds=3, depth=(2, 4), key="key")
     scores = [r.auc for r in ranked.collect()]
     assert len(scores) == 3 and scores == sorted(scores, reverse=True)
     assert models.auc(best.transform(parts[1]), "high") > 0.85
 
 
+def test_sweep_draws_from_the_whole_space():
+    from pyspark.ml.classification import GBTClassifier
+
+    estimator = GBTClassifier()
+    maps = models.draw_trials(estimator, models.TRIALS)
+    assert len(maps) == 96
+    depths = [m[estimator.maxDepth] for m in maps]
+    assert min(depths) >= 4 and max(depths) <= 30 and len(set(depths)) > 15
+    assert all(0.0497 < m[estimator.stepSize] <= 1 for m in maps)
+
+
 def test_scores_cover_every_row_and_agree(wine, parts):
     model = models.fit_linear(parts[0], "high")
     jvm = models.batch_score(model, models.with_vector(wine, "x"), "key")

@@ -48,6 +48,14 @@ def test_days_are_copied_one_per_cycle_and_resume(spark):
     assert rows_of(readers.read_table(spark, path, "parquet", "v int, d string").select("v")) == [(1,), (2,), (3,), (9,)]
 
 
+def test_a_day_cut_off_before_its_marker_is_copied_again(spark):
+    path = scratch_dir(spark, "days")
+    source = spark.createDataFrame([(1, "2017-08-01"), (2, "2017-08-01"), (3, "2017-08-02")], "v int, d string")
+    writers.write_mart(source.where("v = 1"), path, ["d"])  # half of a day, as a cycle without a commit leaves it
+    assert [writers.copy_next_day(source, path, "d") for _ in range(3)] == ["2017-08-01", "2017-08-02", None]
+    assert rows_of(readers.read_table(spark, path, "parquet", "v int, d string").select("v")) == [(1,), (2,), (3,)]
+
+
 def test_null_records_and_formats(spark):
     df = spark.createDataFrame([(1, "a", None), (2, None, None), (None, "b", "c")], "k int, x string, y string")
     assert [r.k for r in writers.drop_null_records(df, ["x", "y"]).collect()] == [1, None]
