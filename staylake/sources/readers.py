@@ -1,4 +1,7 @@
-"""Batch and streaming readers with declared schemas; no reader infers one."""
+"""Batch and streaming readers with declared schemas: none infers a schema from the rows.
+
+Tables that carry their own schema (the views, tables of the catalog) are read by it.
+"""
 
 from __future__ import annotations
 

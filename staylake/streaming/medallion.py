@@ -9,7 +9,7 @@ from staylake.operators.marts import city_day
 from staylake.sources.readers import stream_table
 from staylake.streaming.replay import read_complete, run_append, run_versions
 
-# Column order of the silver table; hotel name and street address trade places.
+# The column order of the silver table; hotel name and street address trade places.
 SILVER_COLUMNS = (
     "id", "name", "address", "avg_tmpr_c", "avg_tmpr_f", "city", "country",
     "geoHash", "latitude", "longitude", "wthr_date", "year", "month", "day",

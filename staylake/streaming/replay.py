@@ -11,6 +11,11 @@ from staylake.session import scratch_dir
 
 TIMEOUT_SECONDS = 24 * 3600
 
+# Full refreshes that stay, so that a reader of the last but one is not cut off.
+REFRESHES = 2
+# Update batches between two compactions.
+COMPACT_EVERY = 10
+
 # Fixed value: the state store that comes with Spark for large state.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -50,15 +55,32 @@ def run_append(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parque
     _finish(query, timeout)
 
 
-def run_versions(stream: DataFrame, mode: str, path: str, checkpoint: str, timeout: int = TIMEOUT_SECONDS) -> None:
+def run_versions(
+    stream: DataFrame, mode: str, path: str, checkpoint: str, keys: Sequence[str] = (), timeout: int = TIMEOUT_SECONDS
+) -> None:
     """Write each micro-batch of an aggregate to its own folder.
 
     A repeated batch overwrites its folder, so a restart after a failure leaves no duplicates, and
-    readers never see a half-replaced table.
+    readers never see a half-replaced table. The number of folders is bounded: of full refreshes the last
+    ``REFRESHES`` stay; updates of ``keys`` are compacted every ``COMPACT_EVERY`` batches into the folder of
+    that batch, and what lies before the compaction before goes, so a compaction that is repeated finds all
+    it needs. Without a watermark the state itself grows with the keys; with one, append mode writes each
+    closed window or session once, to a plain table (:func:`run_append`).
     """
+    schema = stream.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        folder = f"{path}/batch_id={batch_id}"
+        compacts = mode == "update" and keys and (batch_id + 1) % COMPACT_EVERY == 0
+        if compacts:
+            older = _versions(batch.sparkSession, path, schema).where(F.col("batch_id") < batch_id)
+            rows = older.unionByName(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+            batch = _newest(rows, schema, keys)
+        batch.write.mode("overwrite").parquet(folder)
+        if compacts:
+            _drop_before(batch.sparkSession, path, batch_id - COMPACT_EVERY)
+        elif mode == "complete":
+            _drop_before(batch.sparkSession, path, batch_id - REFRESHES + 1)
 
     query = (
         stream.writeStream.outputMode(mode)
@@ -70,6 +92,16 @@ def run_versions(stream: DataFrame, mode: str, path: str, checkpoint: str, timeo
     _finish(query, timeout)
 
 
+def _drop_before(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Remove the folders of earlier batches, in whatever file system ``path`` lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) < batch_id:
+            files.delete(status.getPath(), True)
+
+
 def _versions(spark: SparkSession, path: str, schema) -> DataFrame:
     from pyspark.sql.types import LongType, StructField, StructType
 
@@ -86,10 +118,13 @@ def read_complete(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def read_latest(spark: SparkSession, path: str, schema, keys: Sequence[str]) -> DataFrame:
     """The newest version of each key, which is the table that a stream of updates describes."""
-    versions = _versions(spark, path, schema)
+    return _newest(_versions(spark, path, schema), schema, keys)
+
+
+def _newest(versions: DataFrame, schema, keys: Sequence[str]) -> DataFrame:
     values = [f.name for f in schema.fields if f.name not in keys]
     newest = F.max_by(F.struct(*values), "batch_id").alias("_row")
-    return versions.groupBy(*keys).agg(newest).select(*keys, "_row.*")
+    return versions.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*schema.fieldNames())
 
 
 def replay(
@@ -110,7 +145,7 @@ def replay(
     if mode == "append":
         run_append(stream, path, checkpoint)
         return spark.read.schema(stream.schema).parquet(path)
-    run_versions(stream, mode, path, checkpoint)
+    run_versions(stream, mode, path, checkpoint, keys)
     if mode == "complete":
         return read_complete(spark, path, stream.schema)
     return read_latest(spark, path, stream.schema, keys)

@@ -81,6 +81,22 @@ def test_repair_is_independent_per_coordinate(spark):
     assert {r.column: r.has_nulls for r in null_profile(hotels).collect()}["Latitude"] is True
 
 
+def test_repair_takes_one_gazetteer_row_whole(spark):
+    """The two minima of a repeated key lie in different rows, and text order differs from number order."""
+    hotels = spark.createDataFrame([("1", "n", "US", "c", "a", None, None)], HOTEL)
+    known = [("a", "c", "10", "50"), ("a", "c", "9", "70"), ("a", "c", "20", "40")]
+    row = places.repair_coords(hotels, spark.createDataFrame(known, "Address string, City string, lat string, lng string")).first()
+    assert (row.Latitude, row.Longitude) == ("9", "70")
+
+
+def test_means_of_fine_values(spark):
+    """Finer than any place that is kept: the input must not be rounded."""
+    rows = [("a", 3e-9, "d"), ("a", 4e-9, "d"), ("b", 0.000003, "d"), ("b", 0.000004, "d"), ("c", None, "d")]
+    weather = spark.createDataFrame(rows, "Geohash string, avg_tmpr_c double, wthr_date string")
+    got = {r.Geohash: r.mean_tmpr_c for r in places.daily_cell_weather(weather).collect()}
+    assert got == {"a": 3.5e-9, "b": 0.0000035, "c": None}
+
+
 def test_silver_drops_a_row_with_any_null(spark):
     schema = (
         "address string, city string, country string, geoHash string, id string, name string, wthr_date string, "

@@ -60,8 +60,8 @@ def test_small_tables_are_broadcast_beside_the_large_one(spark, sf):
 
 
 def test_filters_reach_the_scan(spark, sf):
-    text = plan(views.web_users(spark, sf), "formatted")
-    assert "GreaterThanOrEqual(c_acctbal,0.0)" in text
+    text = plan(views.table(spark, sf, "embeddings").where("label >= 7"), "formatted")
+    assert "GreaterThanOrEqual(label,7)" in text
 
 
 def test_clicks_are_counted_before_users_join(spark, sf, no_broadcast):
@@ -73,6 +73,28 @@ def test_clicks_are_counted_before_users_join(spark, sf, no_broadcast):
         assert any("Aggregate" in line for line in lines[join:scan])
 
 
+def test_sessions_merge_clicks_before_the_first_exchange(spark, sf, no_broadcast):
+    """Clicks of a user and stretch are one row a task; no session merge sees raw clicks."""
+    people = views.web_users(spark, sf)
+    for view in (clicks.click_user_sessions, clicks.user_session_kbytes):
+        lines = plan(view(views.click(spark, sf), people)).splitlines()
+        scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "events.parquet" in line)
+        exchange = max(i for i, line in enumerate(lines[:scan]) if "Exchange" in line)
+        assert any("HashAggregate" in line and "_piece" in line for line in lines[exchange:scan])
+        assert all(i < exchange for i, line in enumerate(lines) if "MergingSessions" in line)
+
+
+def test_the_left_join_never_broadcasts_the_weather(spark, sf):
+    lines = plan(QUERIES["join_geohash_left"](spark, sf)).splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = [x for x in lines[i + 1 :]]
+            end = next((k for k, x in enumerate(below) if depth(x) <= depth(line)), len(below))
+            scans = [x for x in below[:end] if "FileScan" in x and "lineitem" in x]
+            assert not scans or any("Aggregate" in x for x in below[:end])  # at most its distinct cells
+
+
 def test_stay_joins_use_day_or_month_beside_the_hotel(spark, sf, no_broadcast):
     daily = stays.hotel_daily(views.hotel_weather(spark, sf))
     for job in (stays.stay_trend_as_stated, stays.stay_trend_as_coded, stays.stay_edges, stays.visit_weather_full):
@@ -81,7 +103,8 @@ def test_stay_joins_use_day_or_month_beside_the_hotel(spark, sf, no_broadcast):
         assert own and all("_day" in line or "_month" in line for line in own)
 
 
-def test_aqe_splits_a_hot_cell(spark, no_broadcast):
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_aqe_splits_a_hot_cell(spark, no_broadcast, how):
     """A third of the weather rows lie in one cell; its partition is read by several tasks."""
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
@@ -97,10 +120,10 @@ def test_aqe_splits_a_hot_cell(spark, no_broadcast):
             "if(id % 3 = 0, 'hot0', concat('c', id % 997)) Geohash", "xxhash64(id) avg_tmpr_c", "'2017-08-01' wthr_date"
         ).repartition(12)
         hotels = spark.range(1000).selectExpr("if(id = 0, 'hot0', concat('c', id % 997)) Geohash", "id Id")
-        joined = places.join_on_cell(hotels, weather, "inner")
+        joined = places.join_on_cell(hotels, weather, how)
         rows = joined.collect()
         assert "skew=true" in plan(joined)
-        assert len(rows) == weather.join(hotels, "Geohash").count()
+        assert len(rows) == hotels.join(weather, "Geohash", how).count()
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)

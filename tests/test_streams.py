@@ -1,6 +1,7 @@
 """Streams that get their input in parts, restart, and meet late rows."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ def put(spark, path, rows):
 def run_updates(spark, source, base, watermark):
     session = rp.stream_session(spark, 2)
     stream = clicks.events_per_min(readers.stream_table(session, source, "parquet", SCHEMA), watermark=watermark)
-    rp.run_versions(stream, "update", f"{base}/table", f"{base}/checkpoint")
+    rp.run_versions(stream, "update", f"{base}/table", f"{base}/checkpoint", ["userid", "EVENT_TS"])
     rows = rp.read_latest(spark, f"{base}/table", stream.schema, ["userid", "EVENT_TS"]).collect()
     return {(r.userid, r.EVENT_TS): r.events for r in rows}
 
@@ -55,6 +56,47 @@ def test_append_adds_nothing_twice(spark):
     assert sorted(r.userid for r in spark.read.parquet(f"{base}/out").collect()) == [1, 2, 3]
 
 
+def folders(spark, path):
+    return [f for f in os.listdir(path) if f.startswith("batch_id=")]
+
+
+def test_kept_folders_stay_bounded(spark, monkeypatch):
+    """Many batches of updates and of full refreshes; the tables stay whole."""
+    monkeypatch.setattr(rp, "COMPACT_EVERY", 3)
+    base = scratch_dir(spark, "bounded")
+    for k in range(11):
+        put(spark, f"{base}/in", [(k % 4, 1_000 + k), (9, 60_000 * k)])
+    session = rp.stream_session(spark, 2)
+    source = lambda: readers.stream_table(session, f"{base}/in", "parquet", SCHEMA, max_files=1)
+    keys = ["userid", "EVENT_TS"]
+    updates = clicks.events_per_min(source())
+    rp.run_versions(updates, "update", f"{base}/updates", f"{base}/checkpoint-u", keys)
+    rp.run_versions(clicks.events_per_min(source()), "complete", f"{base}/complete", f"{base}/checkpoint-c")
+    assert 1 <= len(folders(spark, f"{base}/updates")) <= 6 and len(folders(spark, f"{base}/complete")) == rp.REFRESHES
+    want = {(r.userid, r.EVENT_TS): r.events for r in clicks.events_per_min(spark.read.schema(SCHEMA).parquet(f"{base}/in")).collect()}
+    for table in (rp.read_latest(spark, f"{base}/updates", updates.schema, keys), rp.read_complete(spark, f"{base}/complete", updates.schema)):
+        assert {(r.userid, r.EVENT_TS): r.events for r in table.collect()} == want
+
+
+def test_append_under_a_watermark_writes_each_window_and_session_once(spark):
+    """Several batches, a late row and a restart; what the watermark has closed is there, once."""
+    base = scratch_dir(spark, "closed")
+    views = {
+        "windows": lambda c, u: clicks.events_per_min(c, watermark="1 minute"),
+        "sessions": lambda c, u: clicks.click_user_sessions(c, u, gap="30 seconds", watermark="1 minute"),
+    }
+    users = spark.createDataFrame([(1, "ann", "x")], "user_id long, username string, city string")
+    out = {}
+    for rows in ([(1, 1_000), (1, 20_000)], [(1, 200_000)], [(1, 5_000)], [(1, 210_000), (1, 900_000)]):
+        put(spark, f"{base}/in", rows)
+        for name, view in views.items():
+            session = rp.stream_session(spark, 2)
+            stream = view(readers.stream_table(session, f"{base}/in", "parquet", SCHEMA), users)
+            rp.run_append(stream, f"{base}/{name}", f"{base}/checkpoint-{name}")
+            out[name] = sorted((r.EVENT_TS, r.events) for r in spark.read.schema(stream.schema).parquet(f"{base}/{name}").collect())
+    assert out == {"windows": [(0, 2), (180_000, 2)], "sessions": [(20_000, 2), (210_000, 2)]}
+
+
 def test_source_takes_one_cap(spark):
     try:
         readers.stream_table(spark, "/nowhere", "parquet", SCHEMA, max_files=1, max_bytes="1m")
