@@ -619,7 +619,7 @@ ORACLES: dict[str, str] = {
     "train_test_split": """SELECT vec_id, CAST('0x' || substr(md5('123:' || vec_id), 1, 8) AS BIGINT) % 100 < 75
     AS is_train FROM embeddings""",
     "rf_baseline": """SELECT 10::BIGINT AS trees, count(*) FILTER (is_train) AS train_rows,
-    count(*) FILTER (NOT is_train) AS test_rows, true AS better_than_chance FROM (SELECT
+    count(*) FILTER (NOT is_train) AS test_rows, true AS is_auc FROM (SELECT
     CAST('0x' || substr(md5('123:' || vec_id), 1, 8) AS BIGINT) % 100 < 75 AS is_train FROM embeddings)""",
     "feature_importance": """SELECT 'f' || unnest(range(max(len(embedding)))) AS feature, true AS is_share,
     1.0::DOUBLE AS total FROM embeddings""",
