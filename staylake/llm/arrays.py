@@ -24,9 +24,12 @@ ALNUM = np.zeros(256, dtype=bool)
 ALNUM[48:58] = ALNUM[97:123] = ALNUM[128:] = True
 
 
-def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of all texts behind each other, and where each begins (nulls are empty)."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+def text_bytes(column: pa.Array, kind: pa.DataType = pa.large_string()) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts behind each other, and where each begins (nulls are empty).
+
+    Byte strings have ``kind`` ``pa.large_binary()``.
+    """
+    column = pc.fill_null(column.cast(kind), "" if kind == pa.large_string() else b"")
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     if data is None or at[-1] == at[0]:

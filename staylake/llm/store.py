@@ -20,10 +20,15 @@ def input_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+#: The planner states sizes beyond this where it knows none.
+UNKNOWN_BYTES = 1 << 52
+
+
 def partitions_for(df: DataFrame, each: int) -> int:
     """Partitions of about ``each`` bytes of input; at least the session's shuffle partitions."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-input_bytes(df) // each))
+    size = input_bytes(df)
+    return max(least, -(-size // each)) if size < UNKNOWN_BYTES else least
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:

@@ -5,7 +5,9 @@ from every byte: each window of ``length`` bytes is stood for by an anchor in it
 ``GRAM`` bytes hash lowest (the leftmost of equals), and equal windows have their anchor at the same place.
 A document has about one anchor for each 38 bytes.
 
-1. Anchors whose hash occurs once are dropped: their windows are unique.
+0. Texts that equal an earlier one go whole and take no further part.
+1. Anchors whose hash occurs once are dropped: their windows are unique. Hashes are compared within blocks
+   of anchors first, then one row for each block and hash goes to a shuffle.
 2. For each other anchor, the bytes of all its windows go to a bucket. Spark samples splitters and
    range-partitions by the leading bytes at the anchor, then by document and place, so a passage that very
    many documents share is cut over several buckets.
@@ -27,8 +29,10 @@ from pyspark.sql import functions as F
 from staylake.llm import arrays
 from staylake.llm.store import partitions_for, stored
 
-GRAM = 24
-BUCKET_BYTES = 4 << 20
+GRAM = 20
+#: Input for each bucket of suffixes, and for each task that compares hashes of anchors.
+BUCKET_BYTES = 2 << 20
+DEAL_BYTES = 16 << 20
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, hashes: arrays.SpanHash):
@@ -44,12 +48,14 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, hashes: arrays.S
     begin = np.arange(len(data) - GRAM + 1)
     gram = hashes.of(begin, begin + GRAM)
     width = length - GRAM + 1
-    low, at, step = gram, begin, 1  # the lowest of ``step`` neighbours and its place
+    # One number orders places by the upper bits of their hash, then from left to right.
+    bits = np.uint64(max(24, len(data).bit_length()))
+    low, step = gram >> bits << bits | begin.view(np.uint64), 1  # the lowest of ``step`` neighbours
     while step < width:
         by = min(step, width - step)
-        right = low[by:] < low[:-by]
-        low, at = np.where(right, low[by:], low[:-by]), np.where(right, at[by:], at[:-by])
+        low = np.minimum(low[:-by], low[by:])
         step += by
+    at = (low & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
     text = arrays.owners(offsets, begin[: len(at)])
     inside = begin[: len(at)] + length <= offsets[text + 1]
     window, at = begin[: len(at)][inside], at[inside]
@@ -60,22 +66,86 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, hashes: arrays.S
     return gram[at[head]], at[head], window[head], window[tail]
 
 
-def _anchor_hashes(docs, length, id_col, text_col):
+BLOCK = 1 << 20
+ONCE, OFTEN, SURE = 0, 1, 2
+
+
+def _marked(docs, length, id_col, text_col):
+    """``id``, ``gram``, ``mark``: of each block of anchors, every hash once, to be looked for elsewhere.
+
+    A hash that stands several times in its block is known to repeat: all its rows come out as ``SURE``,
+    and the one that is looked for elsewhere as ``OFTEN``. So however many documents share a passage, a
+    hash has one row a block to be compared.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
+    def block(ids, grams, id_type):
+        ids, grams = pa.concat_arrays(ids), np.concatenate(grams)
+        _, first, inverse, count = np.unique(grams, return_index=True, return_inverse=True, return_counts=True)
+        sure = np.flatnonzero(count[inverse] > 1)
+        at = np.concatenate([first, sure])
+        mark = np.concatenate([np.where(count > 1, OFTEN, ONCE), np.full(len(sure), SURE)]).astype(np.int8)
+        cells = [ids.take(pa.array(at)), pa.array(grams[at].view(np.int64)), pa.array(mark)]
+        return pa.RecordBatch.from_arrays(cells, names=["id", "gram", "mark"])
+
     def run(batches):
-        hashes = arrays.SpanHash(3)
+        hashes, ids, grams, size = arrays.SpanHash(3), [], [], 0
         for batch in batches:
             for rows, data, offsets in arrays.pieces(batch, text_col):
                 gram, place, _, _ = anchors(data, offsets, length, hashes)
-                at = np.searchsorted(place, offsets)
-                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(gram.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([rows.column(0), lists], names=["id", "grams"])
+                ids.append(rows.column(0).take(pa.array(arrays.owners(offsets, place))))
+                grams.append(gram)
+                size += len(gram)
+                if size >= BLOCK:
+                    yield block(ids, grams, batch.schema.field(0).type)
+                    ids, grams, size = [], [], 0
+        if size:
+            yield block(ids, grams, ids[0].type)
+
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, gram bigint, mark tinyint")
+
+
+def _copies(docs, id_col, text_col) -> DataFrame:
+    """``id`` and ``stop``, the size, of texts that equal one of a smaller id.
+
+    They go whole, and nothing needs to be compared with them: what they hold starts earlier elsewhere.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    named = docs.select(F.col(id_col).alias("id"), F.sha2(text.cast("binary"), 256).alias("name"), F.octet_length(text).alias("stop"))
+    first = stored(named.groupBy("name").agg(F.min("id").alias("first")), "names")
+    return named.join(first, "name").where(F.col("id") != F.col("first")).select("id", "stop").distinct()
+
+
+def _repeated(marked: DataFrame, partitions: int) -> DataFrame:
+    """``id`` and ``grams``, its hashes that stand somewhere else too."""
+    kind = marked.schema["id"].dataType.simpleString()
+    key = F.when(F.col("mark") == SURE, F.xxhash64("id")).otherwise(F.col("gram"))
+
+    def run(batches):
+        batches = list(batches)
+        if not sum(b.num_rows for b in batches):
+            return
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        grams, mark = rows.column("gram").to_numpy(), rows.column("mark").to_numpy()
+        asked = np.flatnonzero(mark != SURE)
+        _, inverse, count = np.unique(grams[asked], return_inverse=True, return_counts=True)
+        often = np.bincount(inverse, weights=mark[asked] == OFTEN, minlength=len(count)) > 0
+        known = asked[((count > 1) | often)[inverse]]
+        at = np.concatenate([np.flatnonzero(mark == SURE), known])
+        if not len(at):
+            return
+        ids = rows.column("id").to_numpy()[at]
+        order = np.argsort(ids, kind="stable")
+        ids, grams = ids[order], grams[at][order]
+        head = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(ids)).astype(np.int32)), pa.array(grams))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[head], rows.schema.field("id").type), lists], names=["id", "grams"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, grams array<bigint>")
+    found = marked.repartition(partitions, key).mapInArrow(run, f"id {kind}, grams array<bigint>")
+    return found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("grams"))).alias("grams"))
 
 
-SEGMENT = "lead binary, id {kind}, place int, first int, last int, bytes binary"
+SEGMENT = "id {kind}, place int, first int, last int, bytes binary"
 
 
 def _segments(docs, length, id_col, text_col, kind):
@@ -91,22 +161,17 @@ def _segments(docs, length, id_col, text_col, kind):
                 wanted = grams.slice(done, rows.num_rows)
                 done += rows.num_rows
                 text = arrays.owners(offsets, place)
-                names = np.sort(np.unique(wanted.flatten().to_numpy(zero_copy_only=False)))
+                names = np.unique(wanted.flatten().to_numpy(zero_copy_only=False))
                 keep = np.flatnonzero(np.isin(gram.view(np.int64), names))
                 place, first, last, text = place[keep], first[keep], last[keep], text[keep]
-                zero, raw = offsets[text], data.tobytes()
-                spans = zip(first.tolist(), (last + length).tolist(), place.tolist())
-                lead, parts = [], []
-                for a, b, p in spans:
-                    lead.append(raw[p : p + GRAM])
-                    parts.append(raw[a:b])
+                raw = data.tobytes()
+                parts = [raw[a:b] for a, b in zip(first.tolist(), (last + length).tolist())]
                 cells = [
-                    pa.array(lead, pa.binary()),
                     rows.column(0).take(pa.array(text)),
-                    *(pa.array((x - zero).astype(np.int32)) for x in (place, first, last)),
+                    *(pa.array((x - offsets[text]).astype(np.int32)) for x in (place, first, last)),
                     pa.array(parts, pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(cells, names=["lead", "id", "place", "first", "last", "bytes"])
+                yield pa.RecordBatch.from_arrays(cells, names=["id", "place", "first", "last", "bytes"])
 
     return docs.select(id_col, text_col, "grams").mapInArrow(run, SEGMENT.format(kind=kind))
 
@@ -135,88 +200,103 @@ def multikey_sort(words: np.ndarray, tie: tuple[np.ndarray, ...]) -> tuple[np.nd
     return order, group
 
 
-def _matrix(parts: list[bytes], shift: np.ndarray, width: int) -> np.ndarray:
-    """Byte strings as rows of big-endian words, string i beginning ``shift[i]`` bytes into its row."""
-    sizes = np.array([len(p) for p in parts], dtype=np.int64)
-    grid = np.zeros((len(parts), -(-width // 8) * 8), dtype=np.uint8)
-    row, place = arrays.ragged(sizes)
-    grid[row, shift[row] + place] = np.frombuffer(b"".join(parts), dtype=np.uint8)
-    return grid
+CHUNK = 4096
+
+
+def _suffix_words(data, at, sizes, left, length) -> np.ndarray:
+    """Each string as words to sort by: rightwards from its anchor, then leftwards from it, then its extent.
+
+    String i is ``data[at[i]:at[i] + sizes[i]]`` with ``left[i]`` bytes before the anchor.
+    """
+    right, wide = -(-length // 8) * 8, -(-(length - GRAM) // 8) * 8
+    grid = np.zeros((len(at), right + wide + 8), dtype=np.uint8)
+    for low in range(0, len(at), CHUNK):
+        s = slice(low, low + CHUNK)
+        row, nth = arrays.ragged(sizes[s])
+        value = data[at[s][row] + nth]
+        nth -= left[s][row]
+        grid[s][row, np.where(nth >= 0, nth, right - 1 - nth)] = value
+    words = grid.view(">u8").astype(np.uint64)
+    words[:, -1] = left.astype(np.uint64) << np.uint64(32) | sizes.astype(np.uint64)
+    return words
 
 
 def _bucket(batches, length, id_type):
     """Repeats among the suffixes of one bucket; the windows of its outer anchors for the other buckets."""
-    rows = pa.Table.from_batches(list(batches))
-    names = ["id", "begin", "stop", "one", "two"]
-    types = [id_type, pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-    n = rows.num_rows
-    if not n:
+    batches = list(batches)
+    if not sum(b.num_rows for b in batches):
         return
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    del batches
     ids = rows.column("id").to_numpy()
+    _, once = np.unique(np.stack([ids, rows.column("first").to_numpy()], 1), axis=0, return_index=True)
+    if len(once) < len(ids):  # rows of documents that stand in the table twice
+        rows = rows.take(pa.array(once)).combine_chunks()
+        ids = rows.column("id").to_numpy()
     place, first, last = (rows.column(c).to_numpy().astype(np.int64) for c in ("place", "first", "last"))
-    parts, leads = rows.column("bytes").to_pylist(), rows.column("lead").to_pylist()
-    before = length - GRAM
-    grid = _matrix(parts, before - (place - first), before + length)
-    # Right of the anchor first, then left of it, then what tells short strings from zero bytes.
-    ends = ((place - first) << 32 | (last - first)).astype(np.uint64)[:, None]
-    flip = np.ascontiguousarray(grid[:, before::-1][:, : -(-(before + 1) // 8) * 8])
-    flip = np.pad(flip, ((0, 0), (0, -flip.shape[1] % 8)))
-    tail = np.ascontiguousarray(grid[:, before:])
-    tail = np.pad(tail, ((0, 0), (0, -tail.shape[1] % 8)))
-    words = np.concatenate([tail.view(">u8").astype(np.uint64), flip.view(">u8").astype(np.uint64), ends], axis=1)
+    data, at = arrays.text_bytes(rows.column("bytes").chunk(0), pa.large_binary())
+    at, sizes = at[:-1], np.diff(at)
+    words = _suffix_words(data, at, sizes, place - first, length)
     order, same = multikey_sort(words, (ids, first))
     head = np.concatenate([[True], np.diff(same) != 0])
-    lead = np.array(leads, dtype=f"S{GRAM}").view(np.uint8).reshape(n, GRAM)[order] if n else None
-    new = np.concatenate([[True], (lead[1:] != lead[:-1]).any(axis=1)])
-    anchor = np.cumsum(new) - 1
+    lead = words[order, : GRAM // 8]
+    del words
+    anchor = np.cumsum(np.concatenate([[True], (lead[1:] != lead[:-1]).any(axis=1)])) - 1
     outer = (anchor == 0) | (anchor == anchor[-1])
 
     again = order[~head]  # an equal neighbour is earlier
-    out = [(ids[again], first[again], last[again] + length)]
+    yield from _spans(id_type, ids[again], first[again], last[again] + length)
     many = np.bincount(anchor[head], minlength=anchor[-1] + 1) > 1
     rest = np.flatnonzero(head & (many[anchor] | outer))
-    edges = []
-    step = max(1, (1 << 20) // (length + before))
-    cuts = [0, *[int(c) for c in np.flatnonzero(np.diff(anchor[rest])) + 1], len(rest)]
-    low = 0
-    for c in range(1, len(cuts)):  # whole anchors, about ``step`` rows at a time
-        if cuts[c] - cuts[low] < step and c < len(cuts) - 1:
-            continue
-        at = rest[cuts[low] : cuts[c]]
-        low = c
-        if not len(at):
+    hashes = arrays.SpanHash(4), arrays.SpanHash(5)
+    waiting: list = []
+    for low in range(0, len(rest), CHUNK):
+        chosen = rest[low : low + CHUNK]
+        own = anchor[chosen]
+        done = np.searchsorted(own, anchor[rest[low + CHUNK]]) if low + CHUNK < len(rest) else len(own)
+        found = _windows(data, at, sizes, first, order[chosen], length, hashes)
+        side = np.repeat(outer[chosen], sizes[order[chosen]] - length + 1)
+        cut = int((sizes[order[chosen[:done]]] - length + 1).sum())
+        found = (*found, side)
+        if not done:  # one anchor beyond this chunk
+            waiting.append(found)
             continue
-        who = order[at]
-        one, two, row, begin = _windows([parts[i] for i in who.tolist()], first[who], length)
-        who = who[row]
-        by = np.lexsort((begin, ids[who], two, one))
-        one, two, who, begin, side = one[by], two[by], who[by], begin[by], outer[at][row][by]
-        fresh = np.concatenate([[True], (np.diff(one) != 0) | (np.diff(two) != 0)])
-        out.append(_runs(ids[who[~fresh]], begin[~fresh], length))
-        far = fresh & side
-        edges.append((ids[who[far]], begin[far], one[far], two[far]))
-    for i, a, b in out:
-        if len(i):
-            cells = [pa.array(i, id_type), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([*cells, *(pa.nulls(len(i), t) for t in types[3:])], names=names)
-    for i, a, one, two in edges:
-        if len(i):
-            cells = [pa.array(i, id_type), pa.array(a.astype(np.int32)), pa.array((a + length).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([*cells, pa.array(one.view(np.int64)), pa.array(two.view(np.int64))], names=names)
-
-
-def _windows(parts: list[bytes], first: np.ndarray, length: int):
-    """Two hashes, row and begin of every window of these strings."""
-    sizes = np.array([len(p) for p in parts], dtype=np.int64)
-    data, at = np.frombuffer(b"".join(parts), dtype=np.uint8), np.cumsum(sizes) - sizes
-    row, nth = arrays.ragged(sizes - length + 1)
-    begin = at[row] + nth
+        whole = [np.concatenate(x) for x in zip(*waiting, tuple(f[:cut] for f in found))]
+        waiting = [tuple(f[cut:] for f in found)]
+        yield from _compared(id_type, ids, whole, length)
+
+
+def _windows(data, at, sizes, first, who, length, hashes):
+    """Two hashes, row and begin of every window of the strings ``who``."""
+    row, nth = arrays.ragged(sizes[who])
+    text = data[at[who][row] + nth]
+    begin = np.cumsum(sizes[who]) - sizes[who]
+    row, nth = arrays.ragged(sizes[who] - length + 1)
+    begin = begin[row] + nth
     found = []
-    for seed in (4, 5):
-        hashes = arrays.SpanHash(seed)
-        hashes.load(data)
-        found.append(hashes.of(begin, begin + length))
-    return *found, row, first[row] + nth
+    for h in hashes:
+        h.load(text)
+        found.append(h.of(begin, begin + length))
+    return *found, who[row].astype(np.int32), (first[who][row] + nth).astype(np.int32)
+
+
+def _compared(id_type, ids, windows, length):
+    """Of equal windows all but the earliest are repeats; the earliest of outer anchors go on."""
+    one, two, who, begin, side = windows
+    by = np.lexsort((begin, ids[who], two, one))
+    one, two, who, begin, side = one[by], two[by], who[by], begin[by], side[by]
+    fresh = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
+    yield from _spans(id_type, *_runs(ids[who[~fresh]], begin[~fresh], length))
+    far = fresh & side
+    yield from _spans(id_type, ids[who[far]], begin[far], begin[far] + length, one[far], two[far])
+
+
+def _spans(id_type, ids, begin, stop, one=None, two=None):
+    if not len(ids):
+        return
+    hashes = [pa.nulls(len(ids), pa.int64()) if x is None else pa.array(x.view(np.int64)) for x in (one, two)]
+    cells = [pa.array(ids, id_type), pa.array(begin.astype(np.int32)), pa.array(stop.astype(np.int32)), *hashes]
+    yield pa.RecordBatch.from_arrays(cells, names=["id", "begin", "stop", "one", "two"])
 
 
 def _runs(ids, begin, length):
@@ -235,19 +315,21 @@ def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     """``id``, ``begin``, ``stop``: byte spans to remove, which may overlap.
 
     The earlier of two places is that of the smaller id, or in one text the one that begins first. Ids are
-    different integers. Texts under ``length`` bytes, empty and null ones have no spans.
+    integers and differ where texts do; a row that repeats is one document. A row without an id is compared
+    with none. Texts under ``length`` bytes, empty and null ones have no spans.
     """
+    docs = docs.where(F.col(id_col).isNotNull())
     if length < GRAM + 8:
         raise ValueError(f"strings of at least {GRAM + 8} bytes")
     kind = docs.schema[id_col].dataType.simpleString()
-    by_doc = _anchor_hashes(docs, length, id_col, text_col)
-    rows = by_doc.select("id", F.explode("grams").alias("gram"))
-    often = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    kept = rows.join(often, "gram", "left_semi").groupBy("id").agg(F.collect_set("gram").alias("grams"))
+    copies = stored(_copies(docs, id_col, text_col), "copies")
+    marked = _marked(docs, length, id_col, text_col)
+    kept = _repeated(marked, partitions_for(docs, DEAL_BYTES)).join(copies, "id", "left_anti")
     kept = stored(kept, "anchors")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(kept, "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(kept.hint("merge"), "id")
     parts = _segments(texts, length, "id", "text", kind)
-    parts = parts.repartitionByRange(partitions_for(docs, BUCKET_BYTES), "lead", "id", "first")
+    lead = F.substring("bytes", F.col("place") - F.col("first") + 1, F.lit(GRAM))
+    parts = parts.repartitionByRange(partitions_for(docs, BUCKET_BYTES), lead, "id", "first")
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = to_arrow_type(docs.schema[id_col].dataType)
@@ -258,20 +340,21 @@ def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     edges = found.where("one is not null")
     least = edges.groupBy("one", "two").agg(F.min(F.struct("id", "begin")).alias("earliest"))
     far = edges.join(least, ["one", "two"]).where("id <> earliest.id or begin <> earliest.begin")
-    return found.where("one is null").select("id", "begin", "stop").union(far.select("id", "begin", "stop"))
+    whole = copies.where(F.col("stop") >= length).select("id", F.lit(0).alias("begin"), "stop")
+    return found.where("one is null").select("id", "begin", "stop").union(far.select("id", "begin", "stop")).union(whole)
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept`` (the bytes left).
 
-    The bytes left may break a character in two, so they are binary. A null text is an empty one. Other
-    columns are left out.
+    The bytes left may break a character in two, so they are binary. A null text is an empty one; a row
+    without an id keeps its bytes; other columns are left out.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     spans = repeated_spans(docs, length, id_col, text_col).groupBy("id").agg(
         F.collect_list(F.struct("begin", "stop")).alias("spans")
     )
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(spans, "id", "left")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(spans.hint("merge"), "id", "left")
 
     def run(batches):
         for batch in batches:

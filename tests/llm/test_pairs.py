@@ -65,6 +65,14 @@ def test_remove_repeats_of_nothing(nothing):
     assert suffix_dedup.remove_repeats(nothing, 100).collect() == []
 
 
+def test_repeated_rows_and_rows_without_an_id(docs, texts):
+    odd = docs.union(docs).union(docs.withColumn("doc_id", F.lit(None).cast("long")))
+    rows = suffix_dedup.remove_repeats(odd, 100).collect()
+    want = brute.without_repeats(texts, 100)
+    assert sorted((r["doc_id"], r["n_removed"]) for r in rows if r["doc_id"] is not None) == sorted(2 * [(i, x[1]) for i, x in want.items()])
+    assert sum(r["doc_id"] is None for r in rows) == len(texts) and all(r["n_removed"] == 0 for r in rows if r["doc_id"] is None)
+
+
 def test_multikey_sort():
     rng = np.random.default_rng(3)
     words = rng.integers(0, 3, (500, 4)).astype(np.uint64)
