@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The document of smallest id of each group."""
     groups = ngram_join.similar_groups(docs, SHINGLE, PERCENT)
     stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").select(docs.columns)
+    return docs.join(stay.hint("merge"), "doc_id", "left_semi").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,15 +9,18 @@ group is a signature, and linked sets share one. A set near the upper end of its
 next band, where its larger partners are.
 
 Equal sets are one representative from the start. Representatives that share signatures form candidate
-groups, found as connected components of links to the smallest member of each signature, never as pairs.
-Groups are dealt to tasks as pairs of blocks of bounded size, in which the exact intersections come from
-a product of membership matrices, and each task returns one row a member. The components of the links and
+groups, found as connected components of links to the smallest member of each signature, never as pairs;
+within blocks of documents first, so that a common signature has one row a block to be compared.
+Groups are dealt to tasks as pairs of blocks of bounded size and of sets whose sizes are near enough, in
+which the exact intersections come from a product of membership matrices, and each task returns one row a
+member. The components of the links and
 the number of links of each document follow.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylake.llm import arrays
-from staylake.llm.store import components, stored
+from staylake.llm.store import components, partitions_for, stored
 
 BAND = 1.5
 BLOCK = 800
+#: Signatures that a task links before it sends them on; input for each task that compares them.
+SIGNS = 1 << 20
+DEAL_BYTES = 8 << 20
 
 
 class Signer:
@@ -88,26 +94,86 @@ def shingle_sets(data, offsets, n: int, hashes: arrays.SpanHash):
             yield whole[:0]
 
 
-def _profiles(docs, n, percent, id_col, text_col):
-    """``n_shingles``, two numbers that stand for the set, and its signatures."""
+def _profiles(docs, n, id_col, text_col):
+    """``n_shingles`` and two numbers, as bytes, that stand for the set."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        hashes, signer = arrays.SpanHash(1), Signer(percent)
+        hashes = arrays.SpanHash(1)
         for batch in batches:
             for rows, data, offsets in arrays.pieces(batch, text_col):
-                size, key, signs = [], [], []
+                size, key = [], []
                 for features in shingle_sets(data, offsets, n, hashes):
                     size.append(len(features))
                     one = np.add.reduce(arrays.mix(features), dtype=np.uint64)
                     two = np.add.reduce(arrays.mix(features ^ np.uint64(0x5DEECE66D)), dtype=np.uint64)
                     key.append(one.tobytes() + two.tobytes())
-                    signs.append(signer.signatures(features).view(np.int64) if len(features) else None)
-                cells = [rows.column(0), pa.array(size, pa.int64()), pa.array(key, pa.binary()), pa.array(signs, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(cells, names=["id", "n_shingles", "key", "signs"])
+                cells = [rows.column(0), pa.array(size, pa.int64()), pa.array(key, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cells, names=["id", "n_shingles", "key"])
+
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, n_shingles bigint, key binary")
+
+
+def _starred(ids: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each different signature with its smallest id, and links (id, smallest id) of the others."""
+    order = np.lexsort((ids, signs))
+    ids, signs = ids[order], signs[order]
+    head = np.flatnonzero(np.concatenate([[True], signs[1:] != signs[:-1]]))
+    least = np.repeat(ids[head], np.diff(np.append(head, len(ids))))
+    other = np.flatnonzero(ids != least)
+    links = np.unique(np.stack([ids[other], least[other]], 1), axis=0) if len(other) else np.zeros((0, 2), dtype=ids.dtype)
+    return signs[head], ids[head], links[:, 0], links[:, 1]
+
+
+def _candidates(docs, n, percent, id_col, text_col) -> DataFrame:
+    """Links ``a``, ``b`` that connect all documents that share a signature, through the smallest id of each.
 
-    schema = f"id {kind}, n_shingles bigint, key binary, signs array<bigint>"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    Documents of a block are linked at once; of the block only the smallest id goes on to meet others with
+    the signature. So a signature of very many documents has one row a block in the shuffle.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    names = ["a", "b", "sign"]  # a link, or with b null a document and its signature
+
+    def block(ids, signs, id_type):
+        sign, least, a, b = _starred(np.concatenate(ids), np.concatenate(signs))
+        yield pa.RecordBatch.from_arrays([pa.array(least, id_type), pa.nulls(len(least), id_type), pa.array(sign.view(np.int64))], names=names)
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(a, id_type), pa.array(b, id_type), pa.nulls(len(a), pa.int64())], names=names)
+
+    def sign(batches):
+        hashes, signer, ids, signs, size = arrays.SpanHash(1), Signer(percent), [], [], 0
+        id_type = None
+        for batch in batches:
+            id_type = batch.schema.field(0).type
+            for rows, data, offsets in arrays.pieces(batch, text_col):
+                for own, features in zip(rows.column(0).to_numpy(zero_copy_only=False), shingle_sets(data, offsets, n, hashes)):
+                    if not len(features):
+                        continue
+                    signs.append(signer.signatures(features))
+                    ids.append(np.full(len(signs[-1]), own))
+                    size += len(signs[-1])
+                if size >= SIGNS:
+                    yield from block(ids, signs, id_type)
+                    ids, signs, size = [], [], 0
+        if size:
+            yield from block(ids, signs, id_type)
+
+    def meet(batches):
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        asked = rows.filter(rows.column("b").is_null()).combine_chunks()
+        links = rows.filter(rows.column("b").is_valid()).select(["a", "b"])
+        yield from links.to_batches()
+        if asked.num_rows:
+            _, _, a, b = _starred(asked.column("a").to_numpy(), asked.column("sign").to_numpy())
+            id_type = rows.schema.field("a").type
+            yield pa.RecordBatch.from_arrays([pa.array(a, id_type), pa.array(b, id_type)], names=["a", "b"])
+
+    signed = docs.select(id_col, text_col).where(F.col(id_col).isNotNull()).mapInArrow(sign, f"a {kind}, b {kind}, sign bigint")
+    dealt = signed.repartition(partitions_for(docs, DEAL_BYTES), F.coalesce("sign", F.xxhash64("a")))
+    return dealt.mapInArrow(meet, f"a {kind}, b {kind}")
 
 
 def _sets(docs, n, id_col, text_col):
@@ -192,6 +258,36 @@ def _links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"id": ids, "partner": least, "links": many})
 
 
+SIDES = 1 << 20
+
+
+def _dealt(group: DataFrame, block: int) -> DataFrame:
+    """Members with their block and the blocks they meet: those of their own level of size and of the two
+    beside it. A member that is alone on three levels meets none and is left out.
+
+    A block is numbered ``level * SIDES`` plus a place within the level.
+    """
+    sizes = group.groupBy("component", "level").agg(F.count(F.lit(1)).alias("n"))
+    sizes = stored(sizes.withColumn("blocks", F.ceil(F.col("n") / block).cast("long")), "sizes")
+    around = sizes
+    for name, step in (("lower", -1), ("upper", 1)):
+        beside = sizes.select("component", (F.col("level") - step).alias("level"), F.col("blocks").alias(name))
+        around = around.join(beside, ["component", "level"], "left")
+    own = F.col("level") * SIDES + F.pmod(F.xxhash64("id"), "blocks")
+
+    def blocks(level, count):
+        numbers = F.transform(F.sequence(F.lit(0).cast("long"), count - 1), lambda k: level * SIDES + k)
+        return F.when(count > 0, numbers).otherwise(F.array().cast("array<bigint>"))
+
+    meets = F.concat(
+        blocks(F.col("level"), F.when(F.col("n") > 1, F.col("blocks")).otherwise(0)),
+        blocks(F.col("level") - 1, F.coalesce("lower", F.lit(0))),
+        blocks(F.col("level") + 1, F.coalesce("upper", F.lit(0))),
+    )
+    rows = group.join(around, ["component", "level"]).select("id", "copies", "component", own.alias("side"), meets.alias("meets"))
+    return rows.where(F.size("meets") > 0)
+
+
 def similar_groups(
     docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK
 ) -> DataFrame:
@@ -203,27 +299,25 @@ def similar_groups(
     without an id are left out of all groups. Other columns are left out.
     """
     spark = docs.sparkSession
-    profile = stored(_profiles(docs, n, percent, id_col, text_col), "profiles")
+    profile = stored(_profiles(docs, n, id_col, text_col), "profiles")
     full = profile.where("n_shingles > 0 and id is not null")
     classes = full.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    members = full.select("id", "key").join(classes, "key").groupBy("id").agg(F.min(F.struct("rep", "copies")).alias("c"))
+    # Stored, so that the join meets two plain tables and a very common key can be split.
+    members = full.select("id", "n_shingles", "key").join(stored(classes, "classes"), "key")
+    members = members.groupBy("id").agg(F.min(F.struct("rep", "copies", "n_shingles")).alias("c"))
     members = stored(members.select("id", "c.*"), "members")
-    reps = members.where("id = rep").select("id", "copies")
-
-    signs = full.join(reps.select("id"), "id", "left_semi").select("id", F.explode("signs").alias("sign"))
-    shared = signs.groupBy("sign").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    near = signs.join(shared, "sign").where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
-    group = stored(components(spark, near.distinct()), "groups")
-
-    sizes = group.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    dealt = group.join(sizes, "component").select(F.col("node").alias("id"), "component", "blocks")
-    dealt = dealt.join(reps, "id").withColumn("side", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(dealt, "id")
+    # Sets that link are of one level of size or of neighbouring ones; the factor is for rounding.
+    level = F.floor(F.log(F.col("n_shingles")) / (math.log(100 / percent) * 1.000001)) if percent < 100 else F.col("n_shingles")
+    reps = members.where("id = rep").select("id", "copies", level.cast("long").alias("level"))
+
+    group = components(spark, _candidates(docs, n, percent, id_col, text_col))
+    group = stored(group.join(reps, group.node == reps.id).select("id", "copies", "level", "component"), "groups")
+    dealt = _dealt(group, block)
+    # Always by shuffle: what is joined grows with the documents, and the job behaves alike at every size.
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(dealt.hint("merge"), "id")
     sets = _sets(texts, n, "id", "text")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs = sets.select("id", "features", "copies", "component", "side", other).select(
-        "id", "features", "copies", "component", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j")
-    )
+    pairs = sets.select("id", "features", "copies", "component", "side", F.explode("meets").alias("m"))
+    pairs = pairs.select("id", "features", "copies", "component", "side", F.least("side", "m").alias("i"), F.greatest("side", "m").alias("j"))
     kind = docs.schema[id_col].dataType.simpleString()
     found = pairs.groupBy("component", "i", "j").applyInArrow(
         lambda t: _links(t, percent), f"id {kind}, partner {kind}, links bigint"

@@ -61,7 +61,7 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id
     unseen = pairs.join(ledger.select("blob", "version"), ["blob", "version"], "left_anti")
     todo = unseen.groupBy("blob", "id").agg(F.collect_set("version").alias("versions"))
     texts = docs.select(F.col(id_col).alias("path"), content.alias("text"), blob(text_col).alias("own"))
-    texts = texts.join(todo, F.col("path").eqNullSafe(F.col("id")) & (F.col("own") == F.col("blob")))
+    texts = texts.join(todo.hint("merge"), F.col("path").eqNullSafe(F.col("id")) & (F.col("own") == F.col("blob")))
     rank = {kind: i for i, kind in enumerate(KINDS)}
     scanned = texts.select(
         "blob", "versions", *[rule(F.col("text")).alias(kind) for rules in RULES.values() for kind, rule in rules.items()]
