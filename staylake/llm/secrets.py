@@ -19,6 +19,23 @@ LEDGER = f"blob string, version int, found {SPANS}"
 ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
 
+LABEL = r"[A-Z0-9\x20]{0,40}"
+LINE_END = r"(?:\r?\n|(?:\\r)?\\n)"
+MARGIN = r"[\x20\t>\"']*+"
+BASE64 = "[A-Za-z0-9+/=]"
+HEADER = rf"{LINE_END}{MARGIN}(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):\x20[^\r\n]*+"
+#: A private key: BEGIN to the END of the same label with no other marker between; else BEGIN and the base64
+#: behind it, the first line of 16 characters at least, further ones of any length, long runs on one line too.
+#: Loops are possessive, so that long bodies are walked and not recursed into.
+KEY = (
+    rf"-----BEGIN\x20({LABEL})PRIVATE\x20KEY(\x20BLOCK)?+-----"
+    rf"(?:(?:[^-]++|-(?!----(?:BEGIN|END)\x20))*+-----END\x20\1PRIVATE\x20KEY(?:\x20BLOCK)?+-----"
+    rf"|(?:{HEADER})*+(?:{LINE_END}[\x20\t>]*+(?={LINE_END}))*+"
+    rf"(?:(?:{LINE_END}|[\x20\t]){MARGIN}(?:{BASE64}{{32,}}+|{BASE64}{{16,}}+(?={MARGIN}(?:{LINE_END}|\z)))"
+    rf"(?:[\x20\t]++{BASE64}{{32,}}+|{LINE_END}{MARGIN}(?:{BASE64}{{32,}}+|{BASE64}++(?={MARGIN}(?:{LINE_END}|\z))))*+)?+)"
+)
+
+
 def _assigned(text: Column) -> Column:
     found = spans(text, ASSIGN)
     return F.filter(found, lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 1)) >= 6)
@@ -36,6 +53,8 @@ RULES = {
         "pem": lambda t: spans(t, "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", t.contains("PRIVATE KEY-----")),
         "jwt": lambda t: spans(t, r"eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+", t.contains("eyJ")),
     },
+    # Version 2 marks the BEGIN line alone; the body is a secret too.
+    3: {"key": lambda t: spans(t, KEY, t.contains("PRIVATE KEY"))},
 }
 KINDS = [kind for rules in RULES.values() for kind in rules]
 

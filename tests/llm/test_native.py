@@ -104,6 +104,38 @@ def test_redaction(spark):
     ]
 
 
+BODY = [f"{c}IIEvQ+/{c * 56}" for c in "MNOP"] + ["QmFz"]
+
+
+@pytest.mark.parametrize("label", ["PRIVATE KEY", "RSA PRIVATE KEY", "OPENSSH PRIVATE KEY", "PGP PRIVATE KEY BLOCK"])
+def test_private_keys_are_redacted_whole(spark, label):
+    begin, end = f"-----BEGIN {label}-----", f"-----END {label}-----"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+    long = "\n".join(BODY[:4] * 3000)
+    shapes = {
+        "lines": (f"a {begin}\n" + "\n".join(BODY) + f"\n{end} z", "z"),
+        "crlf": (f"a {begin}\r\n" + "\r\n".join(BODY) + f"\r\n{end}\r\nz", "z"),
+        "escaped": (f"a {begin}\\n" + "\\n".join(BODY) + f"\\n{end} z", "z"),
+        "headers": (f"a {begin}\n{head}" + "\n".join(BODY) + f"\n{end} z", "z"),
+        "long": (f"a {begin}\n{long}\n{end} z", "z"),
+        "no end": (f"a {begin}\n" + "\n".join(BODY) + "\n\nplain words z", "plain words z"),
+        "no end, headers": (f"a {begin}\n{head}" + "\n".join(BODY) + "\nplain words z", "plain words z"),
+        "no end, long": (f"a {begin}\n{long}\nplain words z", "plain words z"),
+        "no end, escaped": (f"a {begin}\\n" + "\\n".join(BODY), ""),
+        "cut": (f"a {begin}\n" + "\n".join(BODY), ""),
+        "indented": (f"a {begin}\n    " + "\n    ".join(BODY) + "\nplain words z", "plain words z"),
+        "one line": (f"a {begin} " + " ".join(BODY[:4]) + " plain words z", "plain words z"),
+        "end of another": (f"a {begin}\n" + "\n".join(BODY) + "\n-----END CERTIFICATE----- z", "z"),
+        "bare": (f"a {begin} plain words z", "plain words z"),
+    }
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in shapes.items()], "doc_id string, text string")
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs, secrets.scan(docs)[1]).collect()}
+    for shape, (_, rest) in shapes.items():
+        assert clean[shape].startswith("a [") and clean[shape].endswith(rest), shape
+        assert not any(x in clean[shape] for x in [*BODY, "BEGIN", "IIEv", "DEK-Info"]), shape
+        assert ("END" in clean[shape]) == (shape == "end of another"), shape
+
+
 URLS = [
     None, "", "no scheme", "http://A.Example.COM/en/1?x#y", "https://www.example.com/en/", "http://x.net/es/?q", "http://net/fr/a",
     "http://notexample.com/en/", "ftp://h.net", "a://b://c/d", "http://user@h.com:80/x", "http://casino-win.example.org/en/1", "http://library.example.org/",
