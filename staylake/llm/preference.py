@@ -7,7 +7,7 @@ assistant wrote.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylake.llm.store import stored
@@ -60,6 +60,33 @@ def by_swapped_answer(convs: DataFrame) -> DataFrame:
     )
 
 
+def by_neighbour_answer(convs: DataFrame) -> DataFrame:
+    """Pairs of a conversation up to its last answer and itself with the last answer of another one.
+
+    Each conversation with an assistant turn has one row, whatever its id and whatever follows that turn. The
+    other one is the next by SHA-256 of the id, the first after the last; a single one is its own. The order is
+    sorted in 256 buckets of the hash, and the last of a bucket takes the first of the next bucket.
+    """
+    learnt = F.transform("turns", lambda t: t["role"] == LEARNT)
+    last = F.size("turns") - F.array_position(F.reverse(learnt), F.lit(True)).cast("int") + 1
+    rows = convs.where(F.array_contains(learnt, True)).select("conv", F.slice("turns", F.lit(1), last).alias("turns"))
+    name = F.sha2(F.col("conv").cast("string"), 256)
+    own = F.struct(F.col("conv"), F.element_at("turns", -1)["text"].alias("answer"))
+    rows = rows.select("conv", "turns", name.alias("h"), F.substring(name, 1, 2).alias("bucket"), own.alias("own"))
+    heads = rows.groupBy("bucket").agg(F.min_by("own", F.struct("h", "conv")).alias("own"))
+    around = Window.orderBy("bucket")  # 256 rows at most
+    heads = heads.select("bucket", F.coalesce(F.lead("own").over(around), F.first("own").over(around)).alias("beyond"))
+    within = rows.withColumn("next", F.lead("own").over(Window.partitionBy("bucket").orderBy("h", "conv")))
+    other, end = F.coalesce("next", "beyond"), F.element_at("turns", -1)
+    swapped = F.struct(end["turn"].alias("turn"), end["role"].alias("role"), other["answer"].alias("text"))
+    return within.join(heads, "bucket").select(
+        F.col("conv").alias("chosen_id"),
+        other["conv"].alias("rejected_id"),
+        F.col("turns").alias("a"),
+        F.concat(F.slice("turns", F.lit(1), F.size("turns") - 1), F.array(swapped)).alias("b"),
+    )
+
+
 def _head(t: Column) -> Column:
     left, right = HEAD.split("{role}")
     return F.concat(F.lit(left), t["role"], F.lit(right))
@@ -109,5 +136,12 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
 
 
 def preferences(turns: DataFrame) -> DataFrame:
+    """Pairs by opening and by the answer of the next id; conversations without either have no row."""
     convs = stored(conversations(turns), "conversations")
     return format_preferences(by_opening(convs).unionAll(by_swapped_answer(convs)))
+
+
+def all_preferences(turns: DataFrame) -> DataFrame:
+    """Pairs by opening, and a row of its own for each conversation with an assistant turn."""
+    convs = stored(conversations(turns), "conversations")
+    return format_preferences(by_opening(convs).unionAll(by_neighbour_answer(convs)))

@@ -151,3 +151,35 @@ SELECT chosen_id, rejected_id, n_common,
     || ':' || length(m.text) || ',0:8'), ','), '') AS rejected_mask
 FROM x
 """
+
+
+@query
+def op2_whole_preferences(spark, sf):
+    return preference.all_preferences(spark.read.parquet(f"{sf}/conversations.parquet"))
+
+
+ORACLES["op2_whole_preferences"] = """
+WITH c AS (SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+p AS (SELECT *, min(conv_id) OVER (PARTITION BY t[1].role, t[1].text) AS first FROM c),
+e AS (SELECT conv_id, t[:list_max(list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant'))] AS t
+  FROM c WHERE len(list_filter(t, lambda m: m.role = 'assistant')) > 0),
+n AS (SELECT *, coalesce(lead(conv_id) OVER w, first_value(conv_id) OVER w) AS next
+  FROM e WINDOW w AS (ORDER BY sha256(conv_id::VARCHAR), conv_id)),
+j AS (SELECT b.first AS chosen_id, b.conv_id AS rejected_id, a.t AS a, b.t AS b
+  FROM p b JOIN c a ON a.conv_id = b.first WHERE b.conv_id <> b.first
+  UNION ALL SELECT a.conv_id, b.conv_id, a.t, list_append(a.t[:-2], b.t[-1]) FROM n a JOIN e b ON b.conv_id = a.next),
+k AS (SELECT *, coalesce(list_position(list_transform(range(1, greatest(len(a), len(b)) + 1),
+    lambda i: coalesce(a[i].role = b[i].role AND a[i].text = b[i].text, false)), false) - 1, len(a))::BIGINT AS n_common FROM j),
+x AS (SELECT *, a[n_common + 1:] AS ra, b[n_common + 1:] AS rb FROM k)
+SELECT chosen_id, rejected_id, n_common,
+  coalesce(array_to_string(list_transform(a[:n_common], lambda m: '<|' || m.role || '|>' || chr(10) || m.text || '<|end|>' || chr(10)), ''), '') AS prompt,
+  coalesce(array_to_string(list_transform(ra, lambda m: '<|' || m.role || '|>' || chr(10) || m.text || '<|end|>' || chr(10)), ''), '') AS chosen,
+  coalesce(array_to_string(list_transform(rb, lambda m: '<|' || m.role || '|>' || chr(10) || m.text || '<|end|>' || chr(10)), ''), '') AS rejected,
+  coalesce(array_to_string(list_transform(ra, lambda m: '0:' || (length(m.role) + 5) || ',' || (m.role = 'assistant')::INT
+    || ':' || length(m.text) || ',0:8'), ','), '') AS chosen_mask,
+  coalesce(array_to_string(list_transform(rb, lambda m: '0:' || (length(m.role) + 5) || ',' || (m.role = 'assistant')::INT
+    || ':' || length(m.text) || ',0:8'), ','), '') AS rejected_mask
+FROM x
+"""

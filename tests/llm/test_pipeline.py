@@ -36,6 +36,22 @@ def test_preferences(spark):
     assert preference.preferences(spark.createDataFrame([], TURNS)).collect() == []
 
 
+def test_each_answered_conversation_has_a_row(spark):
+    """Ids with gaps, user turns behind the answer, more conversations than buckets, and a single one."""
+    rows = [(i * 1000 + 7, k, role, f"{role}{i}.{k}") for i in range(600) for k, role in enumerate(["user", "assistant", "user"][: 1 + i % 3])]
+    turns = spark.createDataFrame(rows, TURNS)
+    got = preference.all_preferences(turns).collect()
+    answered = {i * 1000 + 7 for i in range(600) if i % 3}
+    assert sorted(r["chosen_id"] for r in got) == sorted(answered) == sorted(r["rejected_id"] for r in got)
+    for r in got:
+        i, j = r["chosen_id"] // 1000, r["rejected_id"] // 1000
+        assert i != j and r["n_common"] == 1 and r["prompt"] == render([("user", f"user{i}.0")])
+        assert r["chosen"] == render([("assistant", f"assistant{i}.1")]) and r["rejected"] == render([("assistant", f"assistant{j}.1")])
+    one = preference.all_preferences(turns.where("conv_id = 1007")).collect()
+    assert [(r["chosen_id"], r["rejected_id"], r["n_common"], r["rejected"]) for r in one] == [(1007, 1007, 2, "")]
+    assert preference.all_preferences(turns.limit(0)).collect() == []
+
+
 def test_all_are_registered():
     names = queries()
     assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
