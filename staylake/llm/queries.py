@@ -115,7 +115,7 @@ def op8_secret_scan(spark, sf):
 @query
 def op3_pii(spark, sf):
     docs = documents(spark, sf)
-    return pii.report(pii.find(docs, pii.fit(docs)))
+    return pii.report(pii.find(docs, pii.fit_labelled(pii.labelled_spans(spark))))
 
 
 @query

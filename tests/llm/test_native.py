@@ -65,6 +65,23 @@ def test_forests_tell_candidates_apart(spark, model):
     assert got[1].split(",")[0] == "email:9:25" and got[2] == ""
 
 
+def test_finds_what_the_base_patterns_miss(spark):
+    texts = {
+        "phone": "please call (212) 555-1234 today", "local": "Tel. 030 1234567", "abroad": "Phone: 0049 30 1234567",
+        "email": "write to jonas@grün-haus.de today", "card": "card 4111.1111.1111.1111 was used",
+        "version": "version 10.15.7.2024 is out", "date": "call on 2024-01-15 or 15.01.2024", "order": "order 2024001234 shipped", "home": "we are @home or me@work",
+    }
+    rows = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    found = pii.report(pii.find(rows, pii.fit_labelled(pii.labelled_spans(spark)))).collect()
+    got = {r["doc_id"]: [x.split(":") for x in r["spans"].split(",") if x] for r in found}
+    cut = {i: [(k, texts[i][int(a) : int(b)]) for k, a, b in x] for i, x in got.items()}
+    assert all(r[f"n_{k}"] == 0 for r in found for k in pii.KINDS)  # none is a base span
+    assert cut["phone"] == [("phone", "(212) 555-1234")] and cut["local"] == [("phone", "030 1234567")]
+    assert cut["abroad"] == [("phone", "0049 30 1234567")] and cut["email"] == [("email", "jonas@grün-haus.de")]
+    assert ("card", "4111.1111.1111.1111") in cut["card"]
+    assert [cut[i] for i in ("version", "date", "order", "home")] == [[]] * 4
+
+
 def test_calibrated_threshold():
     assert pii.calibrated([(0.9, 1), (0.8, 1), (0.7, 0), (0.6, 1), (0.5, 0)], 0.75) == 0.6
     assert pii.calibrated([(0.9, 0), (0.2, 1)], 0.9) is None and pii.calibrated([], 0.9) is None
