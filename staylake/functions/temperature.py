@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Places kept of a mean: far more than a measurement has, fewer than a double's noise.
-PLACES = 10
+# Values below this have an exact decimal of 18 places; sums of 1e11 of them fit as well.
+LARGEST = 1e9
 
 
-def exact_mean(column: str, places: int | None = PLACES) -> Column:
-    """Mean of a column of doubles; its value, not its input, is rounded to ``places`` decimals.
+def exact_mean(column: str) -> Column:
+    """Mean of a column of doubles, without rounding of the input or of the mean.
 
-    The sum runs over decimals and is exact, so a repeated task changes nothing. Nulls are left out.
+    The sum runs over decimals and is exact, so a repeated task changes nothing. Nulls are left out. Where a
+    value is not finite, too large or finer than 18 places, the mean is the plain average of all values: NaN
+    and infinities come out as they do there.
     """
-    mean = F.sum(F.col(column).cast("decimal(38,18)")).cast("double") / F.count(column)
-    return mean if places is None else F.round(mean, places)
+    value = F.col(column)
+    exact = F.when(F.abs(value) < LARGEST, value.try_cast("decimal(38,18)"))
+    exact = F.when(exact.cast("double") == value, exact)
+    return F.when(
+        F.count(exact) == F.count(value), F.sum(exact).cast("double") / F.count(value)
+    ).otherwise(F.avg(value))

@@ -357,7 +357,7 @@ def city_day(silver: DataFrame, exact: bool = True) -> DataFrame:
     distinct = F.count_distinct("id") if exact else F.approx_count_distinct("id")
     return silver.groupBy("city", "wthr_date").agg(
         distinct.alias("distinct_hotels"),
-        F.round(exact_mean("avg_tmpr_c"), 1).alias("avg_t"),
+        F.round(F.round(exact_mean("avg_tmpr_c"), 10), 1).alias("avg_t"),
         F.round(F.max("avg_tmpr_c"), 1).alias("max_t"),
         F.round(F.min("avg_tmpr_c"), 1).alias("min_t"),
     )

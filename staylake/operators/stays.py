@@ -69,7 +69,7 @@ def _by_day(daily: DataFrame, *columns: str) -> DataFrame:
 
 def _exact(column: Column) -> Column:
     """Temperature as a decimal, so that half-way roundings carry no binary noise."""
-    return column.cast("decimal(28,12)")
+    return column.try_cast("decimal(28,12)")
 
 
 def _round5(value: Column) -> Column:
@@ -179,7 +179,7 @@ def stay_trend_as_stated(visits: DataFrame, daily: DataFrame) -> DataFrame:
         .groupBy("hotel_id", "address", "_ci", "_co", "visits")
         .agg(
             _round5(change).alias("weather_trend"),
-            exact_mean("avg_tmpr_c", None).alias("avg_tmpr_c_stay"),
+            exact_mean("avg_tmpr_c").alias("avg_tmpr_c_stay"),
             F.count(F.lit(1)).alias("days_observed"),
         )
         .withColumnsRenamed({"_ci": "srch_ci", "_co": "srch_co"})

@@ -7,7 +7,7 @@ event falls in) rather than the way the jobs work, so that it checks them.
 from __future__ import annotations
 
 from staylake.functions.geohash import GEOHASH_ALPHABET
-from staylake.plans.views import STATUS_CODES, UNKNOWN
+from staylake.plans.views import MEAN_PLACES, MEANS, STATUS_CODES, UNKNOWN
 
 
 def _geohash4(lat: str, lng: str) -> str:
@@ -34,8 +34,6 @@ _DAY = """l_extendedprice / 1000 AS avg_tmpr_c, l_extendedprice / 1000 * 9 / 5 +
 # Five places, halves away from zero as Spark rounds; exact because it happens on decimals.
 _HALF_UP = "CAST(round(CAST({} AS DECIMAL(28,12)), 5) AS DOUBLE)".format
 _CODES = ", ".join(f"({code}, '{text}')" for code, text in STATUS_CODES)
-# A plain mean; only the result is rounded, to places well above the noise of doubles.
-_MEAN = "round(avg({}), 10)".format
 
 # View name -> (views it reads, SQL).
 _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -83,7 +81,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "daily": (
         ("hotel_weather",),
         f"""SELECT id, name, address, city, country, "geoHash", latitude, longitude, wthr_date, year, month, day,
-    {_MEAN('avg_tmpr_c')} AS avg_tmpr_c, {_MEAN('avg_tmpr_f')} AS avg_tmpr_f FROM hotel_weather GROUP BY ALL""",
+    avg(avg_tmpr_c) AS avg_tmpr_c, avg(avg_tmpr_f) AS avg_tmpr_f FROM hotel_weather GROUP BY ALL""",
     ),
     "begun": (
         (),
@@ -402,7 +400,7 @@ ORACLES: dict[str, str] = {
         'SELECT * FROM hotel_cell LEFT JOIN weather_cell USING ("Geohash")', "weather_cell", "hotel_cell"
     ),
     "join_geohash_daily": _sql(
-        f"""SELECT * FROM hotel_cell LEFT JOIN (SELECT "Geohash", wthr_date, {_MEAN('avg_tmpr_c')} AS mean_tmpr_c,
+        f"""SELECT * FROM hotel_cell LEFT JOIN (SELECT "Geohash", wthr_date, avg(avg_tmpr_c) AS mean_tmpr_c,
     count(*) AS measurements FROM weather_cell GROUP BY ALL) USING ("Geohash")""",
         "weather_cell",
         "hotel_cell",
@@ -575,7 +573,7 @@ ORACLES: dict[str, str] = {
     "stay_trend_spec": _sql(
         f"""SELECT hotel_id, address, srch_ci, srch_co, visits,
     {_HALF_UP('arg_max(avg_tmpr_c, d) - arg_min(avg_tmpr_c, d)')} AS weather_trend,
-    CAST(sum(CAST(avg_tmpr_c AS DECIMAL(28,12))) AS DOUBLE) / count(avg_tmpr_c) AS avg_tmpr_c_stay,
+    avg(avg_tmpr_c) AS avg_tmpr_c_stay,
     count(*) AS days_observed FROM (SELECT hotel_id, srch_ci, srch_co, ci_d, co_d, count(*) AS visits FROM stay
     WHERE nights > 7 GROUP BY ALL) JOIN hotel_day ON hotel_id = hid AND d BETWEEN ci_d AND co_d
     GROUP BY hotel_id, address, srch_ci, srch_co, visits""",
@@ -634,3 +632,7 @@ ORACLES: dict[str, str] = {
     FROM (SELECT label, CAST(generate_subscripts(embedding, 1) - 1 AS INT) AS feature,
     CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings) GROUP BY label, feature""",
 }
+
+for _name, _columns in MEANS.items():
+    _shown = ", ".join(f"round({c}, {MEAN_PLACES}) AS {c}" for c in _columns)
+    ORACLES[_name] = f"SELECT * REPLACE ({_shown}) FROM ({ORACLES[_name]})"

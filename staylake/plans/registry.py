@@ -334,7 +334,7 @@ _named("join_unmatched", lambda s, d: places.join_unmatched(_hotel_table(s, d),
 def visit_weather_full(spark, sf):
     path = scratch_dir(spark, "visit-weather")
     rows = stays.visit_weather_full(views.visit(spark, sf), _daily_full(spark, sf))
-    writers.write_mart(rows, path, ["year", "month", "day"])
+    writers.write_mart(rows, path, ["year", "month"])
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -549,3 +549,11 @@ def score_udf(spark, sf):
     table = views.table(spark, sf, "embeddings")
     scored = models.score_struct(table, "vec_id", "embedding", WEIGHTS, INTERCEPT)
     return scored.withColumn("prediction", F.round("prediction", 6))
+
+
+def _rounded(name: str, run: Query) -> Query:
+    return lambda s, d: run(s, d).withColumns({c: F.round(c, views.MEAN_PLACES) for c in views.MEANS[name]})
+
+
+for _name in views.MEANS:
+    QUERIES[_name] = _rounded(_name, QUERIES[_name])

@@ -218,6 +218,18 @@ def web_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Columns that hold means: rounded in the last step, in the registry and in the check SQL, well above the noise of doubles.
+MEANS = {
+    "join_geohash_daily": ["mean_tmpr_c"],
+    "visit_weather_full": ["avg_tmpr_c", "avg_tmpr_f"],
+    "topn_by_selfjoin": ["avg_tmpr_c"],
+    "stay_weather_range": ["avg_tmpr_c"],
+    "stay_edges": ["avg_tmpr_c", "avg_tmpr_c_ci", "avg_tmpr_c_co"],
+    "stay_trend_ref": ["avg_tmpr_c", "avg_tmpr_c_ci", "avg_tmpr_c_co"],
+    "stay_trend_spec": ["avg_tmpr_c_stay"],
+}
+MEAN_PLACES = 10
+
 # Status codes and their definitions.
 STATUS_CODES = (
     (400, "Bad request"),

@@ -1,10 +1,12 @@
 import datetime as dt
 import itertools
+import math
 import random
 
 import pytest
 
 from staylake.functions import stay
+from staylake.functions.temperature import exact_mean
 from staylake.operators import marts, stays
 
 VISIT = "id long, hotel_id long, srch_ci string, srch_co string"
@@ -179,3 +181,20 @@ def test_daily_mean_is_exact_and_skips_missing(spark):
     df = spark.createDataFrame([(*r, "h") for r in rows], "id string, wthr_date string, avg_tmpr_c double, address string")
     got = {r.wthr_date: r.avg_tmpr_c for r in stays.hotel_daily(df).collect()}
     assert got == {"2017-08-01": 0.6 / 3, "2017-08-02": None}
+
+
+def test_means_of_values_that_have_no_exact_decimal(spark):
+    cases = {"nan": [1.0, 3.0, float("nan")], "inf": [1.0, float("inf")], "both": [float("inf"), float("-inf")], "large": [1e21, 3e21, None],
+             "fine": [1e-12, 3e-12], "finer": [1e-25, 3e-25], "none": [None], "noise": [0.1] * 10}
+    df = spark.createDataFrame([(k, v) for k, values in cases.items() for v in values], "k string, v double")
+    got = {r.k: r.m for r in df.groupBy("k").agg(exact_mean("v").alias("m")).collect()}
+    assert math.isnan(got["nan"]) and math.isnan(got["both"]) and got["inf"] == math.inf and got["none"] is None
+    assert got["large"] == 2e21 and got["fine"] == pytest.approx(2e-12, rel=1e-12) and got["finer"] == pytest.approx(2e-25)
+    assert got["noise"] == 0.1
+
+
+def test_daily_means_are_compared_unrounded(spark):
+    """Two days whose means differ by less than ten places: only the warmer one has at most one row at its value or above."""
+    rows = [("1", "2017-08-01", "h", 1.0), ("2", "2017-08-01", "i", 1.0 + 1e-12)]
+    daily = stays.hotel_daily(spark.createDataFrame(rows, "id string, wthr_date string, address string, avg_tmpr_c double"))
+    assert [r.address for r in marts.topn_with_ties_dropped(daily, 1).collect()] == ["i"]
