@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylake.llm import bpe, decontaminate, ngram_join, pii, preference, rules, secrets, suffix_dedup, token_count, urls
+from staylake.llm import bpe, decontaminate, fim, ngram_join, pii, preference, rules, secrets, suffix_dedup, token_count, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -183,3 +183,18 @@ SELECT chosen_id, rejected_id, n_common,
     || ':' || length(m.text) || ',0:8'), ','), '') AS rejected_mask
 FROM x
 """
+
+
+@query
+def op13_fill_in_middle(spark, sf):
+    rows = fim.transform(documents(spark, sf))
+    text = fim.restored(F.col("output"), F.col("form"))
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("restored_sha256"),
+    )
