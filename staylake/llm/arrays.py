@@ -37,13 +37,13 @@ def text_bytes(column: pa.Array, kind: pa.DataType = pa.large_string()) -> tuple
     return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def pieces(batch: pa.RecordBatch, text: str = "text"):
-    """Runs of rows with about ``PIECE`` bytes of text: (rows, bytes, begin of each text)."""
+def pieces(batch: pa.RecordBatch, text: str = "text", size: int = PIECE):
+    """Runs of rows with about ``size`` bytes of text: (rows, bytes, begin of each text)."""
     if not batch.num_rows:
         return
     column = batch.column(batch.schema.get_field_index(text))
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-    number = (np.cumsum(sizes, dtype=np.int64) - sizes) // PIECE
+    number = (np.cumsum(sizes, dtype=np.int64) - sizes) // size
     cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
         data, offsets = text_bytes(column.slice(a, b - a))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylake.llm import bpe, decontaminate, fim, ngram_join, pii, preference, rules, secrets, suffix_dedup, token_count, urls
+from staylake.llm import align, bpe, decontaminate, fim, ngram_join, pii, preference, rules, secrets, simhash, suffix_dedup, token_count, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -198,3 +198,16 @@ def op13_fill_in_middle(spark, sf):
         F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
         F.sha2(text.cast("binary"), 256).alias("restored_sha256"),
     )
+
+
+@query
+def op12_simhash_near_dedup(spark, sf):
+    return simhash.near_duplicates(documents(spark, sf))
+
+
+@query
+def op11_align_tokenizers(spark, sf):
+    paths = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    rows = align.align_documents(documents(spark, sf), *paths)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return rows.withColumn("groups_sha256", digest).drop("groups")

@@ -54,7 +54,7 @@ def test_each_answered_conversation_has_a_row(spark):
 
 def test_all_are_registered():
     names = queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) <= set(names) and names["pipeline"] is corpus_pipeline.run
     assert set(ORACLES) <= set(oracle_sql())
 
