@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 LARGEST = 1e9
 
 
+def _exact(value: Column) -> Column:
+    """The decimal of a value that has one; NULL where it is not finite, too large or finer than 18 places."""
+    decimal = F.when(F.abs(value) < LARGEST, value.try_cast("decimal(38,18)"))
+    return F.when(decimal.cast("double") == value, decimal)
+
+
 def exact_mean(column: str) -> Column:
     """Mean of a column of doubles, without rounding of the input or of the mean.
 
@@ -17,8 +23,23 @@ def exact_mean(column: str) -> Column:
     and infinities come out as they do there.
     """
     value = F.col(column)
-    exact = F.when(F.abs(value) < LARGEST, value.try_cast("decimal(38,18)"))
-    exact = F.when(exact.cast("double") == value, exact)
+    exact = _exact(value)
     return F.when(
         F.count(exact) == F.count(value), F.sum(exact).cast("double") / F.count(value)
     ).otherwise(F.avg(value))
+
+
+#: Parts of a mean: how many values, how many of them are exact, their exact sum and the plain sum of all.
+MEAN_PARTS = ("n", "n_exact", "exact", "plain")
+
+
+def mean_parts(column: str) -> list[Column]:
+    """Aggregates from which, added up over parts of a table, :func:`mean_of_parts` makes the same mean."""
+    value = F.col(column)
+    parts = F.count(value), F.count(_exact(value)), F.sum(_exact(value)), F.sum(value)
+    return [part.alias(name) for part, name in zip(parts, MEAN_PARTS)]
+
+
+def mean_of_parts() -> Column:
+    n = F.when(F.col("n") > 0, F.col("n"))
+    return F.when(F.col("n") == F.col("n_exact"), F.col("exact").cast("double") / n).otherwise(F.col("plain") / n)

@@ -253,6 +253,14 @@ def _rollup(view: str, metric: str, out: str, by: list[str], reads: tuple[str, .
     )
 
 
+# The second version of the users: every third moved, every tenth left.
+_USERS_AFTER = """SELECT c_custkey AS user_id, c_name AS username, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment ELSE n_name END
+    AS city FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 <> 0"""
+# Clicks arrive in four parts; each is late for windows that end ten days before the latest click of earlier parts.
+_ARRIVED = f"""SELECT *, "EVENT_TS" + {_DAY_MS} AS closes,
+    coalesce("EVENT_TS" + {_DAY_MS} <= (SELECT max(b._time) FROM click b WHERE b._time % 4 < a._time % 4) - 10 * {_DAY_MS}, false) AS late
+    FROM (SELECT *, _time // {_DAY_MS} * {_DAY_MS} AS "EVENT_TS" FROM click WHERE userid IS NOT NULL) a"""
+
 _CLICKS = {
     "user_clickstream": ("SELECT * EXCLUDE (ts) FROM user_click", ("user_click",)),
     "enriched_error_codes": ("SELECT code, definition FROM code_click", ("code_click",)),
@@ -382,7 +390,26 @@ ORACLES: dict[str, str] = {
     ),
     "stay_category_ref": _sql(f"SELECT {_STAY}, {_CODED} AS category FROM {_NIGHTS}", "stay"),
     "stay_category_spec": _sql(f"SELECT {_STAY}, {_STATED} AS category FROM {_NIGHTS}", "stay"),
-    "stay_category_stream": _sql(f"SELECT {_STAY}, {_CODED} AS category FROM {_NIGHTS}", "stay"),
+    "stay_category_stream": _sql(f"SELECT {_STAY}, {_CODED} AS category FROM {_NIGHTS} WHERE srch_co IS NOT NULL", "stay"),
+    "stay_category_rejects": _sql(
+        f"SELECT substr(m, 1, CAST(length(m) // 2 AS INT)) AS value FROM (SELECT {_MESSAGE} AS m FROM visit WHERE srch_co IS NULL)",
+        "visit",
+    ),
+    # Streams that keep tables
+    "users_changelog": f"SELECT user_id, username, city FROM ({_USERS_AFTER})",
+    "user_clickstream_changing": _sql(
+        f"""SELECT userid, u.username, ip, u.city, request, status, bytes FROM click c LEFT JOIN (
+    SELECT 0 AS part, user_id, username, city FROM web_user
+    UNION ALL SELECT 1, user_id, username, city FROM ({_USERS_AFTER})) u ON u.user_id = userid AND u.part = _time % 2""",
+        "click",
+        "web_user",
+    ),
+    "events_per_min_closed": _sql(
+        f"""SELECT userid, "EVENT_TS", count(*) AS events FROM ({_ARRIVED})
+    WHERE NOT late AND closes <= (SELECT max(_time) - 10 * {_DAY_MS} FROM click) GROUP BY ALL""",
+        "click",
+    ),
+    "events_per_min_late": _sql(f'SELECT userid, "EVENT_TS", _time FROM ({_ARRIVED}) WHERE late', "click"),
     "stay_months_ref": _sql(f'SELECT {_STAY}, m AS "dtMonth" FROM {_EVERY_MONTH}', "months_apart"),
     "stay_months_spec": _sql(f'SELECT {_STAY}, m AS "dtMonth" FROM {_TOUCHED}', "stay"),
     "extended_stay_filter_ref": _sql(f"SELECT {_STAY} FROM stay WHERE {_EDGE}", "stay"),

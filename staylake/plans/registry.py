@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from staylake.functions import cleaning, stay
 from staylake.functions.geohash import add_geohash
@@ -17,6 +18,8 @@ from staylake.session import scratch_dir
 from staylake.sources import messages, readers, writers
 from staylake.streaming import medallion as medal
 from staylake.streaming import replay as rp
+from staylake.streaming import sessions as sess
+from staylake.streaming import tables as kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -434,25 +437,179 @@ for _name in CLICK_VIEWS:
     _named(f"{_name}_stream", _click_stream_query(_name))
 
 
+def _named_clicks(spark, sf, base):
+    """Clicks with the names of their users, joined batch by batch, as a table that further streams read."""
+    users = views.web_users(spark, sf)
+    writers.write_mart(users, f"{base}/users")
+    clicked = clicks.user_clickstream(views.click(spark, sf), users).schema
+    session = rp.stream_session(spark)
+    table = lambda s: s.read.schema(users.schema).parquet(f"{base}/users")
+    kept.run_joined(_click_stream(session, spark, sf), clicks.user_clickstream, table, f"{base}/named", f"{base}/named-checkpoint")
+    return session, clicked
+
+
+def _named_stream(spark, sf, base):
+    session, schema = _named_clicks(spark, sf, base)
+    return readers.stream_table(session, f"{base}/named", "parquet", schema, recursiveFileLookup=True)
+
+
+@query
+def user_clickstream_stream(spark, sf):
+    base = scratch_dir(spark, "named-clicks")
+    _, schema = _named_clicks(spark, sf, base)
+    return kept.read_joined(spark, f"{base}/named", schema).drop("ts")
+
+
+@query
+def user_ip_activity_stream(spark, sf):
+    base, keys = scratch_dir(spark, "ip-activity"), ["username", "ip", "city"]
+    stream = clicks.windowed_count(_named_stream(spark, sf, base), keys, "count", MINUTE, more_than=1)
+    keys = [*keys, "EVENT_TS"]
+    rp.run_versions(stream, "update", f"{base}/table", f"{base}/checkpoint", keys)
+    return rp.read_latest(spark, f"{base}/table", stream.schema, keys)
+
+
+def _sessions_table(spark, sf, keys):
+    """The sessions that a stream of changes describes."""
+    base, at = scratch_dir(spark, "sessions"), [*keys, "session"]
+    changes = sess.session_changes(_named_stream(spark, sf, base), keys, 4 * 3600)
+    rp.run_versions(changes, "update", f"{base}/table", f"{base}/checkpoint", at)
+    return rp.read_latest(spark, f"{base}/table", changes.schema, at).where("not gone")
+
+
+_LAST_MS = "floor(last / 1000) AS EVENT_TS"
+
+
+@query
+def click_user_sessions_stream(spark, sf):
+    return _sessions_table(spark, sf, ["username"]).selectExpr("username", _LAST_MS, "events")
+
+
+@query
+def user_session_kbytes_stream(spark, sf):
+    rows = _sessions_table(spark, sf, ["username", "ip"])
+    return rows.selectExpr("username", "ip", _LAST_MS, "bytes / 1024.0D AS kbytes").where("kbytes > 100")
+
+
+# A table over a topic: every customer, then a second version in which some moved and some left.
+CHANGE_KEYS, CHANGE_ORDER = ["user_id"], "offset"
+
+
+def _user_changes(spark, sf, version):
+    users = views.web_users(spark, sf).withColumn("offset", F.col("user_id") + F.lit(version * 10**12))
+    if version == 0:
+        return users
+    left = F.col("user_id") % 10 == 0
+    moved = users.where("user_id % 3 = 0 or user_id % 10 = 0").withColumn("city", F.col("level"))
+    return moved.withColumns({c: F.when(~left, F.col(c)) for c in ("username", "city", "level")})
+
+
+def _follow_changes(spark, sf, base, version):
+    """Write the changes of a version to the topic's folder and let the stream take them in."""
+    changes = _user_changes(spark, sf, version)
+    changes.write.mode("append").parquet(f"{base}/topic")
+    stream = readers.stream_table(rp.stream_session(spark), f"{base}/topic", "parquet", changes.schema)
+    kept.run_changelog(stream, CHANGE_KEYS, CHANGE_ORDER, f"{base}/users", f"{base}/users-checkpoint")
+    return changes.schema
+
+
+@query
+def users_changelog(spark, sf):
+    base = scratch_dir(spark, "changelog")
+    for version in range(2):
+        schema = _follow_changes(spark, sf, base, version)
+    return kept.read_changelog(spark, f"{base}/users", schema, CHANGE_KEYS, CHANGE_ORDER).drop("level")
+
+
+def _arrive(clicks_table, base, parts, part):
+    """Clicks that arrive as the given part, in no order of their time."""
+    rows = clicks_table.where(F.col("_time") % parts == part)
+    rows.write.mode("append").parquet(f"{base}/in")
+    return rows.schema
+
+
+@query
+def user_clickstream_changing(spark, sf):
+    """Each half of the clicks meets the users as they are when it arrives."""
+    base = scratch_dir(spark, "changing")
+    for part in range(2):
+        changes = _follow_changes(spark, sf, base, part)
+        clicked = _arrive(views.click(spark, sf), base, 2, part)
+        table = lambda s: kept.read_changelog(s, f"{base}/users", changes, CHANGE_KEYS, CHANGE_ORDER)  # noqa: B023, E731
+        stream = readers.stream_table(rp.stream_session(spark), f"{base}/in", "parquet", clicked)
+        kept.run_joined(stream, clicks.user_clickstream, table, f"{base}/named", f"{base}/named-checkpoint")
+    schema = clicks.user_clickstream(views.click(spark, sf), views.web_users(spark, sf)).schema
+    return kept.read_joined(spark, f"{base}/named", schema).drop("ts")
+
+
+# Clicks arrive in this many parts that all span the whole time, so most windows of the later parts are closed.
+PARTS, DELAY = 4, "10 days"
+
+
+def _watermarked(spark, sf):
+    base = scratch_dir(spark, "watermarked")
+    for part in range(PARTS):
+        clicked = _arrive(views.click(spark, sf), base, PARTS, part)
+        stream = readers.stream_table(rp.stream_session(spark), f"{base}/in", "parquet", clicked)
+        schema = kept.run_windows(stream, ["userid"], "events", MINUTE, None, DELAY, f"{base}/windows", f"{base}/checkpoint")
+    return f"{base}/windows", schema, clicked
+
+
+@query
+def events_per_min_closed(spark, sf):
+    """Windows under a watermark that no later click changes."""
+    path, schema, _ = _watermarked(spark, sf)
+    rows = kept.read_closed(spark, path, schema, DELAY)
+    return rows.select("userid", F.unix_millis("start").alias("EVENT_TS"), "events")
+
+
+@query
+def events_per_min_late(spark, sf):
+    """Clicks that came after their window was closed."""
+    path, schema, clicked = _watermarked(spark, sf)
+    late = kept.read_joined(spark, f"{path}/late", clicked.add("start", "timestamp").add("end", "timestamp"))
+    return late.select("userid", F.unix_millis("start").alias("EVENT_TS"), "_time")
+
+
 @query
 def medallion_city_day(spark, sf):
     session = rp.stream_session(spark)
     return medal.medallion(spark, _weather_stream(session, spark, sf), scratch_dir(spark, "medallion"))
 
 
-@query
-def stay_category_stream(spark, sf):
-    """JSON visit messages in, the same messages with their category out."""
-    incoming = scratch_dir(spark, "visit-messages")
-    _messages(spark, sf).write.text(incoming)
+def _split_messages(spark, sf):
+    """A stream of JSON visit messages, some of them cut off: the same messages with their category, and the rest."""
+    base = scratch_dir(spark, "stay-category")
+    _stored_messages(spark, sf).write.text(f"{base}/in")
     schema = _visit_schema(spark, sf)
+    stream = readers.stream_table(rp.stream_session(spark), f"{base}/in", "text", "value string")
+    kept.run_split(
+        stream,
+        lambda batch: messages.parsed(batch, schema),
+        messages.readable(),
+        lambda rows: messages.encode_rows(stays.categorise(messages.fields(rows, schema), stay.CATEGORIES_AS_CODED)),
+        messages.unreadable,
+        f"{base}/out",
+        f"{base}/checkpoint",
+    )
+    return f"{base}/out", schema
 
-    def build(session):
-        rows = messages.decode_rows(readers.stream_table(session, incoming, "text", "value string"), schema)
-        return messages.encode_rows(stays.categorise(rows, stay.CATEGORIES_AS_CODED))
 
+def _written_messages(spark, path):
+    return kept.read_joined(spark, path, T.StructType().add("value", "string"))
+
+
+@query
+def stay_category_stream(spark, sf):
+    path, schema = _split_messages(spark, sf)
     labelled = schema.add("category", "string")
-    return messages.decode_rows(rp.replay(spark, build, "stay-category"), labelled).select(*_STAY, "category")
+    return messages.decode_rows(_written_messages(spark, f"{path}/good"), labelled).select(*_STAY, "category")
+
+
+@query
+def stay_category_rejects(spark, sf):
+    path, _ = _split_messages(spark, sf)
+    return _written_messages(spark, f"{path}/rejected")
 
 
 # Rollups ----------------------------------------------------------------------------------------

@@ -14,8 +14,9 @@ def encode_rows(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def _parsed(messages: DataFrame, schema: StructType, value: str) -> DataFrame:
-    """Messages with their fields; ``inline`` parses each message once for all fields and checks."""
+def parsed(messages: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
+    """Messages with their fields, for :func:`readable` to part; ``inline`` parses each message once for all
+    fields and checks."""
     checked = StructType([*schema.fields, StructField(_BAD, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     row = F.from_json(value, checked, options)
@@ -23,16 +24,25 @@ def _parsed(messages: DataFrame, schema: StructType, value: str) -> DataFrame:
     return messages.select(F.col(value).alias("_value"), F.inline(F.array(row))).toDF("_value", *names, _BAD)
 
 
-def _readable() -> Column:
+def readable() -> Column:
     return (F.coalesce(F.trim("_value"), F.lit("")) != "") & F.col(_BAD).isNull()
 
 
+def fields(rows: DataFrame, schema: StructType) -> DataFrame:
+    """Typed columns of parsed messages."""
+    return rows.select(*[F.col(f"_field{i}").alias(f.name) for i, f in enumerate(schema.fields)])
+
+
+def unreadable(rows: DataFrame, value: str = "value") -> DataFrame:
+    """Parsed messages as they came."""
+    return rows.select(F.col("_value").alias(value))
+
+
 def decode_rows(messages: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
     """Typed columns of the readable messages."""
-    fields = [F.col(f"_field{i}").alias(f.name) for i, f in enumerate(schema.fields)]
-    return _parsed(messages, schema, value).where(_readable()).select(*fields)
+    return fields(parsed(messages, schema, value).where(readable()), schema)
 
 
 def rejected_rows(messages: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
     """Messages that are missing or do not fit the schema, as they came."""
-    return _parsed(messages, schema, value).where(~_readable()).select(F.col("_value").alias(value))
+    return unreadable(parsed(messages, schema, value).where(~readable()), value)

@@ -55,6 +55,20 @@ def run_append(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parque
     _finish(query, timeout)
 
 
+def run_batches(
+    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", timeout: int = TIMEOUT_SECONDS
+) -> None:
+    """Hand each micro-batch, a plain table, and its number to ``write``."""
+    query = (
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    _finish(query, timeout)
+
+
 def run_versions(
     stream: DataFrame, mode: str, path: str, checkpoint: str, keys: Sequence[str] = (), timeout: int = TIMEOUT_SECONDS
 ) -> None:
@@ -73,26 +87,19 @@ def run_versions(
         folder = f"{path}/batch_id={batch_id}"
         compacts = mode == "update" and keys and (batch_id + 1) % COMPACT_EVERY == 0
         if compacts:
-            older = _versions(batch.sparkSession, path, schema).where(F.col("batch_id") < batch_id)
+            older = versions(batch.sparkSession, path, schema).where(F.col("batch_id") < batch_id)
             rows = older.unionByName(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-            batch = _newest(rows, schema, keys)
+            batch = newest(rows, schema, keys)
         batch.write.mode("overwrite").parquet(folder)
         if compacts:
-            _drop_before(batch.sparkSession, path, batch_id - COMPACT_EVERY)
+            drop_before(batch.sparkSession, path, batch_id - COMPACT_EVERY)
         elif mode == "complete":
-            _drop_before(batch.sparkSession, path, batch_id - REFRESHES + 1)
+            drop_before(batch.sparkSession, path, batch_id - REFRESHES + 1)
 
-    query = (
-        stream.writeStream.outputMode(mode)
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    _finish(query, timeout)
+    run_batches(stream, write, checkpoint, mode, timeout)
 
 
-def _drop_before(spark: SparkSession, path: str, batch_id: int) -> None:
+def drop_before(spark: SparkSession, path: str, batch_id: int) -> None:
     """Remove the folders of earlier batches, in whatever file system ``path`` lies."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -102,7 +109,8 @@ def _drop_before(spark: SparkSession, path: str, batch_id: int) -> None:
             files.delete(status.getPath(), True)
 
 
-def _versions(spark: SparkSession, path: str, schema) -> DataFrame:
+def versions(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What all batches wrote, with the number of each as ``batch_id``."""
     from pyspark.sql.types import LongType, StructField, StructType
 
     dated = StructType([*schema.fields, StructField("batch_id", LongType())])
@@ -111,20 +119,21 @@ def _versions(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def read_complete(spark: SparkSession, path: str, schema) -> DataFrame:
     """The last full refresh."""
-    versions = _versions(spark, path, schema)
-    last = versions.agg(F.max("batch_id").alias("batch_id"))
-    return versions.join(F.broadcast(last), "batch_id").drop("batch_id")
+    rows = versions(spark, path, schema)
+    last = rows.agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(F.broadcast(last), "batch_id").drop("batch_id")
 
 
 def read_latest(spark: SparkSession, path: str, schema, keys: Sequence[str]) -> DataFrame:
     """The newest version of each key, which is the table that a stream of updates describes."""
-    return _newest(_versions(spark, path, schema), schema, keys)
+    return newest(versions(spark, path, schema), schema, keys)
 
 
-def _newest(versions: DataFrame, schema, keys: Sequence[str]) -> DataFrame:
+def newest(rows: DataFrame, schema, keys: Sequence[str]) -> DataFrame:
+    """The row of the last batch of each key."""
     values = [f.name for f in schema.fields if f.name not in keys]
-    newest = F.max_by(F.struct(*values), "batch_id").alias("_row")
-    return versions.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*schema.fieldNames())
+    last = F.max_by(F.struct(*values), "batch_id").alias("_row")
+    return rows.groupBy(*keys).agg(last).select(*keys, "_row.*").select(*schema.fieldNames())
 
 
 def replay(
