@@ -322,6 +322,10 @@ ORACLES: dict[str, str] = {
     ),
     "catalog_table": """SELECT CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month,
     count(*) AS observations FROM lineitem GROUP BY ALL""",
+    "catalog_partitions": _sql(
+        "SELECT year, month, count(*) AS observations, max(avg_tmpr_c) AS max_t FROM hotel_weather GROUP BY ALL",
+        "hotel_weather",
+    ),
     "ctas_mart": _sql("SELECT * FROM gold", "gold"),
     "json_encode_rows": _sql(f"SELECT {_MESSAGE} AS value FROM visit", "visit"),
     "json_decode_rows": _sql(
@@ -660,6 +664,8 @@ ORACLES: dict[str, str] = {
     CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings) GROUP BY label, feature""",
 }
 
+ORACLES["sink_partitioned_ci"] = ORACLES["joined_visitors"]
+ORACLES["sink_partitioned_stays"] = f"SELECT *, substr(srch_ci, 1, 7) AS ci_month FROM ({ORACLES['stay_edges']})"
 for _name, _columns in MEANS.items():
     _shown = ", ".join(f"round({c}, {MEAN_PLACES}) AS {c}" for c in _columns)
     ORACLES[_name] = f"SELECT * REPLACE ({_shown}) FROM ({ORACLES[_name]})"

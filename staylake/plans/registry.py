@@ -152,6 +152,40 @@ def catalog_table(spark, sf):
     )
 
 
+@query
+def catalog_partitions(spark, sf):
+    """Hotel weather as a partitioned table; the second half of the months is written and recovered later."""
+    path, table = scratch_dir(spark, "weather-table"), f"{DATABASE}.hotel_weather"
+    rows, parts = views.hotel_weather(spark, sf), ["year", "month"]
+    writers.create_database(spark, DATABASE)
+    writers.write_mart(rows.where("month <= 6"), path, parts)
+    writers.register_partitioned(spark, table, path, rows.schema, parts)
+    writers.write_mart(rows.where("month > 6"), path, parts)
+    known = writers.recover_partitions(spark, table)
+    return known.groupBy(*parts).agg(F.count(F.lit(1)).alias("observations"), F.max("avg_tmpr_c").alias("max_t"))
+
+
+@query
+def sink_partitioned_ci(spark, sf):
+    """Visitors by months of check-in and check-out, stored by month of check-in."""
+    path = scratch_dir(spark, "visitors-mart")
+    mart = marts.joined_visitors(views.visit(spark, sf), views.hotel_weather(spark, sf))
+    writers.write_mart(mart, path, ["month_ci"])
+    return spark.read.schema(mart.schema).parquet(path)
+
+
+@query
+def sink_partitioned_stays(spark, sf):
+    """Weather of the edges of stays, stored by the month of check-in.
+
+    By (check-in, check-out) every pair of dates would be a folder of a few rows.
+    """
+    path = scratch_dir(spark, "edges-mart")
+    mart = stays.stay_edges(views.visit(spark, sf), _daily(spark, sf)).withColumn("ci_month", F.substring("srch_ci", 1, 7))
+    writers.write_mart(mart, path, ["ci_month"])
+    return spark.read.schema(mart.schema).parquet(path)
+
+
 @query
 def ctas_mart(spark, sf):
     writers.create_database(spark, DATABASE)
@@ -256,9 +290,8 @@ def copy_one_day_per_cycle(spark, sf):
     path, stored = scratch_dir(spark, "copied-days"), scratch_dir(spark, "days")
     source = views.hotel_weather(spark, sf).select("address", "avg_tmpr_c", "wthr_date")
     writers.write_mart(source, stored, ["wthr_date"])
-    source = spark.read.schema(source.schema).parquet(stored)
     for _ in range(3):
-        writers.copy_next_day(source, path, "wthr_date")
+        writers.copy_next_folder(spark, stored, path, "wthr_date", source.schema)
     return readers.read_table(spark, path, "parquet", "address string, avg_tmpr_c double, wthr_date string")
 
 

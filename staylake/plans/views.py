@@ -225,6 +225,7 @@ MEANS = {
     "topn_by_selfjoin": ["avg_tmpr_c"],
     "stay_weather_range": ["avg_tmpr_c"],
     "stay_edges": ["avg_tmpr_c", "avg_tmpr_c_ci", "avg_tmpr_c_co"],
+    "sink_partitioned_stays": ["avg_tmpr_c", "avg_tmpr_c_ci", "avg_tmpr_c_co"],
     "stay_trend_ref": ["avg_tmpr_c", "avg_tmpr_c_ci", "avg_tmpr_c_co"],
     "stay_trend_spec": ["avg_tmpr_c_stay"],
 }

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from staylake.session import scratch_dir
@@ -78,3 +80,36 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(shared)
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+def test_days_are_found_by_listing(spark):
+    """Files of other days are not even readable, so nothing but the folder that is copied is opened."""
+    stored, path = scratch_dir(spark, "by-day"), scratch_dir(spark, "days")
+    days = ["2017-08-02", "2017-08-01", "2017-08-03 12:30:00", None]
+    writers.write_mart(spark.createDataFrame([(i, d) for i, d in enumerate(days)], "v int, d string"), stored, ["d"])
+    with open(f"{stored}/d=2017-08-02/part-0.parquet", "w") as file:
+        file.write("not parquet")
+    copy = lambda: writers.copy_next_folder(spark, stored, path, "d", "v int, d string")
+    assert copy() == "2017-08-01"
+    assert rows_of(readers.read_table(spark, path, "parquet", "v int, d string")) == [(1, "2017-08-01")]
+    with pytest.raises(Exception, match="part-0.parquet"):
+        copy()
+    os.remove(f"{stored}/d=2017-08-02/part-0.parquet")
+    assert [copy() for _ in range(3)] == ["2017-08-02", "2017-08-03 12:30:00", None]
+    assert rows_of(readers.read_table(spark, path, "parquet", "v int, d string").select("v")) == [(0,), (1,), (2,)]
+
+
+def test_catalog_prunes_partitions_and_recovers_new_ones(spark):
+    path, table = scratch_dir(spark, "pruned"), "staylake.pruned"
+    rows = spark.range(60).selectExpr("id", "cast(2016 + id % 2 as int) year", "cast(id % 3 as int) month")
+    writers.create_database(spark, "staylake")
+    writers.write_mart(rows.where("month < 2"), path, ["year", "month"])
+    known = writers.register_partitioned(spark, table, path, rows.schema, ["year", "month"])
+    assert known.count() == 40
+    writers.write_mart(rows.where("month = 2"), path, ["year", "month"])
+    assert spark.table(table).count() == 40
+    one = writers.recover_partitions(spark, table).where("year = 2017 and month = 2")
+    assert sorted(r.id for r in one.collect()) == sorted(i for i in range(60) if i % 2 == 1 and i % 3 == 2)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "number of partitions" not in plan.replace("numPartitions", "")
+    assert len(one.inputFiles()) < len(spark.table(table).inputFiles())
