@@ -650,8 +650,9 @@ ORACLES: dict[str, str] = {
     "rf_baseline": """SELECT 10::BIGINT AS trees, count(*) FILTER (is_train) AS train_rows,
     count(*) FILTER (NOT is_train) AS test_rows, true AS is_auc FROM (SELECT
     CAST('0x' || substr(md5('123:' || vec_id), 1, 8) AS BIGINT) % 100 < 75 AS is_train FROM embeddings)""",
-    "feature_importance": """SELECT 'f' || unnest(range(max(len(embedding)))) AS feature, true AS is_share,
-    1.0::DOUBLE AS total FROM embeddings""",
+    "feature_importance": """SELECT 'f' || i AS feature, i IN (3, 7) AS is_top, 1.0::DOUBLE AS total
+    FROM (SELECT unnest(range(max(len(embedding)))) AS i FROM embeddings)""",
+    "stored_model_scores": "SELECT vec_id, true AS read_agrees, true AS sql_agrees FROM embeddings",
     "tuned_sweep": """SELECT CAST(unnest(range(1, 7)) AS INT) AS place, true AS is_auc, true AS in_range
     FROM (SELECT 1 FROM embeddings LIMIT 1)""",
     "batch_score": _SCORES,

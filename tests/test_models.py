@@ -4,7 +4,8 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from staylake.operators import models, profile
+from staylake.operators import models, profile, scoring
+from staylake.session import scratch_dir
 
 
 @pytest.fixture(scope="module")
@@ -78,3 +79,28 @@ def test_quantiles_against_sorted_lists(spark, seed, spread):
         values = sorted(v for g, v in rows if g == group and v is not None)
         quarters = statistics.quantiles(values, n=4, method="inclusive") if len(values) > 1 else values * 3
         assert [row.min, row.q1, row.median, row.q3, row.max] == pytest.approx([values[0], *quarters, values[-1]])
+
+
+@pytest.mark.parametrize("fit", [models.fit_linear, models.fit_forest])
+def test_stored_read_and_called_models_agree(spark, wine, parts, fit):
+    """Rows of which some lack a feature, more than one partition, a model over an older one."""
+    path = scratch_dir(spark, "model")
+    for trained in (models.fit_linear(parts[0], "high"), fit(parts[0], "high")):
+        scoring.store_model(trained, path)
+    scoring.register_scorer(spark, "score_high", path)
+    called = scoring.scored_by_sql(wine.repartition(3), "key", "x", 3, "score_high").withColumnRenamed("prediction", "called")
+    again = models.batch_score(scoring.read_model(spark, path), models.with_vector(wine, "x"), "key").withColumnRenamed("prediction", "again")
+    rows = models.batch_score(trained, models.with_vector(wine, "x"), "key").join(again, "key").join(called, "key").collect()
+    assert len(rows) == 800
+    assert all(r.prediction == pytest.approx(r.again, abs=1e-9) == pytest.approx(r.called, abs=1e-9) for r in rows)
+    sql = spark.sql("SELECT score_high(struct(1.0D a, CAST(NULL AS DOUBLE) b, 2.0D c)) AS p, score_high(struct(1.0D a, 0.5D b, 2.0D c)) AS q").first()
+    assert sql.p is None and 0 < sql.q < 1
+
+
+def test_only_known_models_have_a_scorer(spark, parts):
+    from pyspark.ml.classification import GBTClassifier
+
+    path = scratch_dir(spark, "model")
+    scoring.store_model(GBTClassifier(labelCol="high", maxIter=1, maxDepth=1).fit(parts[0]), path)
+    with pytest.raises(ValueError, match="GBT"):
+        scoring.register_scorer(spark, "unknown", path)
