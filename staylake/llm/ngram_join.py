@@ -1,20 +1,22 @@
 """Similarity join on word n-grams by PartEnum signatures (operator 1).
 
 A text is the set of its n-grams (all its words as one if it has fewer). Two texts link when
-``100 * intersection >= percent * union``. Sets of one size band that link differ in at most
-``k = 2 * r * (100 - percent) / (100 + percent)`` n-grams, r being the band's largest size. The domain of
-n-grams is cut into ``n1 * n2`` parts by hash. With ``n1 = ceil((k + 1) / (k2 + 1))`` one of the n1 groups
-of parts holds at most k2 differences, so in it n2 - k2 parts are alike: every choice of n2 - k2 parts of a
-group is a signature, and linked sets share one. A set near the upper end of its band also signs for the
-next band, where its larger partners are.
-
-Equal sets are one representative from the start. Representatives that share signatures form candidate
-groups, found as connected components of links to the smallest member of each signature, never as pairs;
-within blocks of documents first, so that a common signature has one row a block to be compared.
-Groups are dealt to tasks as pairs of blocks of bounded size and of sets whose sizes are near enough, in
-which the exact intersections come from a product of membership matrices, and each task returns one row a
-member. The components of the links and
-the number of links of each document follow.
+``100 * intersection >= percent * union``. Sets fall into bands of size; if the larger of two linked sets has at
+most r n-grams they differ in at most ``k = 2 * r * (100 - percent) / (100 + percent)`` of them. The domain of
+n-grams is cut into ``n1 * n2`` parts by hash. With ``n1 = ceil((k + 1) / (k2 + 1))`` one of the n1 groups of
+parts holds at most k2 differences, so in it n2 - k2 parts are alike: every choice of n2 - k2 parts of a group
+is a signature, and linked sets share one. A set whose partner may lie in the next band signs for that one too.
+Unrelated sets meet where all chosen parts are empty, so n2 and k2 are chosen for each band and the number of
+sets: as few signatures as keep such meetings rare.
+
+Documents that share a signature meet through the smallest id of each signature, never as pairs. Signatures
+that hold several n-grams are strong: they build candidate groups. A group that one task can hold is compared
+as a whole. In a larger one each document is first compared with the document whose signatures it shares most;
+what is linked is one label, and only signatures that still hold several labels are compared further, in blocks
+of bounded size and never two blocks of one label, so a large group of near copies costs about as many rows as
+it has members. Weak signatures (few or no n-grams) would run the whole corpus together as groups; across groups
+each of them is compared by itself. Exact intersections come from a
+product of membership matrices, and each task returns one row a member. The components of the links follow.
 """
 
 from __future__ import annotations
@@ -24,57 +26,81 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylake.llm import arrays
-from staylake.llm.store import components, partitions_for, stored
+from staylake.llm.store import components, stored
 
-BAND = 1.5
-BLOCK = 800
-#: Signatures that a task links before it sends them on; input for each task that compares them.
-SIGNS = 1 << 20
-DEAL_BYTES = 8 << 20
+#: Sets and n-grams that a task compares with as many others.
+BLOCK, FEATURES = 800, 1 << 21
+#: Sets of which a task drops equal ones before it sends signatures; n-grams that make a signature strong.
+SIGNED, STRONG = 4096, 4
+SELF, STAR, WEAK, SIGNATURE, GROUP = range(5)
 
 
 class Signer:
-    """Signatures of sets of 64-bit features at a threshold in per cent."""
+    """Signatures of sets of 64-bit features at a threshold in per cent, for about so many ``sets``."""
 
-    def __init__(self, percent: int, n2: int = 3, k2: int = 1):
-        self.percent, self.n2, self.k2 = percent, n2, k2
-        self.choices = list(itertools.combinations(range(n2), n2 - k2))
-        self.ends = [1]
+    def __init__(self, percent: int, sets: int = 1 << 20):
+        self.percent, self.sets = percent, max(sets, 1)
+        self.ends, self.plans = [0, 1], {}
+        self.bits = np.uint64(max(0, 64 - (self.sets.bit_length() + 26)))
 
     def band(self, size: int) -> int:
-        """Bands end at 1, 2, 3, 4, 6, 9, ...: each half as large again as the one before."""
+        """Bands end at 1, 2, 3, ...: the largest partner of a set lies in its own band or in the next."""
         while self.ends[-1] < size:
-            self.ends.append(max(self.ends[-1] + 1, int(self.ends[-1] * BAND)))
+            self.ends.append(max(self.ends[-1] + 1, self.ends[-1] * 100 // self.percent))
         return int(np.searchsorted(self.ends, size))
 
-    def _sign(self, features: np.ndarray, band: int) -> np.ndarray:
-        k = 2 * self.ends[band] * (100 - self.percent) // (100 + self.percent)
-        n1 = -(-(k + 1) // (self.k2 + 1))
-        part = (arrays.mix(features ^ np.uint64(band + 1)) >> np.uint64(32)) % np.uint64(n1 * self.n2)
-        sums = np.zeros(n1 * self.n2, dtype=np.uint64)
-        np.add.at(sums, part.astype(np.int64), arrays.mix(features))
-        sums = sums.reshape(n1, self.n2)
+    def plan(self, band: int) -> tuple[int, int, list[tuple[int, ...]]]:
+        """n1, n2 and the choices of parts. The cost of a way counts its signatures, and texts to be sent and
+        compared for meetings by chance, at the smallest sets of the band."""
+        if band not in self.plans:
+            low, high = self.ends[band - 1] + 1, self.ends[band]
+            k = 2 * high * (100 - self.percent) // (100 + self.percent)
+            ways = []
+            for n2 in range(1, 10):
+                for k2 in range(min(n2, 4)):
+                    n1 = -(-(k + 1) // (k2 + 1))
+                    number = n1 * math.comb(n2, k2)
+                    empty = math.exp(-low * (n2 - k2) / (n1 * n2))
+                    crowd = self.sets / 5 * empty
+                    cost = number * (1 + empty * min(1, crowd) * low / 4 + empty * crowd * low / 400)
+                    ways.append((cost, n1, n2, k2))
+            _, n1, n2, k2 = min(ways)
+            self.plans[band] = n1, n2, list(itertools.combinations(range(n2), n2 - k2))
+        return self.plans[band]
+
+    def _sign(self, features: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+        n1, n2, choices = self.plan(band)
+        part = ((arrays.mix(features ^ np.uint64(band + 1)) >> np.uint64(32)) % np.uint64(n1 * n2)).astype(np.int64)
+        sums = np.zeros(n1 * n2, dtype=np.uint64)
+        np.add.at(sums, part, arrays.mix(features))
+        sums, held = sums.reshape(n1, n2), np.bincount(part, minlength=n1 * n2).reshape(n1, n2)
         group = np.arange(n1, dtype=np.uint64) + np.uint64(band << 32)
-        out = []
-        for c, chosen in enumerate(self.choices):
-            sign = arrays.mix(group + np.uint64(c << 56))
+        out, strong = [], []
+        for c, chosen in enumerate(choices):
+            sign = arrays.mix(group + np.uint64(c << 48))
             for i in chosen:
                 sign = arrays.mix(sign * np.uint64(0xD1342543DE82EF95) + sums[:, i])
             out.append(sign)
-        return np.concatenate(out)
+            strong.append(held[:, list(chosen)].sum(axis=1) >= min(STRONG, self.ends[band - 1] + 1))
+        return np.concatenate(out) >> self.bits, np.concatenate(strong)
+
+    def signed(self, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``features``: different ones, at least one. Signatures, cut to as many bits as keep them apart, and
+        which are strong."""
+        size = len(features)
+        band = self.band(size)
+        found = [self._sign(features, band)]
+        if size * 100 >= self.percent * (self.ends[band] + 1):  # a partner may be in the next band
+            self.band(self.ends[band] + 1)
+            found.append(self._sign(features, band + 1))
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
     def signatures(self, features: np.ndarray) -> np.ndarray:
-        """``features``: different ones, at least one."""
-        band = self.band(len(features))
-        out = [self._sign(features, band)]
-        if len(features) * 100 >= self.percent * (self.ends[band] + 1):  # a partner may be in the next band
-            self.band(self.ends[band] + 1)
-            out.append(self._sign(features, band + 1))
-        return np.concatenate(out)
+        return self.signed(features)[0]
 
 
 def shingle_sets(data, offsets, n: int, hashes: arrays.SpanHash):
@@ -114,83 +140,34 @@ def _profiles(docs, n, id_col, text_col):
     return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, n_shingles bigint, key binary")
 
 
-def _starred(ids: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Each different signature with its smallest id, and links (id, smallest id) of the others."""
-    order = np.lexsort((ids, signs))
-    ids, signs = ids[order], signs[order]
-    head = np.flatnonzero(np.concatenate([[True], signs[1:] != signs[:-1]]))
-    least = np.repeat(ids[head], np.diff(np.append(head, len(ids))))
-    other = np.flatnonzero(ids != least)
-    links = np.unique(np.stack([ids[other], least[other]], 1), axis=0) if len(other) else np.zeros((0, 2), dtype=ids.dtype)
-    return signs[head], ids[head], links[:, 0], links[:, 1]
-
-
-def _candidates(docs, n, percent, id_col, text_col) -> DataFrame:
-    """Links ``a``, ``b`` that connect all documents that share a signature, through the smallest id of each.
-
-    Documents of a block are linked at once; of the block only the smallest id goes on to meet others with
-    the signature. So a signature of very many documents has one row a block in the shuffle.
-    """
+def _buckets(docs, n, percent, sets, id_col, text_col) -> DataFrame:
+    """``sign``, ``strong``, ``id`` and ``least`` for signatures that several documents share; ``least`` is the
+    smallest of their ids. Of documents of a block with equal sets only the smallest id signs."""
     kind = docs.schema[id_col].dataType.simpleString()
-    names = ["a", "b", "sign"]  # a link, or with b null a document and its signature
-
-    def block(ids, signs, id_type):
-        sign, least, a, b = _starred(np.concatenate(ids), np.concatenate(signs))
-        yield pa.RecordBatch.from_arrays([pa.array(least, id_type), pa.nulls(len(least), id_type), pa.array(sign.view(np.int64))], names=names)
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(a, id_type), pa.array(b, id_type), pa.nulls(len(a), pa.int64())], names=names)
 
     def sign(batches):
-        hashes, signer, ids, signs, size = arrays.SpanHash(1), Signer(percent), [], [], 0
-        id_type = None
-        for batch in batches:
-            id_type = batch.schema.field(0).type
-            for rows, data, offsets in arrays.pieces(batch, text_col):
-                for own, features in zip(rows.column(0).to_numpy(zero_copy_only=False), shingle_sets(data, offsets, n, hashes)):
-                    if not len(features):
-                        continue
-                    signs.append(signer.signatures(features))
-                    ids.append(np.full(len(signs[-1]), own))
-                    size += len(signs[-1])
-                if size >= SIGNS:
-                    yield from block(ids, signs, id_type)
-                    ids, signs, size = [], [], 0
-        if size:
-            yield from block(ids, signs, id_type)
-
-    def meet(batches):
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        rows = pa.Table.from_batches(batches).combine_chunks()
-        asked = rows.filter(rows.column("b").is_null()).combine_chunks()
-        links = rows.filter(rows.column("b").is_valid()).select(["a", "b"])
-        yield from links.to_batches()
-        if asked.num_rows:
-            _, _, a, b = _starred(asked.column("a").to_numpy(), asked.column("sign").to_numpy())
-            id_type = rows.schema.field("a").type
-            yield pa.RecordBatch.from_arrays([pa.array(a, id_type), pa.array(b, id_type)], names=["a", "b"])
-
-    signed = docs.select(id_col, text_col).where(F.col(id_col).isNotNull()).mapInArrow(sign, f"a {kind}, b {kind}, sign bigint")
-    dealt = signed.repartition(partitions_for(docs, DEAL_BYTES), F.coalesce("sign", F.xxhash64("a")))
-    return dealt.mapInArrow(meet, f"a {kind}, b {kind}")
-
-
-def _sets(docs, n, id_col, text_col):
-    """``id`` and ``features``: the set as sorted 64-bit numbers; the other columns stay."""
-    rest = [c for c in docs.columns if c not in (id_col, text_col)]
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
-
-    def run(batches):
-        hashes = arrays.SpanHash(1)
+        hashes, signer = arrays.SpanHash(1), Signer(percent, sets)
         for batch in batches:
             for rows, data, offsets in arrays.pieces(batch, text_col):
-                found = [x.tobytes() for x in shingle_sets(data, offsets, n, hashes)]
-                cells = [rows.column(0), pa.array(found, pa.binary()), *rows.columns[2:]]
-                yield pa.RecordBatch.from_arrays(cells, names=["id", "features", *rest])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col, *rest).mapInArrow(run, f"id {kind}, features binary, {kinds}")
+                own = rows.column(0).to_pylist()
+                found = {}
+                for i, features in sorted(zip(own, shingle_sets(data, offsets, n, hashes)), key=lambda x: x[0]):
+                    if len(features):
+                        found.setdefault(features.tobytes(), (i, features))
+                yield from block(found.values(), signer, rows.column(0).type)
+
+    def block(found, signer, id_type):
+        for some in itertools.batched(found, SIGNED):
+            signs = [signer.signed(features) for _, features in some]
+            ids = np.repeat([i for i, _ in some], [len(s) for s, _ in signs])
+            cells = [np.concatenate([s for s, _ in signs]).view(np.int64), np.concatenate([x for _, x in signs])]
+            yield pa.RecordBatch.from_arrays([pa.array(cells[0]), pa.array(cells[1]), pa.array(ids, id_type)], names=["sign", "strong", "id"])
+
+    signed = docs.select(id_col, text_col).where(F.col(id_col).isNotNull())
+    rows = signed.mapInArrow(sign, f"sign bigint, strong boolean, id {kind}")
+    shared = Window.partitionBy("sign")
+    rows = rows.withColumns({"least": F.min("id").over(shared), "most": F.max("id").over(shared)})
+    return rows.where("least < most").drop("most")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -215,25 +192,29 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096)
     return out
 
 
-def _links(table: pa.Table, percent: int) -> pa.Table:
-    """One pair of blocks: for each member a partner that stands for its links, and how many it has.
+def shared_sizes(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections among the sets of a block. A feature of a single set counts for that one alone."""
+    names, counts = np.unique(np.concatenate(sets), return_counts=True)
+    common = names[counts > 1]
+    some = [x[np.isin(x, common, assume_unique=True)] for x in sets] if len(common) < len(names) else sets
+    out = overlaps(some, some)
+    np.fill_diagonal(out, [len(x) for x in sets])
+    return out
+
 
-    Within the pair, members that are linked, directly or through others, get one partner: the smallest id
-    among them.
+def _links(ids, copies, left, right, sets, percent) -> pa.Table:
+    """For each member a partner that stands for its links, how many it has, and whether it is ``near`` a single
+    left one.
+
+    ``left`` and ``right`` are the places of the members to be compared, alike if a block meets itself. Members
+    that are linked, directly or through others, get one partner: the smallest id among them.
     """
-    ids, first = np.unique(table.column("id").to_numpy(), return_index=True)
-    table = table.take(pa.array(first))
-    copies = table.column("copies").to_numpy()
-    side = table.column("side").to_numpy()
-    sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("features").to_pylist()]
-    one, two = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-    left, right = np.flatnonzero(side == one), np.flatnonzero(side == two)
-    if not len(left) or not len(right):
-        left = right = np.zeros(0, dtype=np.int64)
     root = np.arange(len(ids))
     many = np.zeros(len(ids), dtype=np.int64)
-    if len(left):
-        shared = overlaps([sets[x] for x in left], [sets[x] for x in right]).astype(np.int64)
+    if len(left) and len(right):
+        same = left is right
+        shared = shared_sizes([sets[x] for x in left]) if same else overlaps([sets[x] for x in left], [sets[x] for x in right])
+        shared = shared.astype(np.int64)
         size = np.array([len(s) for s in sets])
         union = size[left][:, None] + size[right][None, :] - shared
         x, y = np.nonzero(100 * shared >= percent * union)
@@ -241,7 +222,7 @@ def _links(table: pa.Table, percent: int) -> pa.Table:
         keep = x != y
         x, y = x[keep], y[keep]
         np.add.at(many, x, copies[y])
-        if one != two:
+        if not same:
             np.add.at(many, y, copies[x])
         while len(x):  # the smaller label wins until nothing changes
             low = np.minimum(root[x], root[y])
@@ -251,89 +232,216 @@ def _links(table: pa.Table, percent: int) -> pa.Table:
             root = root[root]
             if np.array_equal(before, root):
                 break
-    least = ids.copy()
-    order = np.lexsort((ids, root))
-    head = np.flatnonzero(np.concatenate([[True], np.diff(root[order]) > 0]))
-    least[order] = np.repeat(ids[order][head], np.diff(np.append(head, len(order))))
-    return pa.table({"id": ids, "partner": least, "links": many})
+    near = root == root[left[0]] if len(left) == 1 else np.zeros(len(ids), dtype=bool)
+    return pa.table({"id": ids, "partner": ids[root], "links": many, "near": near})  # ids are in order
 
 
-SIDES = 1 << 20
+JOB = ["kind", "key", "i", "j"]
 
 
-def _dealt(group: DataFrame, block: int) -> DataFrame:
-    """Members with their block and the blocks they meet: those of their own level of size and of the two
-    beside it. A member that is alone on three levels meets none and is left out.
+def _compared(jobs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """``id``, ``partner``, ``links`` and ``near`` of the members of each job; side ``i`` of a job meets side ``j``.
 
-    A block is numbered ``level * SIDES`` plus a place within the level.
+    Texts and jobs meet by shuffle at every size.
     """
-    sizes = group.groupBy("component", "level").agg(F.count(F.lit(1)).alias("n"))
-    sizes = stored(sizes.withColumn("blocks", F.ceil(F.col("n") / block).cast("long")), "sizes")
-    around = sizes
-    for name, step in (("lower", -1), ("upper", 1)):
-        beside = sizes.select("component", (F.col("level") - step).alias("level"), F.col("blocks").alias(name))
-        around = around.join(beside, ["component", "level"], "left")
-    own = F.col("level") * SIDES + F.pmod(F.xxhash64("id"), "blocks")
-
-    def blocks(level, count):
-        numbers = F.transform(F.sequence(F.lit(0).cast("long"), count - 1), lambda k: level * SIDES + k)
-        return F.when(count > 0, numbers).otherwise(F.array().cast("array<bigint>"))
-
-    meets = F.concat(
-        blocks(F.col("level"), F.when(F.col("n") > 1, F.col("blocks")).otherwise(0)),
-        blocks(F.col("level") - 1, F.coalesce("lower", F.lit(0))),
-        blocks(F.col("level") + 1, F.coalesce("upper", F.lit(0))),
+    hashes = arrays.SpanHash(1)
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, first = np.unique(table.column("id").to_numpy(), return_index=True)
+        table = table.take(pa.array(first)).combine_chunks()
+        sets = []
+        for batch in table.select(["text"]).to_batches():
+            for _, data, offsets in arrays.pieces(batch):
+                sets += shingle_sets(data, offsets, n, hashes)
+        side, one, two = table.column("side").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        left = np.flatnonzero(side == one)
+        right = left if one == two else np.flatnonzero(side == two)
+        return _links(ids, table.column("copies").to_numpy(), left, right, sets, percent)
+
+    def named(table: pa.Table) -> pa.Table:
+        found = run(table)
+        first = [pa.array([table.column(c)[0].as_py()] * found.num_rows, t) for c, t in (("kind", pa.int32()), ("key", pa.int64()))]
+        return pa.table([*first, *found.columns], names=["kind", "key", *found.column_names])
+
+    kind = texts.schema["id"].dataType.simpleString()
+    rows = texts.select("id", "text").join(jobs.hint("merge"), "id").groupBy(*JOB)
+    return rows.applyInArrow(named, f"kind int, key bigint, id {kind}, partner {kind}, links bigint, near boolean")
+
+
+def _parts(n: str, features: str, block: int):
+    return F.ceil(F.greatest(F.col(n) / block, F.col(features) / FEATURES)).cast("long")
+
+
+def _dealt(groups: DataFrame, block: int) -> DataFrame:
+    """Jobs that compare all members of each group (``kind``, ``key``) whose ``label`` differs.
+
+    A group of one block is one job. In a larger one a label of more than a block has blocks of its own, all
+    others share blocks; every two blocks meet, but not those of one label.
+    """
+    at = ["kind", "key"]
+    total = groups.groupBy(at).agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("f"))
+    total = total.select(*at, _parts("n", "f", block).alias("parts"))
+    sized = groups.join(total, at)
+    zero = F.lit(0).cast("long")
+    one = sized.where("parts = 1").select(*at, zero.alias("i"), zero.alias("j"), "id", "copies", zero.alias("side"))
+
+    many = sized.where("parts > 1").drop("parts")
+    labels = many.groupBy(*at, "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("f"))
+    labels = stored(labels.withColumn("own", _parts("n", "f", block)), "labels")
+    mixed = labels.where("own = 1").groupBy(at).agg(F.sum("n").alias("n"), F.sum("f").alias("f"))
+    mixed = mixed.select(*at, _parts("n", "f", block).alias("rest"))
+    many = many.join(labels.select(*at, "label", "own"), [*at, "label"]).join(mixed, at, "left")
+    owner = F.when(F.col("own") > 1, F.col("label"))
+    part = F.pmod(F.xxhash64("id"), F.when(F.col("own") > 1, F.col("own")).otherwise(F.col("rest")))
+    many = many.withColumn("owner", owner).withColumn("side", F.xxhash64("owner", part)).drop("own", "rest", "label")
+    many = stored(many, "members")
+    blocks = many.select(*at, "owner", "side").distinct()
+    left, right = (blocks.select(*at, F.col("owner").alias(o), F.col("side").alias(s)) for o, s in (("x", "i"), ("y", "j")))
+    pairs = left.join(right, at).where("i <= j and not coalesce(x = y, false)")
+    pairs = pairs.select(*JOB, F.explode(F.array_distinct(F.array("i", "j"))).alias("side"))
+    return one.unionByName(many.join(pairs, [*at, "side"]).select(*JOB, "id", "copies", "side"))
+
+
+def _stars(strong: DataFrame, members: DataFrame, block: int) -> DataFrame:
+    """Jobs that compare each member of a large group with one other: of the members of each signature the one that
+    shares the most signatures is its centre, and a member meets the centre of most of its signatures."""
+    rows = strong.select("sign", "id").join(members.select("id", "n_shingles"), "id")
+    rows = rows.withColumn("shared", F.count(F.lit(1)).over(Window.partitionBy("id")))
+    centre = F.max(F.struct("shared", (-F.col("id")).alias("id"))).over(Window.partitionBy("sign"))
+    rows = rows.withColumn("root", -centre["id"]).where("id <> root")
+    counts = rows.groupBy("id", "root").agg(F.count(F.lit(1)).alias("n"), F.first("n_shingles").alias("n_shingles"))
+    most = F.max_by("root", F.struct("n", -F.col("root")))
+    chosen = stored(counts.groupBy("id").agg(most.alias("root"), F.first("n_shingles").alias("n_shingles")), "stars")
+    roots = chosen.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("f"))
+    roots = roots.select("root", _parts("n", "f", block).alias("parts"))
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    spread = chosen.join(roots, "root").select(
+        F.lit(STAR).alias("kind"), F.col("root").cast("long").alias("key"), zero.alias("i"), (F.pmod(F.xxhash64("id"), "parts") + 1).alias("j"), "id", one.alias("copies")
+    )
+    centres = roots.select("root", F.explode(F.sequence(one, F.col("parts"))).alias("j")).select(
+        F.lit(STAR).alias("kind"), F.col("root").cast("long").alias("key"), zero.alias("i"), "j", F.col("root").alias("id"), one.alias("copies")
     )
-    rows = group.join(around, ["component", "level"]).select("id", "copies", "component", own.alias("side"), meets.alias("meets"))
-    return rows.where(F.size("meets") > 0)
+    return spread.withColumn("side", F.col("j")).unionByName(centres.withColumn("side", zero))
+
+
+def _apart(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows of signatures that hold several labels."""
+    shared = Window.partitionBy(*by)
+    rows = rows.withColumns({"low": F.min("label").over(shared), "high": F.max("label").over(shared)})
+    return rows.where("low < high").drop("low", "high")
+
+
+def _remaining(buckets: DataFrame, members: DataFrame, found: DataFrame, block: int) -> DataFrame:
+    """Groups of large candidate groups that still hold several labels: whole, or signature by signature where
+    that sends fewer copies of texts."""
+    centres = found.where((F.col("kind") == STAR) & F.col("near") & (F.col("id") != F.col("key")))
+    centres = centres.groupBy("id").agg(F.min("key").alias("centre"))
+    label = F.coalesce("centre", "id").cast(members.schema["id"].dataType)
+    labelled = members.join(centres, "id", "left").select("id", "copies", "n_shingles", "component", label.alias("label"))
+    rows = stored(_apart(buckets.select("sign", "id").join(labelled, "id"), "sign", "component"), "apart")
+    single = rows.select("component", "id", "copies", "n_shingles", "label").distinct()
+    whole = single.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("f"))
+    whole = whole.withColumn("sent", F.col("n") * _parts("n", "f", block)).select("component", "sent")
+    ways = rows.groupBy("component").agg(F.count(F.lit(1)).alias("rows")).join(whole, "component")
+    ways = stored(ways.select("component", (F.col("rows") < F.col("sent")).alias("by_sign")), "ways")
+    columns = ["id", "copies", "n_shingles", "label"]
+    by_sign = rows.join(ways.where("by_sign"), "component").select(F.lit(SIGNATURE).alias("kind"), F.xxhash64("sign", "component").alias("key"), *columns)
+    by_group = single.join(ways.where("not by_sign"), "component")
+    return by_sign.unionByName(by_group.select(F.lit(GROUP).alias("kind"), F.col("component").cast("long").alias("key"), *columns))
 
 
 def similar_groups(
-    docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK
+    docs: DataFrame,
+    n: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block: int = BLOCK,
+    count_links: bool = True,
 ) -> DataFrame:
-    """``id_col``, ``n_shingles``, ``component_id`` and ``n_links`` of every document.
+    """``id_col``, ``n_shingles``, ``component_id`` and, if asked for, ``n_links`` of every document.
 
     ``component_id`` is the smallest id that can be reached by links, the document's own included;
-    ``n_links`` counts linked documents, copies each for itself. A null text or one without words has an
-    empty set: no links. Ids are integers and differ where texts do; a repeated row counts as a copy, rows
-    without an id are left out of all groups. Other columns are left out.
+    ``n_links`` counts linked documents, copies each for itself, for which all pairs of a candidate group have to
+    be compared; components alone need far fewer. A null text or one without words has an empty set: no links.
+    Sets are compared by 64-bit hashes of their n-grams. Ids are integers and differ where texts do; a repeated
+    row counts as a copy, rows without an id are left out of all groups. Other columns are left out.
     """
     spark = docs.sparkSession
     profile = stored(_profiles(docs, n, id_col, text_col), "profiles")
     full = profile.where("n_shingles > 0 and id is not null")
     classes = full.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     # Stored, so that the join meets two plain tables and a very common key can be split.
-    members = full.select("id", "n_shingles", "key").join(stored(classes, "classes"), "key")
+    classes = stored(classes, "classes")
+    members = full.select("id", "n_shingles", "key").join(classes, "key")
     members = members.groupBy("id").agg(F.min(F.struct("rep", "copies", "n_shingles")).alias("c"))
     members = stored(members.select("id", "c.*"), "members")
-    # Sets that link are of one level of size or of neighbouring ones; the factor is for rounding.
-    level = F.floor(F.log(F.col("n_shingles")) / (math.log(100 / percent) * 1.000001)) if percent < 100 else F.col("n_shingles")
-    reps = members.where("id = rep").select("id", "copies", level.cast("long").alias("level"))
-
-    group = components(spark, _candidates(docs, n, percent, id_col, text_col))
-    group = stored(group.join(reps, group.node == reps.id).select("id", "copies", "level", "component"), "groups")
-    dealt = _dealt(group, block)
-    # Always by shuffle: what is joined grows with the documents, and the job behaves alike at every size.
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(dealt.hint("merge"), "id")
-    sets = _sets(texts, n, "id", "text")
-    pairs = sets.select("id", "features", "copies", "component", "side", F.explode("meets").alias("m"))
-    pairs = pairs.select("id", "features", "copies", "component", "side", F.least("side", "m").alias("i"), F.greatest("side", "m").alias("j"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    found = pairs.groupBy("component", "i", "j").applyInArrow(
-        lambda t: _links(t, percent), f"id {kind}, partner {kind}, links bigint"
-    )
-    found = stored(found, "found")
+    reps = members.where("id = rep").select("id", "copies", "n_shingles")
+
+    buckets = stored(_buckets(docs, n, percent, classes.count(), id_col, text_col), "buckets")
+    strong = buckets if count_links else buckets.where("strong")
+    near = components(spark, strong.select(F.col("id").alias("a"), F.col("least").alias("b")))
+    group = near.join(reps, near.node == reps.id).select("id", "copies", "n_shingles", "component")
+    sizes = group.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("f"))
+    sizes = sizes.select("component", (_parts("n", "f", block) > 1).alias("large"))
+    group = stored(group.join(sizes, "component"), "groups")
+
+    def whole(rows):
+        return rows.select(F.lit(SELF).alias("kind"), F.col("component").cast("long").alias("key"), "id", "copies", "n_shingles", F.col("id").alias("label"))
+
+    def texts_of(wanted):
+        texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        return stored(texts.join(wanted.hint("merge"), "id"), "texts")
+
+    if count_links:
+        texts = texts_of(group.select("id"))
+        found = stored(_compared(_dealt(whole(group), block), texts, n, percent), "found")
+    else:
+        placed = reps.join(group.select("id", "component"), "id", "left")
+        placed = placed.withColumn("label", F.coalesce("component", "id"))
+        weak = _apart(buckets.where("not strong").select("sign", "id").join(placed, "id"), "sign")
+        weak = weak.select(F.lit(WEAK).alias("kind"), F.col("sign").alias("key"), "id", "copies", "n_shingles", "label")
+        large = group.where("large")
+        jobs = _dealt(whole(group.where("not large")).unionByName(weak), block)
+        jobs = stored(jobs.unionByName(_stars(strong, large, block)), "jobs")
+        wanted = jobs.select("id").union(large.select("id")).distinct().join(large.select("id", "large"), "id", "left")
+        texts = texts_of(wanted)
+        found = stored(_compared(jobs, texts, n, percent), "found")
+        if not large.isEmpty():
+            jobs = _dealt(_remaining(buckets, large, found, block), block)
+            found = found.union(stored(_compared(jobs, texts.where("large"), n, percent), "found"))
     joined = components(spark, found.select(F.col("id").alias("a"), F.col("partner").alias("b")))
-    links = found.groupBy("id").agg(F.sum("links").alias("links"))
-
-    of_rep = members.join(joined, members.rep == joined.node, "left").join(links, members.rep == links.id, "left").select(
-        members.id,
-        F.coalesce("component", "rep").alias("component_id"),
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-    )
+    of_rep = members.join(joined, members.rep == joined.node, "left")
+    if count_links:
+        links = found.groupBy("id").agg(F.sum("links").alias("links"))
+        of_rep = of_rep.join(links.withColumnRenamed("id", "linked"), F.col("rep") == F.col("linked"), "left")
+        counted = [(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")]
+    else:
+        counted = []
+    of_rep = of_rep.select(members.id, F.coalesce("component", "rep").alias("component_id"), *counted)
     return profile.join(of_rep, "id", "left").select(
         F.col("id").alias(id_col),
         "n_shingles",
         F.coalesce("component_id", "id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        *[F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links") for _ in counted],
     )
+
+
+def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of the document of smallest id of each group, all columns as they are.
+
+    Rows that repeat with id and text stay once: the one whose other columns come first as JSON. Rows without an
+    id are in no group: they stay, once for each text.
+    """
+    groups = similar_groups(docs, n, percent, id_col, text_col, count_links=False)
+    stay = groups.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count(F.lit(1)).alias("rows"))
+    stay = stored(stay, "representatives")
+    once, often = (stay.where(c).select(id_col) for c in ("rows = 1", "rows > 1"))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)], F.lit(0).alias("_")))
+    place = next(name for k in itertools.count() if (name := f"place{k}") not in docs.columns)
+    kept = docs.join(once, id_col, "left_semi").select(*names)
+    for rows in (docs.join(often, id_col, "left_semi"), docs.where(F.col(id_col).isNull())):
+        first = F.row_number().over(Window.partitionBy(F.col(id_col), F.xxhash64(text_col), F.col(text_col)).orderBy(others))
+        kept = kept.unionByName(rows.withColumn(place, first).where(F.col(place) == 1).select(*names))
+    return kept

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from staylake.session import scratch_dir
 
+#: Links that make a hub at least, and how many hubs there can be about.
+HUB, HUBS = 1 << 20, 1000
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read again: later steps do not recompute it."""
@@ -15,41 +18,51 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of what ``df`` reads, as the planner states it; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-#: The planner states sizes beyond this where it knows none.
-UNKNOWN_BYTES = 1 << 52
-
-
-def partitions_for(df: DataFrame, each: int) -> int:
-    """Partitions of about ``each`` bytes of input; at least the session's shuffle partitions."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = input_bytes(df)
-    return max(least, -(-size // each)) if size < UNKNOWN_BYTES else least
+def partitions_for(texts: DataFrame, text_col: str, each: int) -> int:
+    """Partitions of about ``each`` bytes of text, which are measured; at least the session's shuffle partitions."""
+    least = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = texts.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
+    return max(least, -(-size // each))
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """``node``, ``component`` (its smallest node) for ``edges`` of columns ``a`` and ``b``.
 
     Large-star and small-star in turn: every node links its larger neighbours, then its smaller ones, to
-    the smallest it knows. Each round aggregates before it joins, so a node with very many links costs
-    one row a task. Rounds grow with the logarithm of the longest path.
+    the smallest it knows. Rounds grow with the logarithm of the longest path. A node with very many links,
+    more than a thousandth of all, is a hub; as there are few of them, what they know is sent to their links, so no
+    task gets all links of one node.
     """
-    pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    pairs = stored(pairs, "links")
+    links = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    pairs, state = _counted(links)
     while True:
+        hub = max(HUB, state[0] // HUBS)
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("a", "m"))
+        large = _told(both.where("b > a"), least, hub, state[0]).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        after = stored(small.where("a <> b").distinct(), "links")
-        same = pairs.count() == after.count() and pairs.join(after, ["a", "b"], "left_anti").isEmpty()
-        pairs = after
-        if same:
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = _told(large, least, hub, state[0]).select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+        before = state
+        pairs, state = _counted(small.where("a <> b").distinct())
+        if state == before:
             roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+
+
+def _counted(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """``links`` stored, and their number with a digest of the set they form."""
+    kept = stored(links, "links")
+    digest = kept.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"), F.sum(F.hash("b", "a").cast("long")).alias("s"))
+    return kept, tuple(digest.first())
+
+
+def _told(links: DataFrame, least: DataFrame, hub: int, total: int) -> DataFrame:
+    """``links`` with what ``least`` knows of ``a``. At most ``2 * HUBS`` nodes have more than ``hub`` links, and none
+    if there are no more links than that in ``total``."""
+    if total <= hub:
+        return links.join(least.select("a", "m"), "a")
+    hubs = least.where(F.col("n") > hub).select("a", "m")
+    usual = least.where(F.col("n") <= hub).select("a", "m")
+    others = links.join(F.broadcast(hubs.select("a")), "a", "left_anti")
+    return links.join(F.broadcast(hubs), "a").union(others.join(usual, "a"))

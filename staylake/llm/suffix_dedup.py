@@ -31,8 +31,8 @@ from staylake.llm.store import partitions_for, stored
 
 GRAM = 20
 #: Input for each bucket of suffixes, and for each task that compares hashes of anchors.
-BUCKET_BYTES = 2 << 20
-DEAL_BYTES = 16 << 20
+BUCKET_BYTES = 7 << 19
+DEAL_BYTES = 28 << 20
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, hashes: arrays.SpanHash):
@@ -324,12 +324,12 @@ def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     kind = docs.schema[id_col].dataType.simpleString()
     copies = stored(_copies(docs, id_col, text_col), "copies")
     marked = _marked(docs, length, id_col, text_col)
-    kept = _repeated(marked, partitions_for(docs, DEAL_BYTES)).join(copies, "id", "left_anti")
+    kept = _repeated(marked, partitions_for(docs, text_col, DEAL_BYTES)).join(copies, "id", "left_anti")
     kept = stored(kept, "anchors")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(kept.hint("merge"), "id")
     parts = _segments(texts, length, "id", "text", kind)
     lead = F.substring("bytes", F.col("place") - F.col("first") + 1, F.lit(GRAM))
-    parts = parts.repartitionByRange(partitions_for(docs, BUCKET_BYTES), lead, "id", "first")
+    parts = parts.repartitionByRange(partitions_for(docs, text_col, BUCKET_BYTES), lead, "id", "first")
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = to_arrow_type(docs.schema[id_col].dataType)

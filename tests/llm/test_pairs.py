@@ -42,6 +42,75 @@ def test_linked_sets_share_a_signature(percent):
                 assert set(signer.signatures(a).tolist()) & set(signer.signatures(b).tolist())
 
 
+@pytest.mark.parametrize("n, percent, block", [(3, 90, 800), (5, 80, 4), (2, 60, 3), (1, 50, 2)])
+def test_components_without_counting_links(docs, texts, n, percent, block):
+    rows = ngram_join.similar_groups(docs, n, percent, block=block, count_links=False).collect()
+    want = {i: x[:2] for i, x in brute.groups(texts, n, percent).items()}
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want and len(rows) == len(texts)
+
+
+@pytest.mark.parametrize("percent, sets", [(80, 50_000), (80, 10**9), (90, 50_000)])
+def test_sets_near_band_ends_share_a_signature(percent, sets):
+    rng, signer = np.random.default_rng(percent), ngram_join.Signer(percent, sets)
+    signer.band(700)
+    for end in [e for e in signer.ends if 3 < e < 700][::3]:
+        for size in (end, end + 1):
+            other = -(-size * percent // 100)
+            a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+            for b in (a[:other], np.concatenate([a[: len(a) - 1], rng.integers(0, 2**63, 1, dtype=np.uint64)]) if size > 20 else a[:other]):
+                same = len(np.intersect1d(a, b))
+                if 100 * same >= percent * (len(a) + len(b) - same):
+                    assert set(signer.signatures(a).tolist()) & set(signer.signatures(b).tolist())
+
+
+@pytest.mark.parametrize("percent, size", [(80, 100), (80, 400), (80, 1200), (90, 400)])
+def test_unrelated_sets_form_no_candidate_group(percent, size):
+    """Strong signatures of sets that share nothing are never alike; weak ones seldom."""
+    rng, signer = np.random.default_rng(size), ngram_join.Signer(percent, 40_000)
+    owners, met = {}, set()
+    for i in range(150):
+        for sign, strong in zip(*signer.signed(rng.integers(0, 2**63, size, dtype=np.uint64))):
+            j = owners.setdefault(int(sign), (i, bool(strong)))
+            if j[0] != i:
+                assert not strong and not j[1]
+                met.add((j[0], i))
+    assert len(met) < 0.02 * 150 * 149 / 2
+
+
+def test_a_large_group_of_near_copies_sends_about_its_members(spark, monkeypatch):
+    """Not its members times its blocks: 600 near copies are 30 blocks of 20."""
+    rng = np.random.default_rng(8)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, 200)]
+    rows = []
+    for i in range(600):
+        copy = list(base)
+        for at in rng.integers(0, 200, rng.integers(0, 4)):
+            copy[at] = f"x{rng.integers(0, 10**9)}"
+        rows.append((i, " ".join(copy)))
+    sent, compared = [], ngram_join._compared
+
+    def spy(jobs, *rest):
+        sent.append(jobs.count())
+        return compared(jobs, *rest)
+
+    monkeypatch.setattr(ngram_join, "_compared", spy)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_groups(frame, 3, 90, block=20, count_links=False).collect()}
+    assert got == {i: x[1] for i, x in brute.groups(dict(rows), 3, 90).items()}
+    assert sum(sent) < 4 * 600, sent
+
+
+def test_components_with_a_hub(spark, monkeypatch):
+    from staylake.llm import store
+
+    monkeypatch.setattr(store, "HUB", 3)
+    star = spark.range(1, 200).select(F.lit(0).alias("a"), F.col("id").alias("b"))
+    more = spark.range(200, 300).select((F.col("id") + 1).alias("a"), F.col("id").alias("b"))
+    rows = components(spark, star.union(more).union(spark.range(1).selectExpr("500L", "501L"))).collect()
+    assert {r["node"]: r["component"] for r in rows} == {**{i: 0 for i in range(200)}, **{i: 200 for i in range(200, 301)}, 500: 500, 501: 500}
+    assert components(spark, star.limit(0)).collect() == []
+
+
 def test_components_of_a_long_path(spark):
     path = spark.range(0, 60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     rows = components(spark, path.union(spark.range(1).selectExpr("100L AS a", "90L AS b")))
@@ -97,6 +166,15 @@ def test_find_passages(spark, docs, texts, items, limit):
     assert sum(x[1] > 0 for x in want.values()) > 5
 
 
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_passages_without_an_id_and_in_repeated_rows(spark, docs, texts, items, limit):
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    odd = docs.union(docs).withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")))
+    rows = decontaminate.find_passages(odd, table, broadcast_bytes=limit, keep=("source",)).collect()
+    want = brute.passages(texts, items)
+    assert sorted((r["n_words"], r["n_hit"], tuple(r["items"])) for r in rows) == sorted(2 * [(a, b, tuple(c)) for a, b, c in want.values()])
+
+
 @pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
 def test_no_items_or_no_documents(spark, docs, nothing, texts, limit):
     none = spark.createDataFrame([], "item_id bigint, text string")
