@@ -227,8 +227,8 @@ def find_passages(
     """``id_col``, ``n_words``, ``n_hit``, ``items`` (ids of items with a window in the text), ``hits``.
 
     The columns in ``keep`` are passed through. ``hits`` holds begin and end of each run of hit words. A null or empty text has no words and no hit,
-    an empty benchmark hits nothing, an item without words has no window; items may repeat. On the broadcast
-    way every row is judged for itself; the shuffled way needs ids, and different ones for different texts.
+    an empty benchmark hits nothing, an item without words has no window; items may repeat. Every row is
+    judged by its text, whatever its id; equal texts have equal hits.
     """
     table = stored(windows(items, width, item_col, item_text), "windows")
     size = table.select(F.sum(F.octet_length("window") + 8 * F.size("items") + 64)).first()[0] or 0
@@ -258,13 +258,15 @@ def _in_place(docs, chosen, schema, item, id_col, text_col, keep):
 
 
 def _shuffled(docs, chosen, schema, item, id_col, text_col, keep):
-    """Documents get the places where a prefix met them as a list, which is as long as the text at most
-    allows; a document without one gets none."""
+    """Texts, by their SHA-256, get the places where a prefix met them as a list, which is as long as the text at
+    most allows; a text without one gets none."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     item = to_arrow_type(item)
-    met = shingle_rows(docs, id_col, text_col).join(chosen, "shingle")
-    met = met.where("place >= shift").groupBy(id_col).agg(
+    whole = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    texts = docs.select(whole.alias("whole"), F.col(text_col).alias("text")).groupBy("whole").agg(F.first("text").alias("text"))
+    met = shingle_rows(texts, "whole", "text").join(chosen, "shingle")
+    met = met.where("place >= shift").groupBy("whole").agg(
         F.collect_list(F.struct((F.col("place") - F.col("shift")).alias("start"), "window", "items")).alias("met")
     )
 
@@ -284,5 +286,8 @@ def _shuffled(docs, chosen, schema, item, id_col, text_col, keep):
                     start, length = np.array(start, dtype=np.int64), np.array(length, dtype=np.int64)
                     yield _report(rows, words, first, np.arange(len(start)), start, length, found, item, id_col, keep)
 
-    rows = docs.select(id_col, text_col, *keep).join(met, id_col, "left").select(id_col, text_col, "met", *keep)
-    return rows.mapInArrow(run, schema)
+    own = [F.col(f"`{c}`") for c in (id_col, text_col, *keep)]
+    rows = docs.select(F.struct(*own).alias("row"), whole.alias("own"))
+    rows = rows.join(met, F.col("own") == F.col("whole"), "left")
+    row = lambda c: F.col("row")[c].alias(c)
+    return rows.select(row(id_col), row(text_col), "met", *[row(c) for c in keep]).mapInArrow(run, schema)

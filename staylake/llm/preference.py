@@ -7,6 +7,8 @@ assistant wrote.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from staylake.llm.store import stored
 
 HEAD, FOOT = "<|{role}|>\n", "<|end|>\n"
 LEARNT = "assistant"
+#: Conversations that one task puts in order.
+BUCKET = 50_000
 PAIR = ("chosen_id", "rejected_id", "a", "b")
 
 
@@ -63,27 +67,36 @@ def by_swapped_answer(convs: DataFrame) -> DataFrame:
 def by_neighbour_answer(convs: DataFrame) -> DataFrame:
     """Pairs of a conversation up to its last answer and itself with the last answer of another one.
 
-    Each conversation with an assistant turn has one row, whatever its id and whatever follows that turn. The
-    other one is the next by SHA-256 of the id, the first after the last; a single one is its own. The order is
-    sorted in 256 buckets of the hash, and the last of a bucket takes the first of the next bucket.
+    Each conversation with an assistant turn has one row, whatever its id and whatever follows that turn, in which
+    the other answer stands for its last one; and a second row, in which it stands for its first answer and ends
+    there, if that is not the last. The other one is the next by SHA-256 of the id, the first after the last; a
+    single one is its own. The order is one of ids and hashes alone, sorted in buckets of about ``BUCKET`` ids by
+    the first digits of the hash; the last of a bucket takes the first of the next.
     """
     learnt = F.transform("turns", lambda t: t["role"] == LEARNT)
     last = F.size("turns") - F.array_position(F.reverse(learnt), F.lit(True)).cast("int") + 1
-    rows = convs.where(F.array_contains(learnt, True)).select("conv", F.slice("turns", F.lit(1), last).alias("turns"))
+    rows = convs.where(F.array_contains(learnt, True)).select(
+        "conv", F.slice("turns", F.lit(1), last).alias("turns"), F.array_position(learnt, F.lit(True)).cast("int").alias("first")
+    )
+    rows = stored(rows.withColumn("answer", F.element_at("turns", -1)["text"]), "answered")
+    digits = max(1, math.ceil(math.log(max(rows.count() / BUCKET, 1), 16)))
     name = F.sha2(F.col("conv").cast("string"), 256)
-    own = F.struct(F.col("conv"), F.element_at("turns", -1)["text"].alias("answer"))
-    rows = rows.select("conv", "turns", name.alias("h"), F.substring(name, 1, 2).alias("bucket"), own.alias("own"))
-    heads = rows.groupBy("bucket").agg(F.min_by("own", F.struct("h", "conv")).alias("own"))
-    around = Window.orderBy("bucket")  # 256 rows at most
-    heads = heads.select("bucket", F.coalesce(F.lead("own").over(around), F.first("own").over(around)).alias("beyond"))
-    within = rows.withColumn("next", F.lead("own").over(Window.partitionBy("bucket").orderBy("h", "conv")))
-    other, end = F.coalesce("next", "beyond"), F.element_at("turns", -1)
-    swapped = F.struct(end["turn"].alias("turn"), end["role"].alias("role"), other["answer"].alias("text"))
-    return within.join(heads, "bucket").select(
+    ids = rows.select("conv", name.alias("h"), F.substring(name, 1, digits).alias("bucket"))
+    heads = ids.groupBy("bucket").agg(F.min_by("conv", F.struct("h", "conv")).alias("conv"))
+    around = Window.orderBy("bucket")  # a row a bucket
+    heads = heads.select("bucket", F.coalesce(F.lead("conv").over(around), F.first("conv").over(around)).alias("beyond"))
+    within = ids.withColumn("next", F.lead("conv").over(Window.partitionBy("bucket").orderBy("h", "conv")))
+    order = within.join(heads, "bucket").select("conv", F.coalesce("next", "beyond").alias("rejected_id"))
+    answers = rows.select(F.col("conv").alias("rejected_id"), F.col("answer").alias("other"))
+    pairs = rows.join(order, "conv").join(answers, "rejected_id")
+    end = F.element_at("turns", F.col("at"))
+    swapped = F.struct(end["turn"].alias("turn"), end["role"].alias("role"), F.col("other").alias("text"))
+    places = F.array_distinct(F.array(F.size("turns"), F.col("first")))
+    return pairs.withColumn("at", F.explode(places)).select(
         F.col("conv").alias("chosen_id"),
-        other["conv"].alias("rejected_id"),
+        "rejected_id",
         F.col("turns").alias("a"),
-        F.concat(F.slice("turns", F.lit(1), F.size("turns") - 1), F.array(swapped)).alias("b"),
+        F.concat(F.slice("turns", F.lit(1), F.col("at") - 1), F.array(swapped)).alias("b"),
     )
 
 
@@ -142,6 +155,6 @@ def preferences(turns: DataFrame) -> DataFrame:
 
 
 def all_preferences(turns: DataFrame) -> DataFrame:
-    """Pairs by opening, and a row of its own for each conversation with an assistant turn."""
+    """Pairs by opening, and one or two rows of its own for each conversation with an assistant turn."""
     convs = stored(conversations(turns), "conversations")
     return format_preferences(by_opening(convs).unionAll(by_neighbour_answer(convs)))

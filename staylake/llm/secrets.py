@@ -7,6 +7,8 @@ blob once whatever the number of its paths, and then joins the findings to all p
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,11 +65,14 @@ def blob(text_col: str) -> Column:
     return F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256).alias("blob")
 
 
-def scan(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text"):
-    """``(findings, ledger)``: findings have ``id_col``, ``blob`` and ``found`` (spans of all versions).
+def scan(
+    docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", versions: Sequence[int] = tuple(RULES)
+):
+    """``(findings, ledger)``: findings have ``id_col``, ``blob`` and ``found`` (spans of all versions in the ledger).
 
-    The new ledger holds the old rows and those of this run. A null text is an empty one; equal texts share
-    a blob; rows may repeat and may have no id; other columns are left out.
+    The new ledger holds the old rows, which are not written again, and those of this run: the pairs of a blob and
+    one of ``versions`` that the old one lacks. Rules of other versions are not evaluated on a blob. A null text
+    is an empty one; equal texts share a blob; rows may repeat and may have no id; other columns are left out.
     """
     spark = docs.sparkSession
     content = F.coalesce(F.col(text_col), F.lit(""))
@@ -76,24 +81,26 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id
     ledger = ledger.select("blob", "version", "found")
     paths = docs.select(F.col(id_col), blob(text_col))
     heads = paths.groupBy("blob").agg(F.min(id_col).alias("id"))
-    pairs = heads.withColumn("version", F.explode(F.array(*map(F.lit, RULES))))
+    pairs = heads.withColumn("version", F.explode(F.array(*map(F.lit, versions))))
     unseen = pairs.join(ledger.select("blob", "version"), ["blob", "version"], "left_anti")
     todo = unseen.groupBy("blob", "id").agg(F.collect_set("version").alias("versions"))
     texts = docs.select(F.col(id_col).alias("path"), content.alias("text"), blob(text_col).alias("own"))
     texts = texts.join(todo.hint("merge"), F.col("path").eqNullSafe(F.col("id")) & (F.col("own") == F.col("blob")))
     rank = {kind: i for i, kind in enumerate(KINDS)}
-    scanned = texts.select(
-        "blob", "versions", *[rule(F.col("text")).alias(kind) for rules in RULES.values() for kind, rule in rules.items()]
-    )
+    unseen_rules = [
+        F.when(F.array_contains("versions", v), rule(F.col("text"))).alias(kind) for v in versions for kind, rule in RULES[v].items()
+    ]
+    scanned = texts.select("blob", "versions", *unseen_rules)
     each = F.array(
         *[
             F.struct(F.lit(v).alias("version"), _ranked({k: F.col(k) for k in rules}, rank).alias("found"))
             for v, rules in RULES.items()
+            if v in versions
         ]
     )
     rows = scanned.select("blob", F.explode(F.filter(each, lambda x: F.array_contains("versions", x["version"]))).alias("x"))
     rows = rows.select("blob", "x.version", "x.found").dropDuplicates(["blob", "version"])
-    done = stored(ledger.unionByName(rows), "secret-ledger")
+    done = ledger.unionByName(stored(rows, "secret-ledger"))
     found = paths.join(hits(done), "blob", "left")
     return found.select(id_col, "blob", F.coalesce("found", F.array().cast(SPANS)).alias("found")), done
 

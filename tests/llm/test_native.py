@@ -72,7 +72,7 @@ def test_finds_what_the_base_patterns_miss(spark):
         "version": "version 10.15.7.2024 is out", "date": "call on 2024-01-15 or 15.01.2024", "order": "order 2024001234 shipped", "home": "we are @home or me@work",
     }
     rows = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
-    found = pii.report(pii.find(rows, pii.fit_labelled(pii.labelled_spans(spark)))).collect()
+    found = pii.report(pii.find(rows, pii.fitted_once(spark))).collect()
     got = {r["doc_id"]: [x.split(":") for x in r["spans"].split(",") if x] for r in found}
     cut = {i: [(k, texts[i][int(a) : int(b)]) for k, a, b in x] for i, x in got.items()}
     assert all(r[f"n_{k}"] == 0 for r in found for k in pii.KINDS)  # none is a base span
@@ -82,6 +82,25 @@ def test_finds_what_the_base_patterns_miss(spark):
     assert [cut[i] for i in ("version", "date", "order", "home")] == [[]] * 4
 
 
+def test_overlapping_candidates_are_cut_to_the_value(spark):
+    texts = {
+        "stop": "ask jonas@grün-haus.de.", "brackets": "(jonas@grün-haus.de), she said", "quotes": 'mail "élodie@café-paris.fr"!',
+        "date behind": "Tel. 030 1234567 2024-01-15", "date before": "on 2024-01-15 call (212) 555-1234 now",
+    }
+    rows = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    found = pii.report(pii.find(rows, pii.fitted_once(spark))).collect()
+    cut = {r["doc_id"]: [texts[r["doc_id"]][int(a) : int(b)] for _, a, b in (x.split(":") for x in r["spans"].split(",") if x)] for r in found}
+    assert cut == {
+        "stop": ["jonas@grün-haus.de"], "brackets": ["jonas@grün-haus.de"], "quotes": ["élodie@café-paris.fr"],
+        "date behind": ["030 1234567"], "date before": ["(212) 555-1234"],
+    }
+
+
+def test_forests_are_stored_and_read_alike(spark):
+    model = pii.fitted_once(spark)
+    assert vars(pii.fitted_once(spark)) == vars(model) and set(model.trees) == {"email", "card", "phone"}
+
+
 def test_calibrated_threshold():
     assert pii.calibrated([(0.9, 1), (0.8, 1), (0.7, 0), (0.6, 1), (0.5, 0)], 0.75) == 0.6
     assert pii.calibrated([(0.9, 0), (0.2, 1)], 0.9) is None and pii.calibrated([], 0.9) is None
@@ -111,6 +130,17 @@ def test_only_unseen_blobs_are_scanned(spark):
     assert got == [(0, 1), (5, 0), (6, 1)] and after.count() == 3 * len(secrets.RULES)
 
 
+def test_only_unseen_pairs_of_blob_and_version_are_scanned(spark):
+    old = spark.createDataFrame([(1, "token=abcdef1"), (2, "nothing")], "doc_id int, text string")
+    _, ledger = secrets.scan(old, versions=(1,))
+    assert sorted((r["version"], r["count"]) for r in ledger.groupBy("version").count().collect()) == [(1, 2)]
+    new = old.union(spark.createDataFrame([(6, "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.c2lnbmF0dXJlMTIz")], "doc_id int, text string"))
+    findings, after = secrets.scan(new, ledger)
+    fresh = after.join(ledger, ["blob", "version"], "left_anti").groupBy("version").count().collect()
+    assert sorted((r["version"], r["count"]) for r in fresh) == [(1, 1), (2, 3), (3, 3)]
+    assert sorted((r["doc_id"], [s["kind"] for s in r["found"]]) for r in findings.collect()) == [(1, ["assign"]), (2, []), (6, ["jwt"])]
+
+
 def test_redaction(spark):
     rows = [(1, "é token=abcdef1 end", 3), (2, None, 4), (3, "clean", 5), (3, "clean", 5)]
     docs = spark.createDataFrame(rows, "doc_id int, text string, n_chars bigint").selectExpr("*", "'x' AS blob", "1 AS found")
@@ -159,6 +189,22 @@ URLS = [
 ]
 
 
+def test_bad_words_alone_are_blocked_and_unknown_names_stay(spark):
+    """Hosts of one listed word, and hosts of words that no list and no rule of the table knows."""
+    other = """python github mountainbike wikipedia nytimes kitchenware lighthouse umbrella quartz velvet falcon bridges planet
+    hotel airport bakery dentist lawyer camera guitar printer fossil meadow harvest blossom galaxy engine river castle""".split()
+    hosts = [f"http://{w}.net/" for w in urls.BAD] + [f"http://www.{w}.org/en/1" for w in urls.BAD] + [f"http://{w}.com/" for w in other]
+    pages = spark.createDataFrame(list(enumerate(hosts)), "page_id int, url string")
+    rows = {r["page_id"]: r["verdict"] for r in urls.judged(pages, urls.fit(urls.labelled_urls(spark)), rules=()).collect()}
+    n = len(urls.BAD)
+    for some in (range(n), range(n, 2 * n)):
+        assert sum(rows[i] == "block" for i in some) >= 0.9 * n
+    assert sum(rows[i] == "block" for i in range(2 * n, len(hosts))) <= 1
+    null = spark.createDataFrame([(None, None), (None, "http://casino.net/")], "page_id int, url string")
+    got = sorted((r["page_id"], r["host"], r["verdict"]) for r in urls.judged(null, urls.fit(urls.labelled_urls(spark))).collect())
+    assert [g[0] for g in got] == [None, None] and {g[1] for g in got} == {"", "casino.net"}
+
+
 def test_urls(spark):
     pages = spark.createDataFrame(list(enumerate(URLS)) + [(3, URLS[3])], "page_id int, url string").withColumn("host", F.lit("x"))
     rows = urls.judged(pages, urls.fit(urls.labelled_urls(spark))).collect()

@@ -116,3 +116,13 @@ def test_stages_on_odd_tables(spark, folder, docs):
             assert out.columns == odd.columns and out.dtypes == odd.dtypes
         assert out.count() <= odd.count()
         assert stage(spark, odd.limit(0), folder).count() == 0
+
+
+def test_near_duplicates_keep_documents_without_an_id_and_one_of_repeated_rows(spark, folder):
+    a, b, c = ("".join(f"{x}{i} " for i in range(60)) for x in "abc")
+    rows = [(1, a, "p", 1), (1, a, "o", 1), (None, b, None, 1), (2, a, "p", 1), (4, c, "p", 2), (None, b, "q", 1)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, place0 int")
+    out = corpus_pipeline.near_duplicates(spark, frame, folder)
+    assert out.columns == frame.columns
+    got = sorted((r["doc_id"] or 0, r["text"], r["source"] or "") for r in out.collect())
+    assert [(i, t) for i, t, _ in got] == [(0, b), (1, a), (4, c)] and got[1][2] == "o"
