@@ -2,8 +2,8 @@
 
 Stages keep the columns of ``documents``; the last one returns tokens. Every row is judged, texts are whole.
 Defined cases: a null or empty text fails the quality rules (no words); of repeated rows with one id and text
-all stay or all go; a document without an id passes no near-duplicate stage; empty tables give empty tables;
-further columns are passed on as they are, whatever their names.
+one stays; a document without an id is near no other, and stays once for each text; empty tables give empty
+tables; further columns are passed on as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,10 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group."""
-    groups = ngram_join.similar_groups(docs, SHINGLE, PERCENT)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay.hint("merge"), "doc_id", "left_semi").select(docs.columns)
+    """The document of smallest id of each group, once; documents without an id are in no group and stay."""
+    return ngram_join.one_of_each_group(docs, SHINGLE, PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
