@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
+import shutil
 import uuid
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import SparkSession
 
-# Local runs only: removed when the interpreter exits.
-_LOCAL_SCRATCH: tempfile.TemporaryDirectory | None = None
+# Folders of sessions that name none, by their warehouse: removed when the interpreter exits.
+_OWN: dict[str, str] = {}
 
 
 def build_session(app: str = "staylake", master: str | None = None, **conf) -> SparkSession:
@@ -37,15 +39,17 @@ def build_session(app: str = "staylake", master: str | None = None, **conf) -> S
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for written tables and stream checkpoints.
 
-    It lies in the folder the cluster names in ``spark.checkpoint.dir``, which every executor can
-    reach. Only a local master may fall back to a temporary folder of this machine.
+    It lies in the folder the cluster names in ``spark.checkpoint.dir``, which every executor can reach; where
+    that is unset, as in tests, in a folder of its own within the warehouse, which they share as well.
     """
-    global _LOCAL_SCRATCH
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        if _LOCAL_SCRATCH is None:
-            _LOCAL_SCRATCH = tempfile.TemporaryDirectory(prefix="staylake-")
-        root = _LOCAL_SCRATCH.name
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark.conf.get("spark.sql.warehouse.dir"))
     return os.path.join(root, "staylake", f"{label}-{uuid.uuid4().hex}")
+
+
+def _own_folder(warehouse: str) -> str:
+    if warehouse not in _OWN:
+        _OWN[warehouse] = os.path.join(warehouse, f"staylake-scratch-{uuid.uuid4().hex}")
+        url = urlparse(_OWN[warehouse])
+        if url.scheme in ("", "file"):
+            atexit.register(shutil.rmtree, unquote(url.path), ignore_errors=True)
+    return _OWN[warehouse]

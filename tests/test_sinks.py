@@ -113,3 +113,10 @@ def test_catalog_prunes_partitions_and_recovers_new_ones(spark):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "number of partitions" not in plan.replace("numPartitions", "")
     assert len(one.inputFiles()) < len(spark.table(table).inputFiles())
+
+
+def test_without_a_shared_folder_scratch_lies_in_the_warehouse(tmp_path):
+    from staylake import session
+
+    own = session._own_folder(f"file:{tmp_path}/warehouse")
+    assert own.startswith(f"file:{tmp_path}/warehouse/staylake-scratch-") and own == session._own_folder(f"file:{tmp_path}/warehouse")
