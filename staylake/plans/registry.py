@@ -80,6 +80,7 @@ def _daily_full(spark, sf):
 
 # Sources and sinks ------------------------------------------------------------------------------
 
+# Column names and types of the hotel table.
 HOTEL_SCHEMA = (
     "Id string, Name string, Country string, City string, Address string, Latitude string, Longitude string"
 )
@@ -113,6 +114,7 @@ def src_union_schemas(spark, sf):
     return readers.stack([customer, supplier])
 
 
+# Column names and types of the hotel-weather table.
 WEATHER_SCHEMA = (
     "address string, city string, country string, geoHash string, id string, name string, latitude double, "
     "longitude double, avg_tmpr_c double, avg_tmpr_f double, wthr_date string, year int, month int, day int"
@@ -732,7 +734,7 @@ def feature_importance(spark, sf):
 
 @query
 def tuned_sweep(spark, sf):
-    """A small search over the full ranges' lower end; one row a trial, best first."""
+    """A small search: six trials of five rounds, depths of 4 to 6 of the operator's 4 to 30; one row a trial, best first."""
     ranked = models.tuned_sweep(_parts(spark, sf)[0], "high", **SWEEP)[0]
     order = Window.orderBy(F.desc("auc"), "trial")  # as many rows as trials
     place = F.row_number().over(order)
