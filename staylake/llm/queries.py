@@ -64,6 +64,7 @@ def op6_decontaminate(spark, sf):
 
 @query
 def op1_ngram_jaccard(spark, sf):
+    """Sets are those of 64-bit hashes of shingles."""
     return ngram_join.similar_groups(documents(spark, sf), n=3, percent=90, count_links=False)
 
 
@@ -75,6 +76,7 @@ def op4_suffix_dedup(spark, sf):
 
 @query
 def op5_quality_rules(spark, sf):
+    """Repeated windows are found by 64-bit hashes."""
     rows = rules.ledger(documents(spark, sf))
     return rows.select(
         "doc_id",
