@@ -33,11 +33,24 @@ def time_rollup(
     bucket_ms: int | None = None,
     ts: str = "EVENT_TS",
     terms: int = 10,
+    fill: bool = False,
 ) -> DataFrame:
-    """``metric`` per top term and time bucket; buckets without rows do not appear."""
+    """``metric`` per top term and time bucket.
+
+    Buckets without rows do not appear, unless ``fill`` asks for all from the first to the last of each kept term;
+    their metric is NULL.
+    """
     if by:
         df = df.join(top_terms(df, by, terms), list(by), "left_semi")
     keys = [F.col(c) for c in by]
     if bucket_ms:
         keys.append((F.floor(F.col(ts) / F.lit(bucket_ms)) * bucket_ms).alias("bucket"))
-    return df.groupBy(*keys).agg(metric.alias(out))
+    rolled = df.groupBy(*keys).agg(metric.alias(out))
+    return filled(rolled, by, bucket_ms) if fill and bucket_ms else rolled
+
+
+def filled(rolled: DataFrame, by: Sequence[str], bucket_ms: int) -> DataFrame:
+    """Each term's buckets from its first to its last, NULL where ``rolled`` has none."""
+    ends = rolled.groupBy(*by).agg(F.min("bucket").alias("_low"), F.max("bucket").alias("_high")).dropna(subset=["_low"])
+    every = F.explode(F.sequence("_low", "_high", F.lit(bucket_ms).cast("bigint"))).alias("bucket")
+    return ends.select(*by, every).join(rolled, [*by, "bucket"], "left")

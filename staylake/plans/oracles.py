@@ -665,6 +665,11 @@ ORACLES: dict[str, str] = {
     CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings) GROUP BY label, feature""",
 }
 
+for _name, _by in {"roll_alert_status": ["status"], "roll_sessions": ["username"], "roll_events": []}.items():
+    _keys = "".join(f"{c}, " for c in _by)
+    ORACLES[f"{_name}_filled"] = f"""WITH r AS ({ORACLES[_name]}) SELECT * FROM (SELECT {_keys}
+    unnest(generate_series(low, high, {_DAY_MS})) AS bucket FROM (SELECT {_keys} min(bucket) AS low, max(bucket) AS high
+    FROM r {'GROUP BY ALL' if _by else ''})) LEFT JOIN r USING ({_keys}bucket)"""
 ORACLES["sink_partitioned_ci"] = ORACLES["joined_visitors"]
 ORACLES["sink_partitioned_stays"] = f"SELECT *, substr(srch_ci, 1, 7) AS ci_month FROM ({ORACLES['stay_edges']})"
 for _name, _columns in MEANS.items():

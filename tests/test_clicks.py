@@ -121,3 +121,16 @@ def test_salted_join_changes_no_row(spark):
     plain, salted = clicks.user_clickstream(table, people), clicks.user_clickstream(table, people, salts=6)
     assert salted.count() == len(rows)
     assert plain.exceptAll(salted).count() == 0
+
+
+def test_empty_buckets_are_filled_between_the_first_and_the_last_of_a_term(spark):
+    from staylake.operators import rollups
+
+    rows = [("a", 1, 5), ("a", 41, 7), ("b", 25, 1), ("c", None, 3), (None, 3, 9)]
+    df = spark.createDataFrame(rows, "k string, EVENT_TS long, v int")
+    out = rollups.time_rollup(df, F.max("v"), "m", ["k"], 10, fill=True)
+    got = sorted((r.k, r.bucket, r.m) for r in out.collect())
+    assert got == [("a", 0, 5), ("a", 10, None), ("a", 20, None), ("a", 30, None), ("a", 40, 7), ("b", 20, 1)]
+    assert rollups.time_rollup(df.limit(0), F.max("v"), "m", ["k"], 10, fill=True).collect() == []
+    alone = rollups.time_rollup(df, F.max("v"), "m", (), 10, fill=True)
+    assert sorted((r.bucket, r.m) for r in alone.collect()) == [(0, 9), (10, None), (20, 1), (30, None), (40, 7)]
