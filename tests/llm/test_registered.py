@@ -20,7 +20,7 @@ from tests.llm.test_simhash import groups as near
 
 @pytest.fixture(scope="module")
 def items(texts):
-    return [(10, " ".join(texts[54].split(" ")[3:20])), (9, " ".join(texts[5].split(" ")[0:14])), (2, None), (3, "one")]
+    return [(10, " ".join(texts[54].split(" ")[3:20])), (9, " ".join(texts[54].split(" ")[6:24])), (2, None), (3, "one")]
 
 
 @pytest.fixture(scope="module")
