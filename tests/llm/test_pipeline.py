@@ -126,3 +126,19 @@ def test_near_duplicates_keep_documents_without_an_id_and_one_of_repeated_rows(s
     assert out.columns == frame.columns
     got = sorted((r["doc_id"] or 0, r["text"], r["source"] or "") for r in out.collect())
     assert [(i, t) for i, t, _ in got] == [(0, b), (1, a), (4, c)] and got[1][2] == "o"
+
+
+def test_another_answer_in_an_early_place_ends_the_rejected_side(spark, monkeypatch):
+    """Each conversation has a row for its last and one for its first answer; small buckets give the same order."""
+    rows = [(i, k, role, f"{role}{i}.{k}") for i in range(1, 30) for k, role in enumerate(["user", "assistant", "user", "assistant", "user"])]
+    turns = spark.createDataFrame(rows, TURNS)
+    got = preference.all_preferences(turns).collect()
+    assert sorted((r["chosen_id"], r["n_common"]) for r in got) == sorted((i, n) for i in range(1, 30) for n in (1, 3))
+    for r in got:
+        i, j, n = r["chosen_id"], r["rejected_id"], r["n_common"]
+        whole = [("user", f"user{i}.0"), ("assistant", f"assistant{i}.1"), ("user", f"user{i}.2"), ("assistant", f"assistant{i}.3")]
+        assert i != j and r["prompt"] == render(whole[:n]) and r["chosen"] == render(whole[n:])
+        assert r["rejected"] == render([("assistant", f"assistant{j}.3")])
+    monkeypatch.setattr(preference, "BUCKET", 2)
+    again = preference.all_preferences(turns).collect()
+    assert sorted((r["chosen_id"], r["rejected_id"]) for r in again) == sorted((r["chosen_id"], r["rejected_id"]) for r in got)
