@@ -2,18 +2,20 @@
 
 Both tokenizers see a blank and the text. No token of either spans the place before a blank that follows a
 character which is no white space, so a text is a sequence of units parted there, and a unit's tokens do not
-depend on its neighbours. Texts go through Spark as places in the list of different units of a block of
-documents; each different unit of the corpus is encoded and aligned once.
+depend on its neighbours. Documents are worked on in blocks, in which each different unit is encoded and aligned
+once (a task also keeps those of the blocks before).
 
 Alignment is interval coalescing: the tokens of A and B, sorted together by where they start, and the running
 maximum of their ends; a group ends where a start reaches that maximum. Overlaps are expanded within.
 
-How often an id pair is linked in the corpus is a sum over units, weighted by how often each occurs; what a
-document gets of these counts is a sum over its units again.
+A block then is a list of units, where they stand in its documents, and the id pairs that each links. How often
+an id pair is linked in the corpus is a sum over blocks; the counts of a block's pairs come back to it, as one
+row a pair, and a document's share of them is a sum over its units.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 
 import numpy as np
@@ -23,12 +25,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylake.llm import arrays
-from staylake.llm.pretokens import distinct_slices
-from staylake.llm.store import stored
+from staylake.llm.store import bucketed, stored
 from staylake.llm.token_count import byte_symbols
 
-#: Text of a block of documents; units that a task remembers as sound; units aligned at once.
-BLOCK_BYTES, CACHE, AT_ONCE = 4 << 20, 300_000, 5000
+#: Text of a block of documents; units that a task remembers; units aligned at once.
+BLOCK_BYTES, CACHE, AT_ONCE = 4 << 20, 200_000, 4000
 BLANK_PIECE = "▁"
 
 
@@ -46,9 +47,26 @@ class ByteLevel:
         self.bytes = [b""] * (max(vocab.values()) + 1)
         for token, number in vocab.items():
             self.bytes[number] = bytes(of_symbol[c] for c in token) if all(c in of_symbol for c in token) else token.encode()
+        self.sizes = np.array([len(x) for x in self.bytes], dtype=np.int64)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, units: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)]
+        """``units`` begin with a blank. Those that do not end with white space are encoded behind each other in one
+        text, in which their tokens are the same."""
+        texts = [u.decode() for u in units]
+        behind = [i for i, t in enumerate(texts) if t[-1:].isalnum() or "!" <= t[-1:] <= "~"]
+        (row,) = self._ids(["".join([texts[i] for i in behind])])
+        ends = np.cumsum(self.sizes[row])
+        at = np.searchsorted(ends, np.cumsum([len(units[i]) for i in behind]), side="right").tolist()
+        out: list = [None] * len(units)
+        for i, a, b in zip(behind, [0, *at], at):
+            out[i] = row[a:b]
+        alone = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(alone, self._ids([texts[i] for i in alone])):
+            out[i] = ids
+        return out
 
 
 class Pieces:
@@ -90,57 +108,6 @@ def units_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, np.flatnonzero(begins), at
 
 
-def blocks(docs: DataFrame, path_b: str, id_col: str, text_col: str) -> DataFrame:
-    """Documents in blocks of bounded size: ``ids``, units a document (``sizes``), the ``places`` of all their
-    units in the block's list of different ``units``, and how many ``times`` each of these occurs.
-
-    A document whose pieces do not give its bytes back has no units.
-    """
-    kind = docs.schema[id_col].dataType
-    schema = f"block bigint, ids array<{kind.simpleString()}>, sizes array<int>, places binary, units array<binary>, times array<bigint>"
-
-    def run(batches):
-        pieces, sound, hashes = Pieces(path_b), set(), (arrays.SpanHash(1), arrays.SpanHash(2))
-        number = TaskContext.get().partitionId() << 32
-
-        def unsound(words):
-            todo = [w for w in words if w not in sound]
-            bad = {w for w, ids in zip(todo, pieces.encode(todo)) if b"".join([pieces.bytes[i] for i in ids]) != w} if todo else set()
-            if len(sound) > CACHE:
-                sound.clear()
-            sound.update(w for w in todo if w not in bad)
-            return bad
-
-        for batch in batches:
-            for rows, text, offsets in arrays.pieces(batch, text_col, BLOCK_BYTES):
-                data, begin, texts = units_of(text, offsets)
-                end = np.append(begin[1:], len(data))
-                first, which = distinct_slices(data, begin, end, hashes)
-                raw = data.tobytes()
-                words = [raw[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
-                owner = arrays.owners(texts, begin)
-                if bad := unsound(words):
-                    out = np.array([w in bad for w in words], dtype=bool)
-                    keep = ~np.isin(owner, owner[out[which]])
-                    which, owner = which[keep], owner[keep]
-                times = np.bincount(which, minlength=len(words))
-                used = np.flatnonzero(times)
-                place = np.cumsum(times > 0) - 1
-                sizes = np.bincount(owner, minlength=rows.num_rows).astype(np.int32)
-                cells = [
-                    pa.array([number], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column(0)),
-                    pa.array([sizes], pa.list_(pa.int32())),
-                    pa.array([place[which].astype(np.uint32).tobytes()], pa.binary()),
-                    pa.array([[words[i] for i in used.tolist()]], pa.list_(pa.binary())),
-                    pa.array([times[used]], pa.list_(pa.int64())),
-                ]
-                number += 1
-                yield pa.RecordBatch.from_arrays(cells, names=["block", "ids", "sizes", "places", "units", "times"])
-
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
-
-
 def coalesce(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of intervals by start, and for each, in that order, whether a group begins with it."""
     order = np.lexsort((end, start))
@@ -160,7 +127,7 @@ def overlaps(a_start, a_end, b_start, b_end) -> tuple[np.ndarray, np.ndarray]:
 
 def align(a_ids: list[list[int]], b_ids: list[list[int]], a_size: np.ndarray, b_size: np.ndarray):
     """For texts as ids of A and B: ``groups`` as text, how many there are, and the linked ids of each text."""
-    a, b = (np.array([i for ids in x for i in ids], dtype=np.int64) for x in (a_ids, b_ids))
+    a, b = (np.fromiter(itertools.chain.from_iterable(x), dtype=np.int64) for x in (a_ids, b_ids))
     a_end, b_end = np.cumsum(a_size[a]), np.cumsum(b_size[b])
     a_start, b_start = a_end - a_size[a], b_end - b_size[b]
     order, begins = coalesce(np.concatenate([a_start, b_start]), np.concatenate([a_end, b_end]))
@@ -183,48 +150,127 @@ def align(a_ids: list[list[int]], b_ids: list[list[int]], a_size: np.ndarray, b_
     return groups, np.diff([0, *to]), a[x], b[y], links
 
 
-def aligned_units(units: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """``unit``, ``times``, counts of its tokens, groups and links, its ``groups``, and the linked ids ``a`` and ``b``."""
-    schema = "unit binary, times bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, a array<int>, b array<int>"
+class Units:
+    """Aligned units that a task has met, by number: their ``groups`` and, row by row, tokens and linked ids."""
+
+    def __init__(self, path_a: str, path_b: str):
+        self.a, self.b = ByteLevel(path_a), Pieces(path_b)
+        self.sizes = [np.array([len(x) for x in side.bytes], dtype=np.int64) for side in (self.a, self.b)]
+        self.clear()
+
+    def clear(self) -> None:
+        self.number, self.groups = {}, []
+        self.counts = np.zeros((0, 4), dtype=np.int64)  # tokens of A and B, groups, links
+        self.pairs = np.zeros(0, dtype=np.int64)
+        self.sound = np.zeros(0, dtype=bool)
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The number of each unit; equal ones have one."""
+        if len(self.number) > CACHE:
+            self.clear()
+        find = self.number.get
+        found = np.fromiter((find(w, -1) for w in words), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(found < 0).tolist()
+        todo = list(dict.fromkeys([words[i] for i in new]))
+        for low in range(0, len(todo), AT_ONCE):
+            self._add(todo[low : low + AT_ONCE])
+        found[new] = [find(words[i]) for i in new]
+        return found
+
+    def _add(self, words: list[bytes]) -> None:
+        a, b = self.a.encode(words), self.b.encode(words)
+        sound = np.array([b"".join([self.b.bytes[i] for i in ids]) == w for w, ids in zip(words, b)], dtype=bool)
+        a, b = ([ids if ok else [] for ids, ok in zip(side, sound)] for side in (a, b))
+        groups, n_groups, x, y, at = align(a, b, *self.sizes)
+        counts = np.stack([[len(ids) for ids in a], [len(ids) for ids in b], n_groups, np.diff(at)], axis=1)
+        self.number.update((w, len(self.groups) + i) for i, w in enumerate(words))
+        self.groups += groups
+        self.counts = np.concatenate([self.counts, counts])
+        self.pairs = np.concatenate([self.pairs, x << 32 | y])
+        self.sound = np.concatenate([self.sound, sound])
+
+    def pairs_of(self, numbers: np.ndarray) -> np.ndarray:
+        """The linked ids of these units behind each other, as ``a << 32 | b``."""
+        size = self.counts[:, 3]
+        row, place = arrays.ragged(size[numbers])
+        return self.pairs[(np.cumsum(size) - size)[numbers][row] + place]
+
+
+COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
+
+
+def blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str) -> DataFrame:
+    """Documents in blocks of bounded size: their ``ids``, the block's different ``pairs`` of ids, how many ``times``
+    each is linked, and a ``body``: units a document (``sizes``), the ``places`` of all their units in the block's
+    list of different ones, whose ``groups`` and counts follow, and the places of each unit's ``links`` in ``pairs``.
+
+    The body is a compressed Arrow stream of one row, as it is most of what is sent. A document whose pieces do not
+    give its bytes back has no units.
+    """
+    kind = docs.schema[id_col].dataType
+    schema = f"block bigint, ids array<{kind.simpleString()}>, body binary, pairs array<bigint>, times array<bigint>"
 
     def run(batches):
-        one, two = ByteLevel(path_a), Pieces(path_b)
-        a_size, b_size = (np.array([len(x) for x in t.bytes], dtype=np.int64) for t in (one, two))
+        units = Units(path_a, path_b)
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for low in range(0, batch.num_rows, AT_ONCE):
-                rows = batch.slice(low, AT_ONCE)
-                words = rows.column(0).to_pylist()
-                a_ids, b_ids = one.encode(words), two.encode(words)
-                groups, n_groups, a, b, at = align(a_ids, b_ids, a_size, b_size)
-                at = pa.array(at, pa.int32())
+            for rows, text, offsets in arrays.pieces(batch, text_col, BLOCK_BYTES):
+                data, begin, texts = units_of(text, offsets)
+                raw, edges = data.tobytes(), [*begin.tolist(), len(data)]
+                known = units.numbers([raw[a:b] for a, b in zip(edges, edges[1:])])
+                owner = arrays.owners(texts, begin)
+                sound = units.sound[known]
+                if not sound.all():
+                    keep = ~np.isin(owner, owner[~sound])
+                    known, owner = known[keep], owner[keep]
+                own, which, times = np.unique(known, return_inverse=True, return_counts=True)
+                used = np.argsort(-times, kind="stable")  # small places for frequent units
+                place = np.empty(len(own), dtype=np.uint32)
+                place[used] = np.arange(len(own))
+                own, times = own[used], times[used]
+                sizes = np.bincount(owner, minlength=rows.num_rows).astype(np.int32)
+                of_units = units.counts[own]
+                linked = units.pairs_of(own)
+                pairs, links = np.unique(linked, return_inverse=True)
+                weight = np.zeros(len(pairs), dtype=np.int64)
+                np.add.at(weight, links, np.repeat(times, of_units[:, 3]))
+                body = {
+                    "sizes": pa.array([sizes], pa.list_(pa.int32())),
+                    "places": pa.array([place[which]], pa.list_(pa.uint32())),
+                    "groups": pa.array([[units.groups[i] for i in own.tolist()]], pa.list_(pa.string())),
+                    "links": pa.array([links.astype(np.uint32)], pa.list_(pa.uint32())),
+                } | {name: pa.array([column.astype(np.int32)], pa.list_(pa.int32())) for name, column in zip(COUNTS, of_units.T)}
                 cells = [
-                    *rows.columns,
-                    pa.array([len(x) for x in a_ids], pa.int64()),
-                    pa.array([len(x) for x in b_ids], pa.int64()),
-                    pa.array(n_groups, pa.int64()),
-                    pa.array(np.diff(at), pa.int64()),
-                    pa.array(groups, pa.string()),
-                    pa.ListArray.from_arrays(at, pa.array(a, pa.int32())),
-                    pa.ListArray.from_arrays(at, pa.array(b, pa.int32())),
+                    pa.array([number], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column(0)),
+                    pa.array([_packed(body)], pa.binary()),
+                    pa.array([pairs], pa.list_(pa.int64())),
+                    pa.array([weight], pa.list_(pa.int64())),
                 ]
-                names = ["unit", "times", "n_a", "n_b", "n_groups", "n_links", "groups", "a", "b"]
-                yield pa.RecordBatch.from_arrays(cells, names=names)
+                number += 1
+                yield pa.RecordBatch.from_arrays(cells, names=["block", "ids", "body", "pairs", "times"])
 
-    return units.select("unit", "times").mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
-SUMS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+def _packed(columns: dict[str, pa.Array]) -> bytes:
+    batch = pa.RecordBatch.from_pydict(columns)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
-def _scored(units: DataFrame) -> DataFrame:
-    """Units with the corpus-wide counts of their links: their sum, and how many are the best of their B id."""
-    pairs = units.select("unit", "times", F.explode(F.arrays_zip("a", "b")).alias("p")).select("unit", "times", "p.a", "p.b")
-    counts = pairs.groupBy("a", "b").agg(F.sum("times").alias("count"))
+def counted_pairs(dealt: DataFrame) -> DataFrame:
+    """``pair``, its ``count`` over all blocks, and whether that is the ``best`` of its B id (1 or 0)."""
+    rows = dealt.select(F.explode(F.arrays_zip("pairs", "times")).alias("p")).select("p.pairs", "p.times")
+    counts = rows.groupBy(F.col("pairs").alias("pair")).agg(F.sum("times").alias("count"))
     # As many rows a B id as there are A ids at most.
-    top = F.max("count").over(Window.partitionBy("b"))
-    counts = stored(counts.withColumn("best", (F.col("count") == top).cast("long")), "pair-counts")
-    scores = pairs.join(counts, ["a", "b"]).groupBy("unit").agg(F.sum("best").alias("n_best"), F.sum("count").alias("count_sum"))
-    return units.join(scores, "unit").select("unit", "groups", *SUMS)
+    top = F.max("count").over(Window.partitionBy(F.col("pair").bitwiseAND(0xFFFFFFFF)))
+    return counts.withColumn("best", (F.col("count") == top).cast("long"))
+
+
+SUMS = [*COUNTS, "n_best", "count_sum"]
 
 
 def align_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,29 +282,32 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "do
     or without one. Other columns are left out. ``path_a`` and ``path_b`` are read on every executor.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    dealt = stored(blocks(docs, path_b, id_col, text_col), "blocks")
-    words = dealt.select(F.explode(F.arrays_zip("units", "times")).alias("u")).select("u.units", "u.times")
-    words = words.groupBy(F.col("units").alias("unit")).agg(F.sum("times").alias("times"))
-    scored = stored(_scored(stored(aligned_units(words, path_a, path_b), "units")), "scored-units")
-    back = dealt.select(F.col("block").alias("home"), F.posexplode("units").alias("place", "unit"))
-    back = back.join(scored, "unit").drop("unit")
+    dealt = bucketed(blocks(docs, path_a, path_b, id_col, text_col), "block", "blocks")
+    counts = stored(counted_pairs(dealt), "pair-counts")
+    back = dealt.select(F.col("block").alias("home"), F.posexplode("pairs").alias("place", "pair"))
+    back = back.join(counts, "pair").select("home", "place", "count", "best")
     names = [id_col, *SUMS, "groups"]
 
-    def gather(block: pa.Table, units: pa.Table) -> pa.Table:
-        units = units.sort_by("place")
-        texts = units.column("groups").to_pylist()
-        ids = block.column("ids").combine_chunks().flatten()
-        places = np.frombuffer(block.column("places")[0].as_py(), dtype=np.uint32)
-        ends = np.cumsum(block.column("sizes").combine_chunks().flatten().to_numpy())
+    def gather(block: pa.Table, pairs: pa.Table) -> pa.Table:
+        pairs = pairs.sort_by("place")
+        body = pa.ipc.open_stream(block.column("body")[0].as_buffer()).read_all()
+        cell = lambda name, rows=body: rows.column(name).combine_chunks().flatten()
+        ids, ends = cell("ids", block), np.cumsum(cell("sizes").to_numpy())
         begins = np.concatenate([[0], ends[:-1]])
+        places, links = cell("places").to_numpy(), cell("links").to_numpy()
+        of_units = {c: cell(c).to_numpy().astype(np.int64) for c in COUNTS}
+        edge = np.concatenate([[0], np.cumsum(of_units["n_links"])])
+        for name, column in (("n_best", "best"), ("count_sum", "count")):
+            sums = np.concatenate([[0], np.cumsum(pairs.column(column).to_numpy()[links], dtype=np.int64)])
+            of_units[name] = np.diff(sums[edge])
         cells = [ids]
         for name in SUMS:
-            sums = np.concatenate([[0], np.cumsum(units.column(name).to_numpy()[places], dtype=np.int64)])
+            sums = np.concatenate([[0], np.cumsum(of_units[name][places], dtype=np.int64)])
             cells.append(pa.array(sums[ends] - sums[begins]))
-        parts = places.tolist()
+        texts, parts = cell("groups").to_pylist(), places.tolist()
         cells.append(pa.array([";".join([texts[p] for p in parts[i:j]]) for i, j in zip(begins.tolist(), ends.tolist())], pa.string()))
         return pa.table(cells, names=names)
 
     sums = ", ".join(f"{c} bigint" for c in SUMS)
-    whole = dealt.select("block", "ids", "sizes", "places").groupBy("block")
+    whole = dealt.drop("pairs", "times").groupBy("block")
     return whole.cogroup(back.groupBy("home")).applyInArrow(gather, f"`{id_col}` {kind}, {sums}, groups string")

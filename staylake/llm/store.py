@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """As :func:`stored`, in buckets of ``key``, so that grouping by it later needs no shuffle of the table.
+
+    The catalog knows the table only until it is read here; its files stay in the shared folder.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_dir(spark, label)
+    name = os.path.basename(path).replace("-", "_")
+    df.write.option("path", path).bucketBy(buckets, key).saveAsTable(name)
+    kept = spark.table(name)
+    kept.schema  # resolved, with its buckets
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
 def partitions_for(texts: DataFrame, text_col: str, each: int) -> int:
     """Partitions of about ``each`` bytes of text, which are measured; at least the session's shuffle partitions."""
     least = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -1,5 +1,6 @@
 """Alignment of tokenizers beside whole-text encoding and a plain count."""
 
+import functools
 from collections import Counter
 
 import numpy as np
@@ -111,13 +112,18 @@ def test_nothing_repeated_rows_and_no_id(spark, docs, nothing):
     assert sorted((r["doc_id"] or 0, r["n_links"], r["count_sum"]) for r in rows) == sorted(2 * [(60, 0, 0), (61, 0, 0), (65, 1, 4), (0, 1, 4)])
 
 
+@functools.cache
+def sides():
+    return align.ByteLevel(PATHS[0]), align.Pieces(PATHS[1])
+
+
 CHARS = st.sampled_from(list("ab'1 .\n\t\r\x0b\x1c\x7f") + ["  ", "  ", " ", "　", "​", "᠎", "é", "’", "日", "s ", "'s", "́"])
 
 
 @settings(max_examples=400, deadline=None)
 @given(st.lists(st.lists(CHARS, max_size=14).map("".join), min_size=1, max_size=4))
 def test_units_are_encoded_like_the_whole_text(texts):
-    a, b = align.ByteLevel(PATHS[0]), align.Pieces(PATHS[1])
+    a, b = sides()
     raw = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
     data, begin, at = align.units_of(np.frombuffer(b"".join(raw), dtype=np.uint8), offsets)
