@@ -12,7 +12,7 @@ from staylake.plans.registry import QUERIES
 # These run something while they are built, or fit a model.
 EAGER = {n for n in QUERIES if n.endswith("_stream") or n.startswith(("src_", "sink_partitioned", "stream_", "roll_"))} | {
     "copy_one_day_per_cycle", "ctas_mart", "catalog_table", "json_decode_rows", "json_reject_rows", "city_series",
-    "city_series_first", "medallion_city_day", "rf_baseline", "feature_importance", "tuned_sweep", "batch_score", "score_udf",
+    "city_series_first", "medallion_city_day", "rf_baseline", "feature_importance", "tuned_sweep", "batch_score", "score_udf", "stored_model_scores",
 }
 
 
