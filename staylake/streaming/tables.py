@@ -31,8 +31,8 @@ def _compacts(batch_id: int) -> bool:
     return (batch_id + 1) % rp.COMPACT_EVERY == 0
 
 
-def _write(rows: DataFrame, path: str, batch_id: int, compacted: bool = False) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def _write(rows: DataFrame, path: str, batch_id: int, compacted: bool = False, compression: str | None = None) -> None:
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}", compression=compression)
     if compacted:
         rp.drop_before(rows.sparkSession, path, batch_id - rp.COMPACT_EVERY)
 
@@ -168,17 +168,16 @@ def read_closed(spark: SparkSession, path: str, schema: StructType, delay: str)
 
 
 def run_split(stream: DataFrame, parse: Callable[[DataFrame], DataFrame], readable, good, rejected, path: str, checkpoint: str) -> None:
-    """Each batch is parsed once and goes to two folders: what is ``readable``, and the rest.
+    """Each batch goes to two folders: what is ``readable`` once parsed by ``parse``, and the rest.
 
-    ``good`` and ``rejected`` make the rows to be written from the parsed ones.
+    ``good`` and ``rejected`` make the rows to be written from the parsed ones. Both sinks parse the batch's files:
+    parsed rows are several times the stored messages, and keeping them for the second sink would put a copy of
+    a large batch on the executors' disks.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse(batch).persist()
-        try:
-            _write(good(parsed.where(readable)), f"{path}/good", batch_id)
-            _write(rejected(parsed.where(~readable)), f"{path}/rejected", batch_id)
-        finally:
-            parsed.unpersist()
+        parsed = parse(batch)
+        _write(good(parsed.where(readable)), f"{path}/good", batch_id, False, "zstd")
+        _write(rejected(parsed.where(~readable)), f"{path}/rejected", batch_id, False, "zstd")
 
     rp.run_batches(stream, write, checkpoint)

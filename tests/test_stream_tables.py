@@ -221,3 +221,18 @@ def test_gold_merges_sketches_of_touched_days(spark):
         exact = want[r.city, r.wthr_date]
         assert abs(r.distinct_hotels - exact.distinct_hotels) <= 4 * 0.013 * exact.distinct_hotels
         assert str((r.avg_t, r.max_t, r.min_t)) == str((exact.avg_t, exact.max_t, exact.min_t))
+
+
+def test_split_messages_are_stored_once_and_never_kept_by_executors(spark, sf, monkeypatch):
+    from staylake.plans import registry
+
+    def refuse(self, *rest):
+        raise AssertionError("a batch of parsed messages is kept")
+
+    roots = {}
+    monkeypatch.setattr(registry, "scratch_dir", lambda s, label: roots.setdefault(label, scratch_dir(s, label)))
+    monkeypatch.setattr(type(spark.range(1)), "persist", refuse)
+    registry.QUERIES["stay_category_stream"](spark, sf).collect()
+    assert list(roots) == ["stay-category"]
+    files = [f for f in spark.read.format("binaryFile").load(f"{roots['stay-category']}/in").select("path").toPandas()["path"]]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
