@@ -127,3 +127,12 @@ def test_aqe_splits_a_hot_cell(spark, no_broadcast, how):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name, unit", [("visit_weather_full", "day"), ("stay_trend_spec", "month")])
+def test_daily_weather_meets_stays_without_a_second_shuffle(spark, sf, no_broadcast, name, unit):
+    job = {"visit_weather_full": stays.visit_weather_full, "stay_trend_spec": stays.stay_trend_as_stated}[name]
+    daily = stays.hotel_daily(views.hotel_weather(spark, sf), per=unit)
+    lines = plan(job(views.visit(spark, sf), daily)).splitlines()
+    dealt = [line for line in lines if "Exchange hashpartitioning(hotel_id" in line and f"_{unit}" in line]
+    assert len(dealt) == 2 and not any("Exchange hashpartitioning" in line and "wthr_date" in line for line in lines)
