@@ -4,9 +4,10 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from staylake.functions import stay
-from staylake.functions.temperature import exact_mean
+from staylake.functions.temperature import exact_decimal, exact_mean
 from staylake.operators import marts, stays
 
 VISIT = "id long, hotel_id long, srch_ci string, srch_co string"
@@ -198,3 +199,12 @@ def test_daily_means_are_compared_unrounded(spark):
     rows = [("1", "2017-08-01", "h", 1.0), ("2", "2017-08-01", "i", 1.0 + 1e-12)]
     daily = stays.hotel_daily(spark.createDataFrame(rows, "id string, wthr_date string, address string, avg_tmpr_c double"))
     assert [r.address for r in marts.topn_with_ties_dropped(daily, 1).collect()] == ["i"]
+
+
+def test_means_of_decimals_worked_out_before(spark):
+    cases = {"plain": [21.5, -3.25, 0.1] * 7, "below": [-0.1, -0.2, -1e-15], "large": [999999999.123, -999999998.9, 1e-9],
+             "carry": [0.999999999999] * 50, "nan": [1.0, float("nan")], "fine": [1e-25, 1.0], "none": [None], "some": [None, 7.0]}
+    df = spark.createDataFrame([(k, v) for k, values in cases.items() for v in values], "k string, v double")
+    df = df.withColumn("l", exact_decimal(F.col("v")))
+    rows = df.groupBy("k").agg(exact_mean("v").alias("a"), exact_mean("v", "l").alias("b")).collect()
+    assert len(rows) == len(cases) and all(repr(r.a) == repr(r.b) for r in rows)
