@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -46,42 +45,40 @@ def merged(open_: list[tuple], pieces: list[tuple], gap: int, number: int) -> tu
 
 
 class Sessions(StatefulProcessor):
+    """Takes and returns rows: a key has a few pieces a batch, for which a frame costs more than the work."""
+
     def __init__(self, keys: Sequence[str], gap: int, timed: bool):
-        self.keys, self.gap, self.timed = list(keys), gap, timed
+        self.gap, self.timed = gap, timed
+        self.row = Row(*keys, "session", *FIELDS[1:], "closed", "gone")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("open", STATE)
 
     def _read(self) -> tuple[list[tuple], int]:
-        if not self.state.exists():
-            return [], 0
         kept = self.state.get()
-        return list(zip(*kept[1:])), kept[0]
+        return ([], 0) if kept is None else (list(zip(*kept[1:])), kept[0])
 
     def _store(self, sessions: list[tuple], number: int) -> None:
         columns = [list(c) for c in zip(*sessions)] if sessions else [[] for _ in FIELDS]
         self.state.update((number, *columns))
 
-    def _rows(self, key, sessions, gone=(), closed=False) -> pd.DataFrame:
-        rows = [(*key, *s, closed, False) for s in sessions] + [(*key, n, None, None, None, None, False, True) for n in gone]
-        frame = pd.DataFrame(rows, columns=[*self.keys, "session", *FIELDS[1:], "closed", "gone"])
-        return frame.astype({c: "Int64" for c in FIELDS[1:]})
+    def _rows(self, key, sessions, gone=(), closed=False) -> Iterator[Row]:
+        for s in sessions:
+            yield self.row(*key, *s, closed, False)
+        for number in gone:
+            yield self.row(*key, number, None, None, None, None, False, True)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pieces = []
-        for frame in rows:
-            sizes = [None if pd.isna(b) else int(b) for b in frame["bytes"]]
-            pieces += zip([None] * len(frame), frame["first"].tolist(), frame["last"].tolist(), frame["events"].tolist(), sizes)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        pieces = [(None, r["first"], r["last"], r["events"], r["bytes"]) for r in rows]
         known, number = self._read()
         sessions, changed, gone, number = merged(known, pieces, self.gap, number)
         self._store(sessions, number)
         if self.timed and sessions:
             self.handle.registerTimer((min(s[2] for s in sessions) + self.gap) // 1000 + 1)
-        if changed or gone:
-            yield self._rows(key, changed, gone)
+        yield from self._rows(key, changed, gone)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         bound = timerValues.getCurrentWatermarkInMs() * 1000
         known, number = self._read()
         over = [s for s in known if s[2] + self.gap < bound]
@@ -89,8 +86,7 @@ class Sessions(StatefulProcessor):
         self._store(left, number)
         if left:
             self.handle.registerTimer((min(s[2] for s in left) + self.gap) // 1000 + 1)
-        if over:
-            yield self._rows(key, over, closed=True)
+        yield from self._rows(key, over, closed=True)
 
     def close(self) -> None:
         pass
@@ -114,7 +110,7 @@ def session_changes(rows: DataFrame, keys: Sequence[str], gap_seconds: float, wa
     for name in ("session", *FIELDS[1:]):
         out.add(name, "long")
     out.add("closed", "boolean").add("gone", "boolean")
-    return pieces.groupBy(*keys).transformWithStateInPandas(
+    return pieces.groupBy(*keys).transformWithState(
         statefulProcessor=Sessions(keys, gap, bool(watermark)),
         outputStructType=out,
         outputMode="Update",
@@ -127,9 +123,9 @@ def _stretches(rows: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
 
     def merge(frames):
         for frame in frames:
-            stretch = [frame[k] for k in keys] + [frame["first"] // gap]
-            how = {"first": ("first", "min"), "last": ("last", "max"), "events": ("events", "sum"), "bytes": ("bytes", lambda b: b.sum(min_count=1))}
-            pieces = frame.groupby([*keys, stretch[-1].rename("stretch")]).agg(**how).reset_index()
-            yield pieces.drop(columns="stretch")[list(frame.columns)]
+            groups = frame.groupby([*keys, (frame["first"] // gap).rename("stretch")])
+            pieces = groups.agg(first=("first", "min"), last=("last", "max"), events=("events", "sum"))
+            pieces["bytes"] = groups["bytes"].sum(min_count=1)
+            yield pieces.reset_index()[list(frame.columns)]
 
     return rows.mapInPandas(merge, rows.schema)
