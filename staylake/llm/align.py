@@ -3,7 +3,7 @@
 Both tokenizers see a blank and the text. No token of either spans the place before a blank that follows a
 character which is no white space, so a text is a sequence of units parted there, and a unit's tokens do not
 depend on its neighbours. Documents are worked on in blocks, in which each different unit is encoded and aligned
-once (a task also keeps those of the blocks before).
+once (a task also keeps those of the blocks before, of too many those it met most).
 
 Alignment is interval coalescing: the tokens of A and B, sorted together by where they start, and the running
 maximum of their ends; a group ends where a start reaches that maximum. Overlaps are expanded within.
@@ -163,11 +163,23 @@ class Units:
         self.counts = np.zeros((0, 4), dtype=np.int64)  # tokens of A and B, groups, links
         self.pairs = np.zeros(0, dtype=np.int64)
         self.sound = np.zeros(0, dtype=bool)
+        self.uses = np.zeros(0, dtype=np.int64)
+
+    def shrink(self) -> None:
+        """Forget units until half of the cache is free: those met once, then those met least."""
+        kept = np.argsort(-self.uses, kind="stable")[: CACHE // 2]
+        kept = np.sort(kept[self.uses[kept] > 1])
+        words, places = list(self.number), kept.tolist()
+        self.number = {words[i]: k for k, i in enumerate(places)}
+        self.groups = [self.groups[i] for i in places]
+        self.pairs = self.pairs_of(kept)
+        self.counts, self.sound = self.counts[kept], self.sound[kept]
+        self.uses = self.uses[kept] // 2  # what is met no more gives way in time
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """The number of each unit; equal ones have one."""
         if len(self.number) > CACHE:
-            self.clear()
+            self.shrink()
         find = self.number.get
         found = np.fromiter((find(w, -1) for w in words), dtype=np.int64, count=len(words))
         new = np.flatnonzero(found < 0).tolist()
@@ -175,6 +187,7 @@ class Units:
         for low in range(0, len(todo), AT_ONCE):
             self._add(todo[low : low + AT_ONCE])
         found[new] = [find(words[i]) for i in new]
+        self.uses += np.bincount(found, minlength=len(self.uses))
         return found
 
     def _add(self, words: list[bytes]) -> None:
@@ -188,6 +201,7 @@ class Units:
         self.counts = np.concatenate([self.counts, counts])
         self.pairs = np.concatenate([self.pairs, x << 32 | y])
         self.sound = np.concatenate([self.sound, sound])
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), dtype=np.int64)])
 
     def pairs_of(self, numbers: np.ndarray) -> np.ndarray:
         """The linked ids of these units behind each other, as ``a << 32 | b``."""

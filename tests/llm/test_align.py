@@ -145,3 +145,17 @@ def test_coalescing_finds_common_ends(sizes, seed):
     start = np.concatenate([a_end - sizes, b_end - np.diff(np.append(0, b_end))])
     order, begins = align.coalesce(start, np.concatenate([a_end, b_end]))
     assert begins.sum() == len(np.intersect1d(a_end, b_end))
+
+
+def test_a_full_cache_keeps_the_units_met_most(monkeypatch):
+    units = align.Units(vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    monkeypatch.setattr(align, "CACHE", 6)
+    often, rare = [b" the", b" over"], [b" word%d" % i for i in range(9)]
+    first = {w: (units.groups[n], units.counts[n].tolist(), units.pairs_of(np.array([n])).tolist()) for w in often for n in units.numbers([w, w])[:1]}
+    units.numbers(rare)
+    asked, add = [], units._add
+    monkeypatch.setattr(units, "_add", lambda words: (asked.extend(words), add(words)))
+    found = units.numbers([*often, *rare])
+    assert asked == rare  # the frequent ones were kept
+    for word, n in zip(often, found):
+        assert first[word] == (units.groups[n], units.counts[n].tolist(), units.pairs_of(np.array([n])).tolist())
