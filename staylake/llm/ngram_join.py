@@ -9,6 +9,10 @@ is a signature, and linked sets share one. A set whose partner may lie in the ne
 Unrelated sets meet where all chosen parts are empty, so n2 and k2 are chosen for each band and the number of
 sets: as few signatures as keep such meetings rare.
 
+Below ``FILTERED`` per cent sets have more signatures than n-grams, so only those sign that can have a link: of a
+linked set at most ``100 - percent`` per cent of the n-grams are in no other set. Such n-grams are counted in a part
+of the domain, the same for all sets; a set that has too many there already is linked with nothing.
+
 Documents that share a signature meet through the smallest id of each signature, never as pairs. Signatures
 that hold several n-grams are strong: they build candidate groups. A group that one task can hold is compared
 as a whole. In a larger one each document is first compared with the document whose signatures it shares most;
@@ -36,6 +40,8 @@ from staylake.llm.store import components, stored
 BLOCK, FEATURES = 800, 1 << 21
 #: Sets of which a task drops equal ones before it sends signatures; n-grams that make a signature strong.
 SIGNED, STRONG = 4096, 4
+#: From so many per cent on signatures are few, and all sets sign.
+FILTERED = 90
 SELF, STAR, WEAK, SIGNATURE, GROUP = range(5)
 
 
@@ -120,24 +126,58 @@ def shingle_sets(data, offsets, n: int, hashes: arrays.SpanHash):
             yield whole[:0]
 
 
+def _tag(features: np.ndarray) -> np.uint64:
+    """A number that stands for the set."""
+    return np.add.reduce(arrays.mix(features), dtype=np.uint64)
+
+
 def _profiles(docs, n, id_col, text_col):
-    """``n_shingles`` and two numbers, as bytes, that stand for the set."""
+    """``n_shingles``, ``tag`` and, as bytes, it and a second number that stand for the set."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         hashes = arrays.SpanHash(1)
         for batch in batches:
             for rows, data, offsets in arrays.pieces(batch, text_col):
-                size, key = [], []
+                size, tag, key = [], [], []
                 for features in shingle_sets(data, offsets, n, hashes):
                     size.append(len(features))
-                    one = np.add.reduce(arrays.mix(features), dtype=np.uint64)
+                    one = _tag(features)
                     two = np.add.reduce(arrays.mix(features ^ np.uint64(0x5DEECE66D)), dtype=np.uint64)
+                    tag.append(one)
                     key.append(one.tobytes() + two.tobytes())
-                cells = [rows.column(0), pa.array(size, pa.int64()), pa.array(key, pa.binary())]
-                yield pa.RecordBatch.from_arrays(cells, names=["id", "n_shingles", "key"])
+                cells = [rows.column(0), pa.array(size, pa.int64()), pa.array(np.array(tag, dtype=np.uint64).view(np.int64)), pa.array(key, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cells, names=["id", "n_shingles", "tag", "key"])
+
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, n_shingles bigint, tag bigint, key binary")
+
+
+def _may_link(docs, classes, n, percent, sets, id_col, text_col) -> DataFrame:
+    """``rep`` of the classes of equal sets that can be linked with another one.
+
+    N-grams are cut to as many bits as keep them apart; two that fall together count as one that sets share, which
+    loses no link.
+    """
+    part = np.uint64(min(1.0, 1.5 * (100 - percent) / 100) * (2**64 - 2**12))
+    bits = np.uint64(max(0, 64 - (max(sets, 1).bit_length() + 26)))
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, n_shingles bigint, key binary")
+    def looked(batches):
+        hashes = arrays.SpanHash(1)
+        for batch in batches:
+            for _, data, offsets in arrays.pieces(batch, text_col):
+                found = {}
+                for features in shingle_sets(data, offsets, n, hashes):
+                    places = arrays.mix(features ^ np.uint64(0x2545F4914F6CDD1D))
+                    found.setdefault(_tag(features), places[places <= part] >> bits)
+                tags = np.repeat(np.array(list(found), dtype=np.uint64), [len(x) for x in found.values()])
+                cells = [np.concatenate(list(found.values())), tags]
+                yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cells], names=["gram", "tag"])
+
+    rows = docs.select(id_col, text_col).where(F.col(id_col).isNotNull()).mapInArrow(looked, "gram bigint, tag bigint")
+    held = rows.groupBy("gram").agg(F.min("tag").alias("tag"), F.max("tag").alias("other"))
+    lone = held.where("tag = other").groupBy("tag").agg(F.count(F.lit(1)).alias("lone"))
+    # Counted in another way, equal sets would be each other's partner: ``tag`` is the same for all of them.
+    return classes.join(lone, "tag", "left").where(F.coalesce("lone", F.lit(0)) * 100 <= (100 - percent) * F.col("n_shingles")).select("rep")
 
 
 def _buckets(docs, n, percent, sets, id_col, text_col) -> DataFrame:
@@ -370,15 +410,23 @@ def similar_groups(
     spark = docs.sparkSession
     profile = stored(_profiles(docs, n, id_col, text_col), "profiles")
     full = profile.where("n_shingles > 0 and id is not null")
-    classes = full.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = full.groupBy("key").agg(
+        F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("tag").alias("tag"), F.first("n_shingles").alias("n_shingles")
+    )
     # Stored, so that the join meets two plain tables and a very common key can be split.
     classes = stored(classes, "classes")
-    members = full.select("id", "n_shingles", "key").join(classes, "key")
+    members = full.select("id", "n_shingles", "key").join(classes.select("key", "rep", "copies"), "key")
     members = members.groupBy("id").agg(F.min(F.struct("rep", "copies", "n_shingles")).alias("c"))
     members = stored(members.select("id", "c.*"), "members")
     reps = members.where("id = rep").select("id", "copies", "n_shingles")
 
-    buckets = stored(_buckets(docs, n, percent, classes.count(), id_col, text_col), "buckets")
+    sets = classes.count()
+    if percent < FILTERED:
+        able = stored(_may_link(docs, classes, n, percent, sets, id_col, text_col), "able")
+        sets = able.count()
+        able = able.select(F.col("rep").alias(id_col)).hint("merge")
+        docs = stored(docs.select(id_col, text_col).join(able, id_col, "left_semi"), "able-texts")
+    buckets = stored(_buckets(docs, n, percent, sets, id_col, text_col), "buckets")
     strong = buckets if count_links else buckets.where("strong")
     near = components(spark, strong.select(F.col("id").alias("a"), F.col("least").alias("b")))
     group = near.join(reps, near.node == reps.id).select("id", "copies", "n_shingles", "component")

@@ -100,6 +100,40 @@ def test_a_large_group_of_near_copies_sends_about_its_members(spark, monkeypatch
     assert sum(sent) < 4 * 600, sent
 
 
+def test_only_sets_that_can_have_a_link_sign(spark, monkeypatch):
+    """At 80 per cent: not texts that share a passage, nor exact copies of a text that is like no other."""
+    rng = np.random.default_rng(5)
+    word = lambda k: [f"w{x}" for x in rng.integers(0, 10**9, k)]
+    passage, base = word(20), word(200)
+    rows = [(i, " ".join(word(300) + passage + word(80))) for i in range(80)]
+    rows += [(100 + i, rows[i][1]) for i in range(10)] + [(200 + i, " ".join(base[: 195 - i] + word(3))) for i in range(6)]
+    signed, buckets = [], ngram_join._buckets
+
+    def spy(docs, *rest):
+        signed.extend(r["doc_id"] for r in docs.select("doc_id").collect())
+        return buckets(docs, *rest)
+
+    monkeypatch.setattr(ngram_join, "_buckets", spy)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_groups(frame, 5, 80, count_links=False).collect()}
+    assert got == {i: x[1] for i, x in brute.groups(dict(rows), 5, 80).items()}
+    assert set(range(200, 206)) <= set(signed) and len(signed) <= 10, signed
+
+
+@pytest.mark.parametrize("percent", [50, 75, 80, 89])
+def test_links_at_the_threshold_pass_the_filter(spark, percent):
+    """Sets of one n-gram in common more or less than a link takes, all others in no other set."""
+    rows = []
+    for i, size in enumerate([1, 2, 3, 7, 20, 100, 400]):
+        for j, shared in enumerate([-(-size * percent // 100), -(-size * percent // 100) - 1]):
+            one = [f"p{i}q{j}r{k}" for k in range(size)]
+            rows += [(100 * i + 10 * j, " ".join(one)), (100 * i + 10 * j + 1, " ".join(one[:shared]))]
+            rows += [(100 * i + 10 * j + 2, " ".join(one[size // 4 :] + [f"z{i}q{j}r{k}" for k in range(size // 20)]))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in ngram_join.similar_groups(frame, 1, percent).collect()}
+    assert got == {i: x[1:] for i, x in brute.groups(dict(rows), 1, percent).items()}
+
+
 def test_components_with_a_hub(spark, monkeypatch):
     from staylake.llm import store
 
