@@ -42,6 +42,8 @@ BLOCK, FEATURES = 800, 1 << 21
 SIGNED, STRONG = 4096, 4
 #: From so many per cent on signatures are few, and all sets sign.
 FILTERED = 90
+#: Bits for each id, and at most, of the bitmap by which rows are parted before they are joined with a list of ids.
+ID_BITS, MOST_BITS = 16, 1 << 28
 SELF, STAR, WEAK, SIGNATURE, GROUP = range(5)
 
 
@@ -180,6 +182,25 @@ def _may_link(docs, classes, n, percent, sets, id_col, text_col) -> DataFrame:
     return classes.join(lone, "tag", "left").where(F.coalesce("lone", F.lit(0)) * 100 <= (100 - percent) * F.col("n_shingles")).select("rep")
 
 
+def _parted(docs: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` whose id may be in ``ids`` (one column, stored), and others, whose id surely is not.
+
+    Only the former need to be sent for a join. Hashes of the ids are bits of a bitmap, which is broadcast; it has a
+    bounded size, with very many ids more rows may be among them.
+    """
+    spread = F.lit(min(max(ids.count(), 1) * ID_BITS, MOST_BITS))
+    bucket, bits = itertools.islice((c for k in itertools.count() if (c := f"bits{k}") not in docs.columns), 2)
+    at = lambda c: F.pmod(F.xxhash64(F.col(f"`{c}`")), spread) + 1
+    own = at(ids.columns[0])
+    maps = ids.groupBy(F.bitmap_bucket_number(own).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(own)).alias(bits))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    place = F.bitmap_bit_position(at(id_col))
+    byte = F.conv(F.hex(F.substring(F.col(bits), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    both = docs.withColumn(bucket, F.bitmap_bucket_number(at(id_col))).join(F.broadcast(maps), bucket, "left")
+    return both.where(found).select(*names), both.where(~found).select(*names)
+
+
 def _buckets(docs, n, percent, sets, id_col, text_col) -> DataFrame:
     """``sign``, ``strong``, ``id`` and ``least`` for signatures that several documents share; ``least`` is the
     smallest of their ids. Of documents of a block with equal sets only the smallest id signs."""
@@ -424,8 +445,9 @@ def similar_groups(
     if percent < FILTERED:
         able = stored(_may_link(docs, classes, n, percent, sets, id_col, text_col), "able")
         sets = able.count()
-        able = able.select(F.col("rep").alias(id_col)).hint("merge")
-        docs = stored(docs.select(id_col, text_col).join(able, id_col, "left_semi"), "able-texts")
+        able = able.select(F.col("rep").alias(id_col))
+        some, _ = _parted(docs.select(id_col, text_col), able, id_col)
+        docs = stored(some.join(able.hint("merge"), id_col, "left_semi"), "able-texts")
     buckets = stored(_buckets(docs, n, percent, sets, id_col, text_col), "buckets")
     strong = buckets if count_links else buckets.where("strong")
     near = components(spark, strong.select(F.col("id").alias("a"), F.col("least").alias("b")))
@@ -482,14 +504,17 @@ def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     id are in no group: they stay, once for each text.
     """
     groups = similar_groups(docs, n, percent, id_col, text_col, count_links=False)
-    stay = groups.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count(F.lit(1)).alias("rows"))
-    stay = stored(stay, "representatives")
-    once, often = (stay.where(c).select(id_col) for c in ("rows = 1", "rows > 1"))
+    first = F.first(F.col(id_col) == F.col("component_id"))
+    stay = groups.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("rows"), first.alias("first"))
+    aside = stored(stay.where("not first or rows > 1"), "aside")  # all others stay once
+    often = aside.where("first").select(id_col)
     names = [F.col(f"`{c}`") for c in docs.columns]
     others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)], F.lit(0).alias("_")))
     place = next(name for k in itertools.count() if (name := f"place{k}") not in docs.columns)
-    kept = docs.join(once, id_col, "left_semi").select(*names)
-    for rows in (docs.join(often, id_col, "left_semi"), docs.where(F.col(id_col).isNull())):
+    with_id = docs.where(F.col(id_col).isNotNull())
+    some, kept = _parted(with_id, aside.select(id_col), id_col)
+    kept = kept.unionByName(some.join(aside.select(id_col), id_col, "left_anti").select(*names))
+    for rows in (some.join(often, id_col, "left_semi"), docs.where(F.col(id_col).isNull())):
         first = F.row_number().over(Window.partitionBy(F.col(id_col), F.xxhash64(text_col), F.col(text_col)).orderBy(others))
         kept = kept.unionByName(rows.withColumn(place, first).where(F.col(place) == 1).select(*names))
     return kept

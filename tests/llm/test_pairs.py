@@ -134,6 +134,20 @@ def test_links_at_the_threshold_pass_the_filter(spark, percent):
     assert got == {i: x[1:] for i, x in brute.groups(dict(rows), 1, percent).items()}
 
 
+@pytest.mark.parametrize("most", [1 << 28, 5000])
+def test_rows_parted_by_a_bitmap_of_ids(spark, monkeypatch, most):
+    """No row of the list is lost, rows keep their columns, and few others are to be sent."""
+    monkeypatch.setattr(ngram_join, "MOST_BITS", most)
+    docs = spark.range(-20_000, 20_000).selectExpr("id * 7 AS doc_id", "id AS bits0")
+    ids = docs.where("bits0 % 10 = 3").select("doc_id")
+    some, others = ngram_join._parted(docs, ids, "doc_id")
+    assert some.columns == others.columns == docs.columns
+    assert some.count() + others.count() == docs.count() and others.join(ids, "doc_id").count() == 0
+    assert some.join(ids, "doc_id").count() == ids.count() and (most == 5000 or some.count() < 3 * ids.count())
+    some, others = ngram_join._parted(docs, ids.limit(0), "doc_id")
+    assert (some.count(), others.count()) == (0, docs.count())
+
+
 def test_components_with_a_hub(spark, monkeypatch):
     from staylake.llm import store
 
