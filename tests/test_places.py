@@ -1,4 +1,7 @@
+from collections import Counter
+
 import pytest
+from pyspark.sql import functions as F
 
 from staylake.functions.cleaning import mask_field, missing_coords, null_profile
 from staylake.functions.geohash import add_geohash
@@ -35,6 +38,60 @@ def test_join_counts_and_columns(hotels, weather):
     assert places.join_on_cell(hotels, weather.where("lat > 40"), "left").count() == 8
 
 
+def _dense(spark, cells):
+    """20 hotels in each cell and 20 in one without weather; 120,000 weather rows with fine values, a sixth of them elsewhere."""
+    cell = lambda number: F.lpad(number.cast("string"), 4, "0").alias("Geohash")
+    name = F.sha2(F.col("id").cast("string"), 256).alias("Name")
+    hotels = spark.range((cells + 1) * 20).select(cell(F.col("id") % (cells + 1)), F.col("id").cast("string").alias("Id"), name)
+    at = F.when(F.col("id") % 6 == 0, 9999).otherwise(F.pmod(F.xxhash64("id"), F.lit(cells)))
+    points = spark.range(0, 120_000, 1, 8).select(cell(at), F.rand(7).alias("avg_tmpr_c"), F.rand(8).alias("avg_tmpr_f"))
+    return hotels, points
+
+
+@pytest.mark.parametrize("cells,threshold", [(2, "-1"), (500, "10MB")])
+@pytest.mark.parametrize("how", ["inner"])
+def test_pairs_of_a_cell_are_stored_small(spark, tmp_path, how, cells, threshold):
+    """Two million pairs with two random doubles each; 100,000 weather rows have them."""
+    hotels, points = _dense(spark, cells)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        places.join_on_cell(hotels, points, how).write.parquet(str(tmp_path / "pairs"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert spark.read.parquet(str(tmp_path / "pairs")).count() == 2_000_000 + 20 * (how == "left")
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 2 * 2_000_000
+
+
+@pytest.mark.parametrize("how", ["inner"])
+def test_weather_without_hotels_is_not_shuffled(spark, tmp_path, how):
+    """A filter by the hotels' cells lies between the weather and its shuffle."""
+    hotels, points = _dense(spark, 4)
+    points.write.parquet(str(tmp_path / "points"))
+    text = places.join_on_cell(hotels, spark.read.parquet(str(tmp_path / "points")), how)._jdf.queryExecution().toString()
+    lines = text[text.index("== Physical Plan ==") :].splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "avg_tmpr_c" in line)
+    shuffle = max(i for i, line in enumerate(lines[:scan]) if " Exchange " in line)
+    assert any("BroadcastHashJoin" in line and "LeftSemi" in line for line in lines[shuffle:scan])
+
+
+@pytest.mark.parametrize("how", ["inner"])
+def test_pairs_are_those_of_a_plain_join(spark, how):
+    """Null, empty, repeated and longer cells, cells that begin alike, columns of one name."""
+    cells = ["9qfx", "9qfx", "9qfxa", "9qfxb", "9q", None, "dqc7", ""]
+    hotels = spark.createDataFrame([(c, f"h{i % 5}", i % 3) for i, c in enumerate(cells)], "Geohash string, Id string, x int")
+    weather = [(1.5, c, 7) for c in ["9qfx", "9qfx", "9qfxa", "9qfxc", "9q", None, "", "far0"]]
+    points = spark.createDataFrame(weather, "lng double, Geohash string, y int")
+    got, want = places.join_on_cell(hotels, points, how), hotels.join(points, "Geohash", how)
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    if how == "inner":
+        same = points.withColumnRenamed("y", "x")
+        got, want = places.join_on_cell(hotels, same), hotels.join(same, "Geohash")
+        assert got.columns == want.columns
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
 def test_unknown_join_mode(hotels, weather):
     with pytest.raises(ValueError):
         places.join_on_cell(hotels, weather, "outer")
